@@ -55,7 +55,9 @@ def total_commits(repos: Column) -> Column:
 def mean_score(repos: Column, field: str) -> Column:
     """Unweighted mean over the repositories to one decimal; 0 for none."""
     total = F.aggregate(repos, F.lit(0.0), lambda acc, r: acc + F.coalesce(r[field], F.lit(0.0)))
-    return F.when(F.size(repos) > 0, F.round(F.try_divide(total, F.size(repos)), 1)).otherwise(F.lit(0.0))
+    # Eight decimals first: a half must not fall on either side by the last bit of a sum.
+    mean = F.round(F.round(F.try_divide(total, F.size(repos)), 8).cast("decimal(20,8)"), 1)
+    return F.when(F.size(repos) > 0, mean).otherwise(0).cast("double")
 
 
 def ability_band(score: Column) -> Column:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) gives \s its Unicode meaning; Spark's trim() only strips the space character.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
-_SPACE_RUN = r"(?U)\s+"
+# What counts as white space. Spark's trim() strips the space character only.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 # The patterns that tell markdown from reStructuredText. The flags mean: ^ matches
 # at line starts, only \n ends a line, and \s, \w, \S are Unicode-aware.
@@ -31,7 +34,7 @@ def normalize(c: Column, remove_punct: bool = False, lowercase: bool = False, wh
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def slug(owner: str, name: str) -> Column:

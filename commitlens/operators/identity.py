@@ -14,8 +14,8 @@ from commitlens.session import written
 _STEPS = 3
 
 
-def _contract(graph: DataFrame) -> DataFrame:
-    """(node, component) for every node of a written graph of distinct pairs u < v.
+def _contract(pairs: DataFrame) -> DataFrame:
+    """(node, component) for every node of a graph of distinct pairs u < v.
 
     Each round every node picks, among itself and its neighbours, the node with the smallest hash.
     Picks lead to ever smaller hashes, so they form trees; following them a few steps and
@@ -24,42 +24,51 @@ def _contract(graph: DataFrame) -> DataFrame:
     outcome is a written table, so a lost executor costs one round at most. Joins split hot nodes,
     and the pick is a minimum, which Spark aggregates before it shuffles.
     """
-    rounds: list[DataFrame] = []
+    graph = written(pairs, "graph")
+    rounds: list[tuple[DataFrame, bool]] = []
     while not graph.isEmpty():
         seed = F.lit(len(rounds))
 
         def ranked(node: str):
             return F.struct(F.xxhash64(seed, node).alias("h"), F.col(node).alias("n"))
 
+        # Every edge gives a row to either end, so the picks are at most twice the graph's file.
+        small = 2 * estimated_bytes(graph) <= broadcast_limit(graph)
         both = graph.select("u", ranked("v").alias("c")).union(
             graph.select(F.col("v").alias("u"), ranked("u").alias("c"))
         )
-        picks = (
+        picks = written(
             both.groupBy("u")
             .agg(F.min("c").alias("c"))
-            .select(F.col("u").alias("node"), F.least("c", ranked("u"))["n"].alias("rep"))
+            .select(F.col("u").alias("node"), F.least("c", ranked("u"))["n"].alias("rep")),
+            "picks",
         )
+        onward = picks.select(F.col("node").alias("at"), F.col("rep").alias("next"))
         arrived = picks
         for _ in range(_STEPS):
-            onward = picks.select(F.col("node").alias("at"), F.col("rep").alias("next"))
-            arrived = lookup_join(arrived, onward, [("rep", "at")]).select("node", F.col("next").alias("rep"))
-        arrived = written(arrived, "picks")
-        rounds.append(arrived)
-        moved = lookup_join(graph, arrived.withColumnRenamed("rep", "ru"), [("u", "node")])
-        moved = lookup_join(moved, arrived.withColumnRenamed("rep", "rv"), [("v", "node")])
+            # A large step is written: balancing a join reads its left side twice.
+            arrived = arrived if small or arrived is picks else written(arrived, "arrived")
+            arrived = lookup_join(arrived, onward, [("rep", "at")], small=small).select(
+                "node", F.col("next").alias("rep")
+            )
+        arrived = written(arrived, "arrived")
+        rounds.append((arrived, small))
+        moved = lookup_join(graph, arrived.withColumnRenamed("rep", "ru"), [("u", "node")], small=small)
+        moved = lookup_join(moved, arrived.withColumnRenamed("rep", "rv"), [("v", "node")], small=small)
         graph = written(_distinct_pairs(moved, "ru", "rv"), "graph")
     if not rounds:
         return graph.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
-    labels = rounds[-1].withColumnRenamed("rep", "component")
+    # From the last round back to the first: where a node arrived, and where that one ended up.
+    labels, _ = rounds[-1]
+    labels = labels.withColumnRenamed("rep", "component")
     for at in range(len(rounds) - 2, -1, -1):
-        # `labels` has as many rows as rounds[at + 1], whose file size is known.
-        small = estimated_bytes(rounds[at + 1]) <= broadcast_limit(graph)
+        # `labels` has as many rows as the later round, whose size is known.
+        small = rounds[at + 1][1]
         later = labels if small else written(labels, "labels")
-        later = later.withColumnRenamed("node", "rep")
-        labels = lookup_join(rounds[at], later, ["rep"], "left", small=small).select(
-            "node", F.coalesce("component", "rep").alias("component")
-        )
+        labels = lookup_join(
+            rounds[at][0], later.withColumnRenamed("node", "rep"), ["rep"], "left", small=small
+        ).select("node", F.coalesce("component", "rep").alias("component"))
     return labels
 
 
@@ -69,7 +78,7 @@ def _distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of an undirected graph given by its edge list."""
-    labels = written(_contract(written(_distinct_pairs(edges, a, b), "graph")), "components")
+    labels = written(_contract(_distinct_pairs(edges, a, b)), "components")
     loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).alias("node")).distinct()
     alone = loops.join(labels, "node", "left_anti").withColumn("component", F.col("node"))
     return labels.unionByName(alone)
@@ -94,20 +103,19 @@ def resolve_identities(
 ) -> tuple[DataFrame, DataFrame]:
     """Cluster the values of ``key`` that share a row, rows being given by string ``row_keys``.
 
-    ``rows`` is long: one line per row and key. Returns (row_keys + component) and
-    (key, component). Rows and keys are the two sides of one graph, so a row with a million keys
-    costs a million edges, never their pairs. Null keys and ``ignore_keys`` join nothing.
+    ``rows`` is long: one line per row and key. Returns (row, component), ``row`` being the
+    ``exact_key`` of the row, and (key, component). Rows and keys are the two sides of one graph,
+    so a row with a million keys costs a million edges, never their pairs. Null keys and
+    ``ignore_keys`` join nothing; a row that has no other keys is not in the result.
     """
     usable = rows.where(F.col(key).isNotNull())
     if ignore_keys:
         usable = usable.where(~F.col(key).isin(ignore_keys))
     edges = usable.select(F.concat(F.lit("r"), exact_key(row_keys)).alias("r"), F.concat(F.lit("k"), F.col(key)).alias("k"))
-    components = written(_contract(written(_distinct_pairs(edges, "r", "k"), "graph")), "components")
-    groups = usable.select(*row_keys).distinct().withColumn("node", F.concat(F.lit("r"), exact_key(row_keys)))
-    row_side = lookup_join(groups, components.where(F.col("node").startswith("r")), ["node"]).drop("node")
-    key_side = components.where(F.col("node").startswith("k")).select(
-        F.expr("substr(node, 2)").alias(key), "component"
-    )
+    components = written(_contract(_distinct_pairs(edges, "r", "k")), "components")
+    name = F.expr("substr(node, 2)")
+    row_side = components.where(F.col("node").startswith("r")).select(name.alias("row"), "component")
+    key_side = components.where(F.col("node").startswith("k")).select(name.alias(key), "component")
     return row_side, key_side
 
 

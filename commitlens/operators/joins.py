@@ -12,8 +12,13 @@ HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 2_000
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def estimated_bytes(df: DataFrame) -> float:
+    """The optimizer's size estimate: exact for a file, an upper guess for most plans over it."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except ValueError:
+        # An estimate for nested joins can be too long a number to be handed over.
+        return float("inf")
 
 
 def broadcast_limit(df: DataFrame) -> int:

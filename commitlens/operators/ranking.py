@@ -42,7 +42,7 @@ def first_children(df: DataFrame, parent: str, position: str, limit: int | None)
     return top_n_per_key(df, [parent], [F.col(position)], int(limit))
 
 
-def best_first(df: DataFrame, scores: list[str], tie_break: str, limit: int | None = None) -> DataFrame:
+def best_first(df: DataFrame, scores: list[Column], tie_break: str, limit: int | None = None) -> DataFrame:
     """Descending by the scores, nulls last; Spark keeps only ``limit`` rows per task on the way."""
-    ordered = df.orderBy(*[F.desc_nulls_last(s) for s in scores], F.asc(tie_break))
+    ordered = df.orderBy(*[s.desc_nulls_last() for s in scores], F.asc(tie_break))
     return limited(ordered, limit)

@@ -54,9 +54,9 @@ def check_columns(result: DataFrame) -> DataFrame:
     return result
 
 
-def _mean(column: str) -> Column:
-    # Exact decimals: a sum of doubles depends on the order of the tasks, and with it the ranking.
-    return F.avg(F.col(column).cast("decimal(20,10)")).cast("double").alias(column)
+def _ranks() -> list[Column]:
+    # Nine decimals: equal means must not be told apart by the order in which they were summed.
+    return [F.round(s, 9) for s in SCORES]
 
 
 def package(result: DataFrame, people: int = MAX_PEOPLE, rows_per_cell: int = 10_000) -> DataFrame:
@@ -74,11 +74,11 @@ def package(result: DataFrame, people: int = MAX_PEOPLE, rows_per_cell: int = 10
             F.min("languages").alias("languages"),
             F.min("keywords").alias("keywords"),
             F.sum("commit_count").alias("commit_count"),
-            _mean("impact_to_project"),
-            _mean("technical_ability"),
+            F.avg("impact_to_project").alias("impact_to_project"),
+            F.avg("technical_ability").alias("technical_ability"),
             F.ceil(F.count(F.lit(1)) / rows_per_cell).cast("int").alias("_parts"),
         ),
-        SCORES,
+        _ranks(),
         "author_email",
         people,
     )
@@ -111,7 +111,7 @@ def package(result: DataFrame, people: int = MAX_PEOPLE, rows_per_cell: int = 10
         ranked.drop("_parts")
         .join(lists, F.col("author_email").eqNullSafe(F.col("_email")))
         .drop("_email")
-        .orderBy(*[F.desc_nulls_last(s) for s in SCORES], F.asc("author_email"), F.asc("part"))
+        .orderBy(*[r.desc_nulls_last() for r in _ranks()], F.asc("author_email"), F.asc("part"))
     )
 
 

@@ -162,7 +162,7 @@ def _person_rows(
     people = identity.canonical_identities(key_side, "author_email", max_emails)
     # key_count: -1 for too many addresses, null for groups without any, which are not in the graph.
     counted = lookup_join(row_side, people, ["component"], "left").select(
-        identity.exact_key(group).alias("_group"), "identity", F.coalesce("key_count", F.lit(-1)).alias("key_count")
+        F.col("row").alias("_group"), "identity", F.coalesce("key_count", F.lit(-1)).alias("key_count")
     )
     keyed = named.withColumn("_group", identity.exact_key(group))
     kept = lookup_join(keyed, counted, ["_group"], "left").where("key_count IS NULL OR key_count >= 0")

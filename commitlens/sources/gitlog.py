@@ -36,16 +36,11 @@ def _stat_lines(text: Column) -> Column:
     def number(c: Column) -> Column:
         return F.when(c == "-", F.lit(0)).otherwise(c.try_cast("bigint"))
 
-    parts = F.filter(
-        F.transform(F.split(text, "\n"), lambda line: F.split(strip(line), "\t")), lambda p: F.size(p) >= 3
-    )
+    tabbed = F.filter(F.split(text, "\n"), lambda line: line.contains("\t"))
+    parts = F.filter(F.transform(tabbed, lambda line: F.split(strip(line), "\t")), lambda p: F.size(p) >= 3)
     stats = F.transform(
         parts,
-        lambda p: F.struct(
-            number(F.get(p, F.lit(0))).alias("added"),
-            number(F.get(p, F.lit(1))).alias("deleted"),
-            F.get(p, F.lit(2)).alias("path"),
-        ),
+        lambda p: F.struct(number(p[0]).alias("added"), number(p[1]).alias("deleted"), p[2].alias("path")),
     )
     return F.filter(stats, lambda s: s["added"].isNotNull() & s["deleted"].isNotNull())
 
@@ -62,33 +57,32 @@ def parse_logs(logs: DataFrame, log: str = "log") -> DataFrame:
     holds an END line is cut there, and the commit still gets every stat line up to the next START.
     """
     others = [c for c in logs.columns if c != log]
-    commits = logs.select(*others, F.explode(F.regexp_extract_all(F.col(log), F.lit(_COMMIT), 0)).alias("_commit"))
-    halves = F.split(F.regexp_replace("_commit", _RESTART, ""), _END_LINE, 2)
-    commits = commits.select(*others, halves[0].alias("_head"), _stat_lines(halves[1]).alias("_stats"))
-    commits = commits.where(F.length("_head") > 0)
-    # Four header lines, then the message; every line of the head ends in \n.
-    header = F.split(F.substring_index("_head", "\n", 4), "\n")
-    newlines = F.length("_head") - F.length(F.replace(F.col("_head"), F.lit("\n"), F.lit("")))
-    message_at = F.length(F.substring_index("_head", "\n", 4)) + 2
+    # Cut and filtered inside the array, so that no commit is taken apart twice.
+    cut = F.transform(
+        F.regexp_extract_all(F.col(log), F.lit(_COMMIT), F.lit(0)),
+        lambda c: F.split(F.regexp_replace(c, _RESTART, ""), _END_LINE, 2),
+    )
+    commits = logs.select(*others, F.explode(F.filter(cut, lambda halves: halves[0] != "")).alias("_halves"))
+    # Four header lines and the rest. Every line ends in \n, so the last piece is no line by itself.
+    pieces = commits.select(
+        *others, F.split(F.col("_halves")[0], "\n", 5).alias("_head"), _stat_lines(F.col("_halves")[1]).alias("_stats")
+    )
 
     def header_line(i: int) -> Column:
-        # With fewer than four lines the last piece is the empty text after the last newline.
-        return F.when(newlines > i, strip(F.get(header, F.lit(i))))
+        return F.when(F.size("_head") > i + 1, strip(F.get("_head", F.lit(i))))
 
-    return commits.select(
+    rest = F.get("_head", F.lit(4))
+    return pieces.select(
         *others,
         header_line(0).alias("hash"),
         header_line(1).alias("author_name"),
         header_line(2).alias("author_email"),
         commit_date(header_line(3)).alias("date"),
-        F.when(
-            newlines > 4, F.expr("substr(_head, 1, length(_head) - 1)").substr(message_at, F.length("_head"))
-        ).alias("message"),
+        F.when(rest != "", rest.substr(F.lit(1), F.length(rest) - 1)).alias("message"),
         F.transform("_stats", lambda s: s["path"]).alias("files_changed"),
         _total("_stats", "added").alias("lines_added"),
         _total("_stats", "deleted").alias("lines_deleted"),
-        (_total("_stats", "added") + _total("_stats", "deleted")).alias("lines_modified"),
-    )
+    ).withColumn("lines_modified", F.col("lines_added") + F.col("lines_deleted"))
 
 
 def with_remote(df: DataFrame, url: str = "url", legacy: bool = False) -> DataFrame:

@@ -91,21 +91,20 @@ _PACKAGED = """
 packed AS (
   SELECT author_email, min(author_name) AS author_name, min(languages) AS languages, min(keywords) AS keywords,
          CAST(sum(commit_count) AS BIGINT) AS commit_count,
-         avg(CAST(impact_to_project AS DECIMAL(20,10))) AS impact_to_project,
-         avg(CAST(technical_ability AS DECIMAL(20,10))) AS technical_ability,
+         avg(impact_to_project) AS impact_to_project, avg(technical_ability) AS technical_ability,
          coalesce(string_agg(reason, chr(10) ORDER BY repo, author_name, reason), '') AS reason,
          string_agg(repo || ' ' || commit_count || ' ' || lines_modified || ' ' || CAST(first_commit AS VARCHAR) || ' '
                     || CAST(last_commit AS VARCHAR), chr(10) ORDER BY repo, author_name, reason) AS repo_text,
          string_agg('https://github.com/' || repo || ' ' || strftime(first_commit, '%-m/%-d/%Y') || ' '
                     || strftime(last_commit, '%-m/%-d/%Y'), chr(10) ORDER BY repo, author_name, reason) AS links,
          string_agg(repo || ' ' || commit_count || ' ' || lines_modified, chr(10) ORDER BY repo, author_name, reason) AS short,
-         round(avg(CAST(impact_to_project AS DECIMAL(20,10))), 1) AS mean_impact,
-         round(sum(technical_ability) / count(*), 1) AS mean_ability,
-         round(sum(coalesce(impact_to_project, 0)) / count(*), 1) AS mean_impact_shown
+         CAST(round(CAST(sum(technical_ability) / count(*) AS DECIMAL(20,8)), 1) AS DOUBLE) AS mean_ability,
+         CAST(round(CAST(sum(coalesce(impact_to_project, 0)) / count(*) AS DECIMAL(20,8)), 1) AS DOUBLE) AS mean_impact_shown
   FROM asked GROUP BY author_email),
 answer AS (
   SELECT * FROM packed
-  ORDER BY technical_ability DESC NULLS LAST, impact_to_project DESC NULLS LAST, commit_count DESC NULLS LAST, author_email
+  ORDER BY round(technical_ability, 9) DESC NULLS LAST, round(impact_to_project, 9) DESC NULLS LAST,
+           commit_count DESC NULLS LAST, author_email
   LIMIT 100)
 """
 

@@ -195,7 +195,7 @@ def ranked_customers(spark: SparkSession, d: str) -> DataFrame:
         F.floor(F.col("c_acctbal") / 1000).alias("technical_ability"), F.col("c_nationkey").alias("impact_to_project"),
         F.length("c_mktsegment").cast("bigint").alias("commit_count"), "c_name",
     )
-    return ranking.best_first(people, ask.SCORES, "c_name", 100)
+    return ranking.best_first(people, [F.col(c) for c in ask.SCORES], "c_name", 100)
 
 
 # -- sources -------------------------------------------------------------------------------------
@@ -350,7 +350,7 @@ def date_functions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _addresses(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    contributors = stages.extract_contributors(roles.commits(spark, d))
+    contributors = written(stages.extract_contributors(roles.commits(spark, d)), "contributors")
     return identity.resolve_identities(contributors, ["repo_owner", "repo_name", "author_name"], "author_email")
 
 
@@ -377,7 +377,8 @@ def shared_line_components(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _final(spark: SparkSession, d: str) -> DataFrame:
-    return stages.merge_contributors(roles.scored(spark, d), roles.repos(spark, d))
+    # Stages hand over written tables.
+    return stages.merge_contributors(written(roles.scored(spark, d), "scored"), written(roles.repos(spark, d), "repos"))
 
 
 def merge_people(spark: SparkSession, d: str) -> DataFrame:
