@@ -12,6 +12,8 @@ from commitlens.session import written
 
 # Steps along the picks within one round; deeper trees are finished in the next round.
 _STEPS = 3
+# How many hops beyond its neighbours a node of a small graph looks for its pick.
+_FARTHER = 2
 
 
 def _contract(pairs: DataFrame) -> DataFrame:
@@ -34,15 +36,14 @@ def _contract(pairs: DataFrame) -> DataFrame:
 
         # Every edge gives a row to either end, so the picks are at most twice the graph's file.
         small = 2 * estimated_bytes(graph) <= broadcast_limit(graph)
-        both = graph.select("u", ranked("v").alias("c")).union(
-            graph.select(F.col("v").alias("u"), ranked("u").alias("c"))
-        )
-        picks = written(
-            both.groupBy("u")
-            .agg(F.min("c").alias("c"))
-            .select(F.col("u").alias("node"), F.least("c", ranked("u"))["n"].alias("rep")),
-            "picks",
-        )
+        both = graph.union(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        best = both.groupBy("u").agg(F.least(F.min(ranked("v")), F.first(ranked("u"))).alias("c"))
+        if small:
+            # A round's fixed cost is most of it: let it look farther instead.
+            for _ in range(_FARTHER):
+                near = best.select(F.col("u").alias("v"), "c")
+                best = both.join(near, "v").groupBy("u").agg(F.min("c").alias("c"))
+        picks = written(best.select(F.col("u").alias("node"), F.col("c.n").alias("rep")), "picks")
         onward = picks.select(F.col("node").alias("at"), F.col("rep").alias("next"))
         arrived = picks
         for _ in range(_STEPS):

@@ -34,7 +34,8 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 def _stat_lines(text: Column) -> Column:
     """Array of (added, deleted, path); ``-`` counts 0, lines of another form are left out."""
     def number(c: Column) -> Column:
-        return F.when(c == "-", F.lit(0)).otherwise(c.try_cast("bigint"))
+        # Tested first: a failing cast raises and catches an error for every such line.
+        return F.when(c == "-", F.lit(0).cast("bigint")).when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), c.try_cast("bigint"))
 
     tabbed = F.filter(F.split(text, "\n"), lambda line: line.contains("\t"))
     parts = F.filter(F.transform(tabbed, lambda line: F.split(strip(line), "\t")), lambda p: F.size(p) >= 3)

@@ -14,7 +14,7 @@ from commitlens.operators import aggregates, filters, identity, infer, joins, ra
 from commitlens.plans import ask, stages
 from commitlens.session import shared_dir, written
 from commitlens.sources import catalogue as search
-from commitlens.sources import gitlog, tables
+from commitlens.sources import tables
 from workload import clients, roles
 from workload.roles import table
 
@@ -207,7 +207,8 @@ def readme_pick(spark: SparkSession, d: str) -> DataFrame:
 
 
 def commit_log_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    parsed = gitlog.parse_logs(gitlog.with_remote(roles.logs(spark, d)))
+    tasks = spark.sparkContext.defaultParallelism
+    parsed = stages.extract_commits(roles.log_repos(spark, d), roles.logs(spark, d), tasks)
     return _ntz(parsed, "date").select(
         "repo_owner", "repo_name", "hash", "author_name", "author_email", "date", "message",
         lists.pipe_join(F.col("files_changed")).alias("files_changed"), "lines_added", "lines_deleted", "lines_modified",

@@ -105,6 +105,11 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("url", log.alias("log"))
 
 
+def log_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The remotes of the logs."""
+    return commits(spark, sf_dir).select("url", F.col("repo_name").alias("name"))
+
+
 def repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analysed repositories: one per nation and order priority, some listed twice, and not all of them."""
     seen = (
