@@ -18,7 +18,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
-        spark__sql__windowExec__buffer__in__memory__threshold="4096",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

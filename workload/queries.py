@@ -458,7 +458,7 @@ def query_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def infer_scores(spark: SparkSession, d: str) -> DataFrame:
-    commits = roles.commits(spark, d)
+    commits = written(roles.commits(spark, d), "commits")
     scored = stages.score_contributors(stages.extract_contributors(commits), commits, clients.quality_client, NO_WAIT)
     return scored.select(*stages.CONTRIBUTOR, "impact_to_project", "technical_ability", "reason")
 
@@ -504,7 +504,8 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws("/", "repo_owner", "repo_name").alias("repo"),
         F.concat(F.lit("did "), "commit_count").alias("reason"),
     )
-    top = ask.package(scored)
+    # The ranking and the lists both read it.
+    top = ask.package(written(scored, "scored"))
     return top.select(
         "author_email", "author_name", "commit_count", _score("impact_to_project"), _score("technical_ability"),
         F.array_join("reason", "\n").alias("reason"),
