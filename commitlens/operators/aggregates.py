@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.functions.text import truncate_message
-from commitlens.operators.joins import null_safe_join
 from commitlens.operators.ranking import top_n_per_key
 
 
@@ -20,8 +19,8 @@ def weighted_mean(value: str, weight: str, skip_null: bool = False) -> Column:
 
 
 def any_value_by(value: str, *order: str) -> Column:
-    """The value of the first row by ``order``: any value, but the same one on every run."""
-    return F.min_by(value, F.struct(*order))
+    """The value of the first row by ``order``, nulls last: any value, but the same one on every run."""
+    return F.min_by(value, F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))]))
 
 
 def distinct_list(df: DataFrame, keys: list[str], list_column: str) -> DataFrame:
@@ -102,10 +101,3 @@ def first_items(df: DataFrame, keys: list[str], items: str, n: int = 100) -> Dat
     distinct = df.select(*keys, F.explode(items).alias("_item")).where("_item IS NOT NULL").distinct()
     first = top_n_per_key(distinct, keys, [F.col("_item")], n)
     return first.groupBy(*keys).agg(F.array_sort(F.collect_list("_item")).alias(items))
-
-
-def with_group(df: DataFrame, keys: list[str], *groups: DataFrame) -> DataFrame:
-    """Left-join per-key results onto one row per key; null keys match."""
-    for group in groups:
-        df = null_safe_join(df, group, keys, "left")
-    return df

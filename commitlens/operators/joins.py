@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from commitlens.session import written
+
 # A key with more rows than this is spread over several tasks, one per this many rows.
 HOT_ROWS = 2_000_000
 # At most this many keys are spread, the largest ones. Any other key holds less than 1/MAX_HOT_KEYS
@@ -50,10 +52,11 @@ def lookup_join(
     """Join ``facts`` to a ``lookup`` that has one row per key; ``how`` is inner or left.
 
     A lookup side below Spark's own broadcast limit is left to Spark (``small`` says so where the
-    caller has measured a table of the same size). Otherwise both sides are
-    shuffled by key and salt: a hot key's facts go to as many tasks as its row count calls for and
-    its lookup row is copied to each of them; other keys have the one salt 0. Facts with a null
-    key match nothing and are spread as well. Key columns of the right side are dropped.
+    caller has measured a table of the same size). Otherwise the facts' keys are counted in a job of
+    its own, and both sides are shuffled by key and salt: a hot key's facts go to as many tasks as
+    its row count calls for and its lookup row is copied to each of them; other keys have the one
+    salt 0. Facts with a null key match nothing and are spread as well. Key columns of the right
+    side are dropped.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
@@ -69,7 +72,10 @@ def lookup_join(
     if small if small is not None else estimated_bytes(lookup) <= broadcast_limit(facts):
         return facts.join(lookup, matches, how).drop(*right_keys)
 
-    hot = hot_keys(facts, left_keys, hot_rows)
+    hot = written(hot_keys(facts, left_keys, hot_rows), "hot")
+    if how == "inner" and hot.isEmpty():
+        return facts.join(lookup, matches, how).drop(*right_keys)
+
     any_null = F.lit(False)
     for a in left_keys:
         any_null = any_null | F.col(a).isNull()
@@ -89,11 +95,3 @@ def lookup_join(
         *facts.columns, *[c for c in lookup.columns if c not in right_keys]
     )
 
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join of two one-row-per-key sides in which null keys match each other."""
-    matches = F.lit(True)
-    for key in keys:
-        right = right.withColumnRenamed(key, f"_r_{key}")
-        matches = matches & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
-    return left.join(right, matches, how).drop(*[f"_r_{k}" for k in keys])

@@ -15,13 +15,15 @@ from commitlens.operators import aggregates, identity
 from commitlens.operators.filters import MAX_EMAILS, NO_COMMITS, NO_README, active, deny
 from commitlens.operators.infer import Calls, ask_model, in_tasks
 from commitlens.operators.joins import lookup_join
-from commitlens.operators.ranking import limited
+from commitlens.operators.ranking import limited, unlimited
+from commitlens.session import written
 from commitlens.plans import prompts
 from commitlens.sources import catalogue as catalogue_search
 from commitlens.sources.gitlog import parse_logs, with_remote
 from commitlens.sources.readme import with_readme
 
 CONTRIBUTOR = ["repo_owner", "repo_name", "author_email"]
+LINE_COUNTS = ["lines_added", "lines_deleted", "lines_modified"]
 # Commits of a contributor are put in this order wherever order matters.
 COMMIT_ORDER = ["date", "hash"]
 
@@ -72,15 +74,21 @@ def extract_contributors(commits: DataFrame) -> DataFrame:
     The texts and file lists of a contributor, which may be any size, are separate tables:
     ``contributor_messages`` and ``contributor_files``.
     """
-    return commits.groupBy(*CONTRIBUTOR).agg(
-        aggregates.any_value_by("author_name", *COMMIT_ORDER).alias("author_name"),
+    # By name as well at first: numbers and dates are all that is aggregated over the commits, which
+    # Spark does by hashing. Picking a name, a string, would make it sort them.
+    by_name = commits.groupBy(*CONTRIBUTOR, "author_name").agg(
         F.count("date").alias("commit_count"),
-        F.sum("lines_added").alias("lines_added"),
-        F.sum("lines_deleted").alias("lines_deleted"),
-        F.sum("lines_modified").alias("lines_modified"),
+        *[F.sum(c).alias(c) for c in LINE_COUNTS],
         F.min("date").alias("first_commit"),
         F.max("date").alias("last_commit"),
     )
+    return by_name.groupBy(*CONTRIBUTOR).agg(
+        aggregates.any_value_by("author_name", "first_commit", "author_name").alias("author_name"),
+        F.sum("commit_count").alias("commit_count"),
+        *[F.sum(c).alias(c) for c in LINE_COUNTS],
+        F.min("first_commit").alias("first_commit"),
+        F.max("last_commit").alias("last_commit"),
+    )
 
 
 def contributor_messages(commits: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
@@ -108,11 +116,13 @@ def contributor_files(commits: DataFrame, rows_per_part: int = 1_000) -> DataFra
 def contributor_requests(contributors: DataFrame, commits: DataFrame, top: int | None = None) -> DataFrame:
     """The active contributors with their ``request``: counts, first files and first words of their messages."""
     chosen = limited(active(contributors), top).withColumn("_who", identity.exact_key(CONTRIBUTOR))
-    history = lookup_join(
-        commits.select(identity.exact_key(CONTRIBUTOR).alias("_who"), *COMMIT_ORDER, "message", "files_changed"),
-        chosen.select("_who"),
-        ["_who"],
+    history = commits.select(
+        identity.exact_key(CONTRIBUTOR).alias("_who"), *COMMIT_ORDER, "message", "files_changed"
     )
+    if not unlimited(top):
+        # No more than `top` keys. Without a limit the texts are not moved for a join beforehand:
+        # they are cut down where they lie.
+        history = history.join(F.broadcast(chosen.select("_who")), "_who", "left_semi")
     messages = aggregates.history_digest(history, ["_who"], "message", COMMIT_ORDER)
     files = aggregates.first_items(history, ["_who"], "files_changed")
     # One row per contributor on every side.
@@ -171,9 +181,7 @@ def _person_rows(
         kept.groupBy(*group, "identity", F.coalesce("key_count", F.lit(0)).alias("email_count"))
         .agg(
             F.sum("commit_count").alias("commit_count"),
-            F.sum("lines_added").alias("lines_added"),
-            F.sum("lines_deleted").alias("lines_deleted"),
-            F.sum("lines_modified").alias("lines_modified"),
+            *[F.sum(c).alias(c) for c in LINE_COUNTS],
             F.min("first_commit").alias("first_commit"),
             F.max("last_commit").alias("last_commit"),
             # At most one row per address and no more than max_emails addresses are left.
@@ -232,7 +240,8 @@ def merge_contributors(
     One row per repository and normalised name. People whose repositories are unknown stay, with
     null tags; people with more than ``max_emails`` addresses are left out as bots.
     """
-    people = _person_rows(contributors, max_emails, ignore_emails, skip_null_weights)
+    # Written because it is read twice: for the tags and to be joined with them.
+    people = written(_person_rows(contributors, max_emails, ignore_emails, skip_null_weights), "people")
     tags = person_tags(people, repos, legacy)
     return (
         lookup_join(people, tags, ["author_email"], "left")

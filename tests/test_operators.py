@@ -112,14 +112,6 @@ def test_hot_keys(spark):
     assert [tuple(r) for r in joins.hot_keys(df, ["k"], hot_rows=100).collect()] == [("a", 3)]
 
 
-def test_null_safe_join(spark):
-    left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, x int")
-    right = spark.createDataFrame([(None, 3)], "k string, y int")
-    assert sorted(map(repr, joins.null_safe_join(left, right, ["k"], "left").collect())) == [
-        "Row(k='a', x=2, y=None)", "Row(k=None, x=1, y=3)",
-    ]
-
-
 @pytest.mark.parametrize("salts", [1, 4])
 def test_top_n(spark, salts):
     rng = random.Random(4)
