@@ -19,6 +19,8 @@ def spark():
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
         spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+        # The plans are many and the data small: compiling them would take longer than running them.
+        spark__sql__codegen__wholeStage="false",
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -34,7 +34,7 @@ def components(spark, edges):
 
 
 def test_components_shapes(spark):
-    path = [(f"p{i}", f"p{i + 1}") for i in range(60)]
+    path = [(f"p{i}", f"p{i + 1}") for i in range(40)]
     random.Random(1).shuffle(path)
     star = [("hub", f"s{i}") for i in range(50)]
     edges = path + star + [("alone", "alone"), ("x", "y"), ("y", "x")]
@@ -50,7 +50,7 @@ def test_components_random(spark):
 def test_components_with_shuffled_joins(spark, no_broadcast):
     # A hub in a third of the edges, no broadcast anywhere.
     rng = random.Random(6)
-    edges = [("hub", f"n{i}") for i in range(40)] + [(f"m{rng.randrange(60)}", f"m{rng.randrange(60)}") for _ in range(80)]
+    edges = [("hub", f"n{i}") for i in range(12)] + [(f"m{rng.randrange(20)}", f"m{rng.randrange(20)}") for _ in range(24)]
     assert components(spark, edges) == union_find(edges)
 
 

@@ -76,7 +76,7 @@ def repos(spark, rows):
     return spark.createDataFrame(rows, "owner string, name string, languages array<string>, keywords array<string>, readme string")
 
 
-def test_merge(spark, no_broadcast):
+def test_merge(spark):
     people = scored(
         spark,
         [

@@ -382,6 +382,17 @@ def _final(spark: SparkSession, d: str) -> DataFrame:
     return stages.merge_contributors(written(roles.scored(spark, d), "scored"), written(roles.repos(spark, d), "repos"))
 
 
+_final_tables: dict[tuple[str, str], DataFrame] = {}
+
+
+def _final_table(spark: SparkSession, d: str) -> DataFrame:
+    """The final table as the question service finds it: written once, then only read."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _final_tables:
+        _final_tables[key] = written(_final(spark, d), "contributions")
+    return tables.register(_final_tables[key], "contributions")
+
+
 def merge_people(spark: SparkSession, d: str) -> DataFrame:
     final = _ntz(_final(spark, d), "first_commit", "last_commit")
     return final.withColumns({c: F.round(c, 6) for c in ("impact_to_project", "technical_ability")})
@@ -399,7 +410,7 @@ ORDER BY technical_ability DESC, impact_to_project DESC, commit_count DESC
 
 
 def _answer(spark: SparkSession, d: str) -> DataFrame:
-    tables.register(written(_final(spark, d), "contributions"), "contributions")
+    _final_table(spark, d)
     return ask.package(ask.run_sql(spark, QUESTION.format(contributions="contributions")))
 
 
@@ -425,7 +436,7 @@ def present(spark: SparkSession, d: str) -> DataFrame:
 
 def first_nonempty(spark: SparkSession, d: str) -> DataFrame:
     """Three candidate queries: one invalid, one empty, one good; the good one's people come back."""
-    tables.register(written(_final(spark, d), "contributions"), "contributions")
+    _final_table(spark, d)
     good = QUESTION.format(contributions="contributions")
     answer = ask.first_nonempty(spark, ["SELECT nothing FROM contributions", good.replace("nation_1%", "nowhere"), good])
     rows = [(r["author_email"], r["commit_count"], answer.num_tries) for r in answer.rows]
@@ -434,13 +445,13 @@ def first_nonempty(spark: SparkSession, d: str) -> DataFrame:
 
 def query_contract(spark: SparkSession, d: str) -> DataFrame:
     """Nations whose final rows meet the contract of an answer."""
-    final = ask.check_columns(_final(spark, d))
+    final = ask.check_columns(_final_table(spark, d))
     return final.groupBy(F.substring_index("repo", "/", 1).alias("owner")).agg(F.count(F.lit(1)).alias("people"))
 
 
 def query_log(spark: SparkSession, d: str) -> DataFrame:
     """The log after one good, one empty and one failing question over the final table."""
-    tables.register(written(_final(spark, d), "contributions"), "contributions")
+    _final_table(spark, d)
     good = QUESTION.format(contributions="contributions")
     path = f"{shared_dir(spark)}/query-log-{uuid.uuid4().hex}"
     ask.search(spark, "rust people", [good], path)
