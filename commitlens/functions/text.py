@@ -63,11 +63,13 @@ def truncate_message(c: Column, lines: int = 500, words: int = 10_000) -> Column
 
 def guess_markup(c: Column) -> Column:
     """``markdown``, ``rst`` or ``unknown``: two tests per format, the higher score wins."""
-    def hit(pattern: str) -> Column:
-        return c.rlike(pattern).cast("int")
+    def hit(pattern: str, needs: str | None = None) -> Column:
+        # A plain search for what any match contains saves most texts the pattern.
+        found = c.rlike(pattern) if needs is None else c.contains(needs) & c.rlike(pattern)
+        return found.cast("int")
 
-    markdown = hit(MARKDOWN_LINK) + hit(MARKDOWN_HEADING)
-    rst = hit(RST_DIRECTIVE) + hit(RST_UNDERLINE)
+    markdown = hit(MARKDOWN_LINK, "](http") + hit(MARKDOWN_HEADING, "#")
+    rst = hit(RST_DIRECTIVE, "::") + hit(RST_UNDERLINE)
     return F.when(markdown > rst, "markdown").when(rst > markdown, "rst").otherwise("unknown")
 
 

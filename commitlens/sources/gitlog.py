@@ -21,16 +21,49 @@ _END_LINE = rf"(?md)^{END}$\n?"
 _RESTART = rf"\A{START}\n(?:(?:[^\n]*\n){{0,4}}?{START}\n)*"
 
 
-def read_logs(spark: SparkSession, path: str) -> DataFrame:
+def read_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, log) for every file under ``path``, one row per file, invalid UTF-8 replaced.
 
-    A very large history is best exported as several files by date range: any number of logs may
-    belong to one remote.
+    A file is one cell, up to 2 GB; ``read_log_files`` has no such limit.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", sanitize_utf8(F.col("content").cast("string")).alias("log"))
 
 
+def read_log_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, log) for the log files under ``path``, one row per commit, files of any size.
+
+    START lines serve as the record separator of Spark's text reader, which splits a large file over
+    many tasks. That is right as long as a START line only stands between commits. A first narrow
+    pass finds the files where it does not, because a message quotes one or a header breaks off;
+    those, and files that begin with something else, are read whole instead.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", f"{START}\n")
+    records = reader.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"),
+        F.col("value"),
+    )
+    # The empty text is what stands before the START line a file begins with.
+    whole = (F.col("value") == "") | (F.col("value").rlike(rf"(?md)^{END}$") & F.endswith("value", F.lit("\n")))
+    per_file = records.groupBy("path").agg(
+        F.min_by(F.col("value") == "", "at").alias("begins_right"),
+        F.min(F.when(~whole, F.col("at"))).alias("first_broken"),
+        F.max("at").alias("last"),
+    )
+    # The last commit may be cut off; it is then not emitted either way.
+    broken = per_file.where("NOT begins_right OR first_broken < last").select("path")
+    # Paths, of which the driver lists all anyway.
+    paths = [r.path for r in broken.collect()]
+    logs = records.where(F.col("value") != "").select(
+        "path", sanitize_utf8(F.concat(F.lit(f"{START}\n"), "value")).alias("log")
+    )
+    if not paths:
+        return logs
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    return logs.join(listed, "path", "left_anti").unionByName(read_logs(spark, paths))
+
+
 def _stat_lines(text: Column) -> Column:
     """Array of (added, deleted, path); ``-`` counts 0, lines of another form are left out."""
     def number(c: Column) -> Column:

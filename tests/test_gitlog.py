@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from commitlens.sources.gitlog import END, START, parse_logs, read_logs, with_remote
+from commitlens.sources.gitlog import END, START, parse_logs, read_log_files, read_logs, with_remote
 
 UTC = dt.timezone.utc
 
@@ -125,3 +125,43 @@ def test_read_logs(spark, tmp_path):
     (tmp_path / "b.log").write_text(header("h2") + f"m\n{END}\n")
     got = {r.hash: r.message for r in parse_logs(read_logs(spark, str(tmp_path))).collect()}
     assert got == {"h": "bad � byte", "h2": "m"}
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "300")
+    spark.conf.set(names[1], "0")
+    yield
+    for n, value in zip(names, before):
+        spark.conf.set(n, value)
+
+
+def test_read_log_files(spark, tmp_path, tiny_splits):
+    def block(i, message="m\n", marker=""):
+        return header(f"h{i}") + f"{message}\n{END}\n{marker}\n{i}\t1\tfile {i}\n"
+
+    plain = "".join(block(i, f"message {i}\n" * (i % 7)) for i in range(120))
+    files = {
+        "plain.log": plain,
+        "quoted.log": block(1) + block(2, f"quotes\n{START}\nand goes on") + block(3),
+        "midline.log": block(1) + block(2, f"says {START}\nmore") + block(3),
+        "restart.log": f"{START}\nbroken\nheader\n" + block(1),
+        "garbage.log": f"first\n{END}\n1\t1\tx\n" + block(1),
+        "cut.log": block(1) + header("cut") + "message without end\n",
+        "twice.log": block(1) + f"{END}\n5\t5\tmore\n" + block(2),
+        "empty.log": "",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    logs = read_log_files(spark, str(tmp_path))
+    assert spark.read.option("lineSep", f"{START}\n").text(str(tmp_path / "plain.log")).rdd.getNumPartitions() > 10
+    columns = ["path", "hash", "message", "files_changed", "lines_added", "lines_deleted"]
+
+    def rows(df):
+        return sorted(repr((r.path.rsplit("/")[-1], *r[1:])) for r in parse_logs(df).select(*columns).collect())
+
+    assert rows(logs) == rows(read_logs(spark, str(tmp_path)))
+    assert logs.where("path LIKE '%plain.log'").count() == 120
+    assert logs.where("path LIKE '%quoted.log'").count() == 1
