@@ -5,6 +5,7 @@ from __future__ import annotations
 import asyncio
 import dataclasses
 import inspect
+import json
 import typing
 from collections.abc import Callable, Iterator
 
@@ -91,6 +92,35 @@ def ask_model(
     return answers.asNondeterministic()(request)
 
 
+_PLAIN = {StringType(): str, LongType(): int, DoubleType(): (int, float), BooleanType(): bool}
+
+
+def _fits(value, kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return isinstance(value, list) and all(_fits(v, kind.elementType) for v in value)
+    return isinstance(value, _PLAIN[kind]) and isinstance(value, bool) == (kind == BooleanType())
+
+
+def answer_check(schema: StructType, bounds: dict[str, tuple[int, int]] | None = None) -> Callable[[str], bool]:
+    """A test for ``ask_model``: is the text JSON with the fields of ``schema``, within bounds?
+
+    With it an answer that does not fit is asked for again, as often as ``Calls`` allows.
+    """
+    fields = [(f.name, f.dataType) for f in schema.fields]
+    limits = bounds or {}
+
+    def accept(text: str) -> bool:
+        try:
+            answer = json.loads(text)
+        except ValueError:
+            return False
+        if not isinstance(answer, dict) or not all(_fits(answer.get(name), kind) for name, kind in fields):
+            return False
+        return all(low <= answer[name] <= high for name, (low, high) in limits.items())
+
+    return accept
+
+
 def in_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
     """Spread the rows over ``tasks`` tasks, which also caps how many clients run at a time."""
     return df if tasks is None else df.repartition(tasks)

@@ -13,9 +13,9 @@ from commitlens.functions.lists import hyphenate, normalize_items, pipe_join
 from commitlens.functions.text import data_uri, fill, normalize, prefixed_reason, slug, to_plain
 from commitlens.operators import aggregates, identity
 from commitlens.operators.filters import MAX_EMAILS, NO_COMMITS, NO_README, active, deny
-from commitlens.operators.infer import Calls, ask_model, in_tasks
-from commitlens.operators.joins import lookup_join
-from commitlens.operators.ranking import limited, unlimited
+from commitlens.operators.infer import Calls, answer_check, ask_model, in_tasks
+from commitlens.operators.joins import broadcast_limit, estimated_bytes, lookup_join
+from commitlens.operators.ranking import limited
 from commitlens.session import written
 from commitlens.plans import prompts
 from commitlens.sources import catalogue as catalogue_search
@@ -51,7 +51,9 @@ def analyze_repos(
         readme=to_plain(F.col("readme")),
         languages_and_keywords_shape=F.lit(prompts.PROJECT_SHAPE),
     )
-    asked = in_tasks(repos, tasks).withColumn("_text", ask_model(request, make_client, calls))
+    asked = in_tasks(repos, tasks).withColumn(
+        "_text", ask_model(request, make_client, calls, answer_check(schemas.PROJECT_ANALYSIS))
+    )
     answered = asked.withColumn("_answer", parse_answer(F.col("_text"), schemas.PROJECT_ANALYSIS))
     return answered.withColumns(
         {
@@ -115,13 +117,15 @@ def contributor_files(commits: DataFrame, rows_per_part: int = 1_000) -> DataFra
 
 def contributor_requests(contributors: DataFrame, commits: DataFrame, top: int | None = None) -> DataFrame:
     """The active contributors with their ``request``: counts, first files and first words of their messages."""
-    chosen = limited(active(contributors), top).withColumn("_who", identity.exact_key(CONTRIBUTOR))
+    chosen = written(
+        limited(active(contributors), top).withColumn("_who", identity.exact_key(CONTRIBUTOR)), "chosen"
+    )
     history = commits.select(
         identity.exact_key(CONTRIBUTOR).alias("_who"), *COMMIT_ORDER, "message", "files_changed"
     )
-    if not unlimited(top):
-        # No more than `top` keys. Without a limit the texts are not moved for a join beforehand:
-        # they are cut down where they lie.
+    if estimated_bytes(chosen) <= broadcast_limit(chosen):
+        # The size is that of the file. Were it larger, the texts would not be moved for a join
+        # beforehand: they are cut down where they lie.
         history = history.join(F.broadcast(chosen.select("_who")), "_who", "left_semi")
     messages = aggregates.history_digest(history, ["_who"], "message", COMMIT_ORDER)
     files = aggregates.first_items(history, ["_who"], "files_changed")
@@ -145,13 +149,17 @@ def score_contributors(
     contributors: DataFrame,
     commits: DataFrame,
     make_client: Callable,
-    calls: Calls = Calls(attempts=3),
+    calls: Calls = Calls(attempts=3, first_wait=0.0, longest_wait=0.0),
     top: int | None = None,
     tasks: int | None = None,
 ) -> DataFrame:
-    """The active contributors with a model's scores and reason; null where it gives no valid answer."""
+    """The active contributors with a model's scores and reason; null where it gives no valid answer.
+
+    ``top`` scores that many of them only; ``Calls(on_error="fail")`` stops at the first failure.
+    """
     asked = in_tasks(contributor_requests(contributors, commits, top), tasks)
-    answered = asked.withColumn("_text", ask_model(F.col("request"), make_client, calls)).withColumn(
+    check = answer_check(schemas.COMMIT_QUALITY, QUALITY_BOUNDS)
+    answered = asked.withColumn("_text", ask_model(F.col("request"), make_client, calls, check)).withColumn(
         "_answer", parse_answer(F.col("_text"), schemas.COMMIT_QUALITY, QUALITY_BOUNDS)
     )
     return answered.select(*schemas.CONTRIBUTORS.fieldNames(), "_answer.*")
@@ -261,7 +269,9 @@ def score_images(
     """Add profile_pic_score and profile_pic_reason; a picture that cannot be scored keeps its row."""
     request = fill(prompts.PICTURE, picture=data_uri(F.col(picture)), picture_shape=F.lit(prompts.PICTURE_SHAPE))
     asked = in_tasks(pictures, tasks).withColumn(
-        "_text", ask_model(F.when(F.col(picture).isNotNull(), request), make_client, calls)
+        "_text", ask_model(
+            F.when(F.col(picture).isNotNull(), request), make_client, calls, answer_check(schemas.PICTURE_SCORE)
+        ),
     )
     answered = asked.withColumn("_answer", parse_answer(F.col("_text"), schemas.PICTURE_SCORE))
     return answered.withColumns(

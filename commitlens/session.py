@@ -18,6 +18,8 @@ def build_session(app: str = "commitlens", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Rank limits up to this size are applied before the shuffle; the history digest needs 10 001.
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "20000")
     )
     if master:
         builder = builder.master(master)

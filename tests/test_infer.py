@@ -1,11 +1,14 @@
 import asyncio
 import dataclasses
+import json
 import struct
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
+from commitlens import schemas
+from commitlens.functions.answers import QUALITY_BOUNDS
 from commitlens.operators import infer
 from commitlens.plans import stages
 from commitlens.sources import images
@@ -52,6 +55,18 @@ def test_retries_until_accepted(spark):
     assert ask(spark, ["a"], client, infer.Calls(first_wait=0, longest_wait=0, attempts=2), lambda t: t == "good") == [None]
 
 
+def test_answer_check():
+    check = infer.answer_check(schemas.COMMIT_QUALITY, QUALITY_BOUNDS)
+    good = {"impact_to_project": 1, "technical_ability": 10, "reason": "r"}
+    assert check(json.dumps(good))
+    for change in ({"impact_to_project": 0}, {"technical_ability": 10.5}, {"reason": None}, {"impact_to_project": True}):
+        assert not check(json.dumps(good | change))
+    assert not check("sorry") and not check("[1]")
+    projects = infer.answer_check(schemas.PROJECT_ANALYSIS)
+    assert projects('{"languages": ["c"], "keywords": []}') and not projects('{"languages": [1], "keywords": []}')
+    assert infer.answer_check(schemas.PICTURE_SCORE)('{"score": 3, "reason": ""}')
+
+
 def test_failure_can_fail_the_job(spark):
     def client():
         def call(request):
