@@ -75,7 +75,8 @@ def ask_model(
 
     ``make_client`` runs once per task and returns a function, plain or async, of one request; it
     is also where credentials are read, so none travel with the plan. A null request is not sent.
-    Only the request column goes to Python. Marked nondeterministic, so taking several fields of
+    Only the request column goes to Python, in batches of spark.sql.execution.arrow.maxRecordsPerBatch
+    rows, which also bounds what one event loop has to do. Marked nondeterministic, so taking several fields of
     the answer never sends a request twice.
     """
 

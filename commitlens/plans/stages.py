@@ -28,11 +28,13 @@ LINE_COUNTS = ["lines_added", "lines_deleted", "lines_modified"]
 COMMIT_ORDER = ["date", "hash"]
 
 
-def search_repos(catalogue: DataFrame, keywords: list[str] | str, limit: int | None = 10) -> DataFrame:
-    """Repositories per keyword, most stars first."""
+def search_repos(
+    catalogue: DataFrame, keywords: list[str] | str, limit: int | None = 10, qualifiers: tuple[str, ...] = ("owner",)
+) -> DataFrame:
+    """Repositories per keyword, those with the most stars; ``owner:ann`` asks for a qualifier column."""
     if isinstance(keywords, str):
         keywords = catalogue_search.parse_keywords(keywords)
-    return catalogue_search.search(catalogue, keywords, limit).select(*schemas.REPOS.fieldNames())
+    return catalogue_search.search(catalogue, keywords, limit, qualifiers=qualifiers).select(*schemas.REPOS.fieldNames())
 
 
 def attach_readme(repos: DataFrame, files: DataFrame) -> DataFrame:

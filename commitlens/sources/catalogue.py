@@ -13,10 +13,16 @@ def parse_keywords(text: str) -> list[str]:
     return text.split(",")
 
 
-def _tokens(searched: list[str], qualifiers: list[str]) -> Column:
-    words = F.split(F.lower(F.concat_ws(" ", *searched)), r"[^\p{L}\p{N}+#.-]+")
-    named = [F.concat(F.lit(f"{q}:"), F.lower(F.col(q).cast("string"))) for q in qualifiers]
-    return F.array_distinct(F.concat(words, F.array_compact(F.array(*named)))) if named else F.array_distinct(words)
+def _tokens(catalogue: DataFrame, searched: list[str], qualifiers: list[str]) -> Column:
+    """The terms a row can be found by: its words, and ``column:value`` for the qualifiers."""
+    kinds = dict(catalogue.dtypes)
+    parts = [F.split(F.lower(F.concat_ws(" ", *searched)), r"[^\p{L}\p{N}+#.-]+")]
+    for column in qualifiers:
+        values = F.col(column) if kinds[column].startswith("array") else F.array(F.col(column).cast("string"))
+        # The loop variable is bound here: the lambda is called at once.
+        named = F.transform(F.array_compact(values), lambda v: F.concat(F.lit(f"{column}:"), F.lower(v)))  # noqa: B023
+        parts.append(F.coalesce(named, F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(*parts))
 
 
 def search_hits(
@@ -25,7 +31,7 @@ def search_hits(
     """catalogue columns + query_id, query: one row per keyword and repository that matches it.
 
     A keyword is one or more terms, all of which must match: a word of the ``searched`` columns or
-    ``column:value`` for a qualifier column. Terms are looked up by equality on a keyword's first
+    ``column:value`` for a qualifier column, which may be a list. Terms are looked up by equality on a keyword's first
     term; the catalogue is read once and not shuffled.
     """
     spark = catalogue.sparkSession
@@ -37,7 +43,7 @@ def search_hits(
     asked = spark.createDataFrame(queries, "query_id int, query string, _first string, _rest array<string>")
     # As long as the caller's own list of keywords, which is in driver memory already.
     firsts = F.array(*[F.lit(t) for t in sorted({q[2] for q in queries})]).cast("array<string>")
-    found = catalogue.withColumn("_tokens", _tokens(searched, qualifiers)).withColumn(
+    found = catalogue.withColumn("_tokens", _tokens(catalogue, searched, qualifiers)).withColumn(
         "_first", F.explode(F.array_intersect("_tokens", firsts))
     )
     hits = found.join(F.broadcast(asked), "_first")
@@ -51,7 +57,7 @@ def search(
     searched: tuple[str, ...] = ("name", "description"),
     qualifiers: tuple[str, ...] = ("owner",),
     stars: str = "stars",
-    tie_break: tuple[str, ...] = ("owner", "name"),
+    tie_break: tuple[str, ...] = ("owner", "name", "url"),
     keep_query: bool = False,
 ) -> DataFrame:
     """Per keyword the hits with the most stars, ``limit`` of them (None or 0: all).

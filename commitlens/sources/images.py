@@ -23,3 +23,9 @@ def read_images(spark: SparkSession, directory: str) -> DataFrame:
     """(name, image) with height, width, channels and pixels; undecodable files are left out."""
     images = spark.read.format("image").option("dropInvalid", "true").load(directory)
     return images.select(_name("image.origin").alias("name"), "image")
+
+
+def with_image(df: DataFrame, directory: str, name: str, out: str) -> DataFrame:
+    """Add the decoded picture ``name`` under ``directory``; null where there is none or it is broken."""
+    decoded = read_images(df.sparkSession, directory).select(F.col("name").alias("_file"), F.col("image").alias(out))
+    return lookup_join(df, decoded, [(name, "_file")], "left")

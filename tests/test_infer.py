@@ -185,3 +185,5 @@ def test_pictures(spark, tmp_path):
     assert bytes(got["ann"]) == png(3, 2) and got["bob"] is None and got["cy"] is None
     decoded = images.read_images(spark, str(tmp_path)).select("name", "image.width", "image.height", "image.nChannels").collect()
     assert [tuple(r) for r in decoded] == [("a.png", 3, 2, 3)]
+    widths = {r.who: r.img and r.img.width for r in images.with_image(people, str(tmp_path), "file", "img").collect()}
+    assert widths == {"ann": 3, "bob": None, "cy": None}

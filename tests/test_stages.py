@@ -149,6 +149,8 @@ def test_search(spark):
     assert search(spark, ["owner:ANN json tool", "nothing", "", "c++"], 5) == [("", None), ("c++", "u4"), ("nothing", None), ("owner:ANN json tool", "u3")]
     rows = spark.createDataFrame([(*r, None, None) for r in CATALOGUE], "name string, owner string, url string, description string, stars long, updated string, created_at string")
     got = stages.search_repos(rows, "json,absent", 1).collect()
+    tagged = spark.createDataFrame([("n", "o", "u1", "d", 1, ["Rust", "C"]), ("m", "o", "u2", "d", 2, None)], "name string, owner string, url string, description string, stars long, language array<string>")
+    assert [r.url for r in catalogue.search(tagged, ["language:rust"], None, qualifiers=("language",)).collect()] == ["u1"]
     assert sorted([r.url for r in got], key=str) == [None, "u3"] and got[0].__fields__ == schemas.REPOS.names
 
 

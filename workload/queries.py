@@ -171,7 +171,7 @@ def agg_join_back(spark: SparkSession, d: str) -> DataFrame:
 
 
 def keyword_topk(spark: SparkSession, d: str) -> DataFrame:
-    found = search.search(roles.catalogue(spark, d), KEYWORDS, 10, tie_break=("owner", "name", "url"), keep_query=True)
+    found = search.search(roles.catalogue(spark, d), KEYWORDS, 10, keep_query=True)
     return found.select("query", "name", "owner", "url", "stars")
 
 
