@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.operators.ranking import top_n_per_key, unlimited
+from commitlens.session import written
 
 
 def parse_keywords(text: str) -> list[str]:
@@ -67,7 +68,8 @@ def search(
     hits = search_hits(catalogue, keywords, list(searched), list(qualifiers))
     if not unlimited(limit):
         order = [F.desc_nulls_last(stars), *[F.asc(c) for c in tie_break]]
-        hits = top_n_per_key(hits, ["query_id"], order, int(limit))
+        # No more than `limit` rows per keyword: written, so that the catalogue is read only once.
+        hits = written(top_n_per_key(hits, ["query_id"], order, int(limit)), "hits")
     answered = hits.select("query_id").distinct()
     asked = catalogue.sparkSession.createDataFrame(list(enumerate(keywords)), "query_id int, query string")
     # One row per keyword on either side of this join.
