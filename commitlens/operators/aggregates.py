@@ -40,14 +40,16 @@ def ordered_parts(
 
     Reading a key's parts by ascending ``part`` gives its rows in order. The rows are range
     partitioned by key and order, so one key spreads over as many tasks as its size calls for and
-    no task or cell ever has to hold a whole key.
+    no task or cell ever has to hold a whole key. Copies of a row, which ``order`` does not tell
+    apart, are told apart by where they were read, so they spread as well.
     """
     blocks = (
-        df.repartitionByRange(*[F.col(c) for c in [*keys, *order]])
-        .sortWithinPartitions(*keys, *order)
+        df.withColumn("_copy", F.monotonically_increasing_id())
+        .repartitionByRange(*[F.col(c) for c in [*keys, *order, "_copy"]])
+        .sortWithinPartitions(*keys, *order, "_copy")
         # Partition number in the high bits, row number in the low ones: rises along the order.
         .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("part", F.floor(F.col("_row") / rows_per_part))
+        .withColumn("part", F.expr(f"_row div {rows_per_part}"))
     )
     return blocks.groupBy(*keys, "part").agg(*aggregates)
 

@@ -92,7 +92,10 @@ def package(result: DataFrame, people: int = MAX_PEOPLE, rows_per_cell: int = 10
         F.col("lines_modified"),
     )
     rows = result.select(F.col("author_email").alias("_email"), "repo", "author_name", "reason", detail.alias("detail"))
-    spread = F.pmod(F.xxhash64("repo", "author_name", "reason", "detail"), F.col("_parts")).cast("int")
+    # By content, and for copies of a row by where they were read.
+    spread = F.pmod(
+        F.xxhash64("repo", "author_name", "reason", "detail", F.spark_partition_id()), F.col("_parts")
+    ).cast("int")
     # The ranked side has at most `people` rows.
     chosen = rows.join(
         F.broadcast(ranked.select("author_email", "_parts")), F.col("_email").eqNullSafe(F.col("author_email"))

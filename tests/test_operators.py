@@ -179,6 +179,13 @@ def test_ordered_parts(spark):
         assert [x for p in mine for x in p.f] == [x for r in rows for x in r[3] or []]
 
 
+def test_copies_spread_over_tasks(spark):
+    df = spark.createDataFrame([("hot", 1, "x")] * 600, "k string, i int, t string").repartition(6)
+    parts = aggregates.ordered_parts(df, ["k"], ["i"], [aggregates.concat_text("t", "i").alias("t"), F.count("*").alias("n")], 10).collect()
+    assert "".join(p.t for p in parts) == "x" * 600 and max(p.n for p in parts) <= 10
+    assert len({p.part * 10 >> 33 for p in parts}) > 1
+
+
 def test_history_digest(spark):
     rng = random.Random(9)
     texts = ["one", "two words", "line\n", "a b\nc d\n", "", None, " ", "x\n\ny", " lead"]
