@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+# Rows of a batch that are Python objects at one time.
+ROWS_AT_ONCE = 512
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,7 +34,7 @@ def map_columns(
     """Run Python over the columns of ``df``, an Arrow batch at a time.
 
     ``make`` is called once per task and gives a function from the batch's columns, as Python
-    lists, to rows of ``schema``. Only the columns of ``df`` travel, so select them first.
+    lists, to rows of ``schema``; it may get a batch in several slices. Only the columns of ``df`` travel, so select them first.
     """
     fields = T.StructType.fromDDL(schema)
 
@@ -39,11 +42,12 @@ def map_columns(
         arrow = to_arrow_schema(fields)
         work = make()
         for batch in batches:
-            rows = list(work(*(c.to_pylist() for c in batch.columns)))
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in arrow]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
-            )
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows = list(work(*(c.to_pylist() for c in batch.slice(at, ROWS_AT_ONCE).columns)))
+                columns = list(zip(*rows, strict=True)) if rows else [[] for _ in arrow]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
+                )
 
     return df.mapInArrow(run, fields)
 

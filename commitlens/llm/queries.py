@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlens.llm import simhash
+from commitlens.llm import bpe, planes, simhash
 from commitlens.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """Where a file of the installed public tokenizers lies, on the driver as on the executors."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_duplicates(table(spark, d, "documents"), shingle=3, radius=3)
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op6_planes(spark: SparkSession, d: str) -> DataFrame:
+    return planes.ids_round_trip(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+
+
+def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return bpe.digests(bpe.encode_documents(docs, vocabulary("word_bpe_49k.json"), decoded=True))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op6_planes": op6_planes, "op9_bpe": op9_bpe}
 ORACLES: dict[str, str] = {}
