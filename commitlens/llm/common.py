@@ -84,23 +84,30 @@ def with_struct(df: DataFrame, column: str, schema: str, make: Callable, *inputs
     return df.withColumn(column, call.asNondeterministic()(*inputs))
 
 
-class Memo(dict):
-    """What a function gives for a key, kept for the next time; emptied when it holds ``most`` keys.
+class Memo:
+    """What a function gives for a key, kept for the next time, in two generations of ``most`` keys.
 
-    ``many`` computes a list of keys at once. ``look`` gives the values for any sequence of keys.
+    ``many`` computes a list of keys at once. When the younger generation is full it becomes the
+    older one, which is forgotten in turn; what is asked for again moves up, so frequent keys stay.
     """
 
     def __init__(self, many: Callable[[list], list], most: int):
-        super().__init__()
         self._many, self._most = many, most
+        self._young: dict = {}
+        self._old: dict = {}
 
     def look(self, keys: list) -> list:
-        found = list(map(self.get, keys))
+        """The values of any sequence of keys, in order."""
+        found = list(map(self._young.get, keys))
         if None in found:
-            new = list({k for k, v in zip(keys, found, strict=True) if v is None})
-            made = dict(zip(new, self._many(new), strict=True))
-            found = [made[k] if v is None else v for k, v in zip(keys, found, strict=True)]
-            if len(self) + len(made) > self._most:
-                self.clear()
-            self.update(made)
+            missing = {k for k, v in zip(keys, found, strict=True) if v is None}
+            old = self._old
+            fresh_ones = {k: old[k] for k in missing if k in old}
+            new = [k for k in missing if k not in fresh_ones]
+            if new:
+                fresh_ones.update(zip(new, self._many(new), strict=True))
+            found = [fresh_ones[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+            if len(self._young) + len(fresh_ones) > self._most:
+                self._old, self._young = self._young, {}
+            self._young.update(fresh_ones)
         return found

@@ -28,7 +28,7 @@ _LATIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPA
 _PLAIN = re.compile(r"(?:(?!<\|)[\x00-\xFF])*")
 
 # Words and parts of words whose ids a worker remembers.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 
 
 class Encoder:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlens.llm import bpe, planes, simhash
+from commitlens.llm import bpe, byteconv, fertility, planes, simhash
 from commitlens.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_duplicates(table(spark, d, "documents"), shingle=3, radius=3)
 
 
+def op4_fertility(spark: SparkSession, d: str) -> DataFrame:
+    return fertility.quality_measures(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op5_byteconv(spark: SparkSession, d: str) -> DataFrame:
+    return byteconv.classify(table(spark, d, "documents"), table(spark, d, "labels"), threshold=0.3)
+
+
 def op6_planes(spark: SparkSession, d: str) -> DataFrame:
     return planes.ids_round_trip(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
@@ -28,5 +36,11 @@ def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(docs, vocabulary("word_bpe_49k.json"), decoded=True))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op6_planes": op6_planes, "op9_bpe": op9_bpe}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op4_fertility": op4_fertility,
+    "op5_byteconv": op5_byteconv,
+    "op6_planes": op6_planes,
+    "op9_bpe": op9_bpe,
+}
 ORACLES: dict[str, str] = {}
