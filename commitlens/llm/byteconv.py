@@ -21,7 +21,7 @@ _WINDOWS_AT_ONCE = 64 * _STEP
 
 #: Bounds of the training sample: labelled rows, and the longest text among them.
 TRAIN_ROWS, TRAIN_CHARS = 3_000, 100_000
-EPOCHS, BATCH, RATE = 14, 48, 0.01
+EPOCHS, BATCH, RATE, DECAY = 10, 32, 0.01, 3e-3
 
 
 @dataclass
@@ -150,7 +150,7 @@ def _gradients(params: list[np.ndarray], docs: list[np.ndarray], filled: np.ndar
     for j in range(WIDTH):
         seen = data[rows, best[rows, filters] * STRIDE + j]
         np.add.at(to_taps[j], (seen, filters), value)
-    decay = 1e-4
+    decay = DECAY
     return [
         to_taps + decay * taps,
         to_hidden.sum(axis=0) + decay * bias,

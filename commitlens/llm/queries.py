@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlens.llm import bpe, byteconv, fertility, planes, simhash
+from commitlens.llm import bpe, byteconv, fertility, licenses, pii, planes, simhash
 from commitlens.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_duplicates(table(spark, d, "documents"), shingle=3, radius=3)
 
 
+def op3_licenses(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.license_labels(table(spark, d, "documents"))
+
+
 def op4_fertility(spark: SparkSession, d: str) -> DataFrame:
     return fertility.quality_measures(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -31,6 +35,10 @@ def op6_planes(spark: SparkSession, d: str) -> DataFrame:
     return planes.ids_round_trip(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op8_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.span_digests(pii.find_spans(table(spark, d, "documents")))
+
+
 def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return bpe.digests(bpe.encode_documents(docs, vocabulary("word_bpe_49k.json"), decoded=True))
@@ -38,9 +46,11 @@ def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_licenses": op3_licenses,
     "op4_fertility": op4_fertility,
     "op5_byteconv": op5_byteconv,
     "op6_planes": op6_planes,
+    "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
 }
 ORACLES: dict[str, str] = {}
