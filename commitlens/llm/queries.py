@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlens.llm import bpe, byteconv, fertility, licenses, pii, planes, simhash
+from commitlens.llm import ann, bpe, byteconv, fertility, licenses, mixing, pages, pii, planes, simhash
 from commitlens.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_duplicates(table(spark, d, "documents"), shingle=3, radius=3)
 
 
+def op2_ann(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(table(spark, d, "embeddings"), k=20, every=20)
+
+
 def op3_licenses(spark: SparkSession, d: str) -> DataFrame:
     return licenses.license_labels(table(spark, d, "documents"))
 
@@ -35,6 +39,14 @@ def op6_planes(spark: SparkSession, d: str) -> DataFrame:
     return planes.ids_round_trip(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op7_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """As many tokens as there are, drawn anew by the mixture's weights."""
+    docs = table(spark, d, "documents")
+    goal = mixing.Mixture(entropy=0.92, repeats=2.0, budget=mixing.total_tokens(docs))
+    drawn = mixing.mix(docs.select("doc_id", "source", "text"), goal)
+    return drawn.select("doc.doc_id", "doc.source", "epoch", "turn", "n_tokens")
+
+
 def op8_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.span_digests(pii.find_spans(table(spark, d, "documents")))
 
@@ -44,13 +56,20 @@ def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(docs, vocabulary("word_bpe_49k.json"), decoded=True))
 
 
+def op10_pages(spark: SparkSession, d: str) -> DataFrame:
+    return pages.page_texts(table(spark, d, "pages"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_ann": op2_ann,
     "op3_licenses": op3_licenses,
     "op4_fertility": op4_fertility,
     "op5_byteconv": op5_byteconv,
     "op6_planes": op6_planes,
+    "op7_mixing": op7_mixing,
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
+    "op10_pages": op10_pages,
 }
 ORACLES: dict[str, str] = {}
