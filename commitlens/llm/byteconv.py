@@ -142,7 +142,10 @@ def _gradients(params: list[np.ndarray], docs: list[np.ndarray], filled: np.ndar
     p = 1 / (1 + np.exp(-np.clip(x @ dense + offset, -40, 40)))
     error = ((p - y) / len(y)).astype(np.float32)
     to_x = error[:, None] * dense
-    to_hidden = (to_x[:, :FILTERS] / sizes[:, None])[owner] + to_x[:, FILTERS : 2 * FILTERS][owner] * (hidden == top[owner])
+    # Chunks that tie for the largest response, as overlapping ones do, share its gradient.
+    largest = (hidden == top[owner]).astype(np.float32)
+    largest /= np.add.reduceat(largest, starts)[owner]
+    to_hidden = (to_x[:, :FILTERS] / sizes[:, None])[owner] + to_x[:, FILTERS : 2 * FILTERS][owner] * largest
     to_hidden *= hidden > 0
     to_taps = np.zeros_like(taps)
     rows, filters = np.nonzero(to_hidden)
