@@ -8,34 +8,34 @@ from pyspark.sql import functions as F
 from commitlens.functions.lists import pipe_split
 from commitlens.functions.times import display_date
 
-# Badge background and text colour per language.
+# Classes of a badge's background and text colour per language, and of any other.
 LANGUAGE_COLORS = {
-    "javascript": "#F7DF1E black",
-    "typescript": "#3178C6 white",
-    "python": "#3776AB white",
-    "java": "#007396 white",
-    "ruby": "#CC342D white",
-    "php": "#777BB4 white",
-    "go": "#00ADD8 white",
-    "rust": "#DEA584 black",
-    "c": "#A8B9CC black",
-    "c++": "#00599C white",
-    "c#": "#239120 white",
-    "swift": "#FA7343 white",
-    "kotlin": "#7F52FF white",
-    "sql": "#4479A1 white",
-    "r": "#276DC3 white",
-    "html": "#E34F26 white",
-    "css": "#1572B6 white",
-    "shell": "#4EAA25 white",
-    "dart": "#0175C2 white",
-    "scala": "#DC322F white",
-    "haskell": "#5D4F85 white",
-    "elixir": "#4B275F white",
-    "clojure": "#5881D8 white",
-    "perl": "#39457E white",
+    "javascript": ("bg-[#F7DF1E]", "text-black"),
+    "typescript": ("bg-[#3178C6]", "text-white"),
+    "python": ("bg-[#3776AB]", "text-white"),
+    "java": ("bg-[#007396]", "text-white"),
+    "ruby": ("bg-[#CC342D]", "text-white"),
+    "php": ("bg-[#777BB4]", "text-white"),
+    "go": ("bg-[#00ADD8]", "text-white"),
+    "rust": ("bg-[#DEA584]", "text-black"),
+    "c": ("bg-[#A8B9CC]", "text-black"),
+    "c++": ("bg-[#00599C]", "text-white"),
+    "c#": ("bg-[#239120]", "text-white"),
+    "swift": ("bg-[#FA7343]", "text-white"),
+    "kotlin": ("bg-[#7F52FF]", "text-white"),
+    "sql": ("bg-[#4479A1]", "text-white"),
+    "r": ("bg-[#276DC3]", "text-white"),
+    "html": ("bg-[#E34F26]", "text-white"),
+    "css": ("bg-[#1572B6]", "text-white"),
+    "shell": ("bg-[#4EAA25]", "text-white"),
+    "dart": ("bg-[#0175C2]", "text-white"),
+    "scala": ("bg-[#DC322F]", "text-white"),
+    "haskell": ("bg-[#5D4F85]", "text-white"),
+    "elixir": ("bg-[#4B275F]", "text-white"),
+    "clojure": ("bg-[#5881D8]", "text-white"),
+    "perl": ("bg-[#39457E]", "text-white"),
 }
-OTHER_COLOR = "gray-100 gray-800"
+OTHER_COLOR = ("bg-gray-100", "text-gray-800")
 
 # Bar colour from this mean ability on.
 ABILITY_BANDS = [(8, "green"), (6, "blue"), (4, "yellow")]
@@ -43,21 +43,21 @@ LOWEST_BAND = "gray"
 
 
 def language_color(language: Column) -> Column:
-    """Background and text colour of a language's badge."""
-    pairs = [F.lit(x) for pair in LANGUAGE_COLORS.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.trim(F.lower(language))), F.lit(OTHER_COLOR))
+    """(background, text) classes of a language's badge."""
 
+    def pair(colors: tuple[str, str]) -> Column:
+        background, text = colors
+        return F.struct(F.lit(background).alias("background"), F.lit(text).alias("text"))
 
-def total_commits(repos: Column) -> Column:
-    return F.aggregate(repos, F.lit(0).cast("bigint"), lambda acc, r: acc + r["commit_count"])
+    known = F.create_map(*[x for name, colors in LANGUAGE_COLORS.items() for x in (F.lit(name), pair(colors))])
+    return F.coalesce(F.try_element_at(known, F.trim(F.lower(language))), pair(OTHER_COLOR))
 
 
-def mean_score(repos: Column, field: str) -> Column:
-    """Unweighted mean over the repositories to one decimal; 0 for none."""
-    total = F.aggregate(repos, F.lit(0.0), lambda acc, r: acc + F.coalesce(r[field], F.lit(0.0)))
+def mean_score(total: Column, rows: Column) -> Column:
+    """Unweighted mean over a person's rows to one decimal, from their sum; 0 for none."""
     # Eight decimals first: a half must not fall on either side by the last bit of a sum.
-    mean = F.round(F.round(F.try_divide(total, F.size(repos)), 8).cast("decimal(20,8)"), 1)
-    return F.when(F.size(repos) > 0, mean).otherwise(0).cast("double")
+    mean = F.round(F.round(F.try_divide(F.coalesce(total, F.lit(0.0)), rows), 8).cast("decimal(20,8)"), 1)
+    return F.when(rows > 0, mean).otherwise(0).cast("double")
 
 
 def ability_band(score: Column) -> Column:
@@ -83,20 +83,3 @@ def sorted_languages(joined: Column) -> Column:
 
 def repo_link(repo: Column) -> Column:
     return F.concat(F.lit("https://github.com/"), repo)
-
-
-def repo_rows(repos: Column) -> Column:
-    """The repositories of a person with link and display dates."""
-    return F.transform(
-        repos,
-        lambda r: F.struct(
-            r["repo"].alias("repo"),
-            repo_link(r["repo"]).alias("link"),
-            r["commit_count"].alias("commit_count"),
-            r["impact_to_project"].alias("impact_to_project"),
-            r["technical_ability"].alias("technical_ability"),
-            r["lines_modified"].alias("lines_modified"),
-            display_date(r["first_commit"]).alias("first_commit"),
-            display_date(r["last_commit"]).alias("last_commit"),
-        ),
-    )

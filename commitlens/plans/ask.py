@@ -1,8 +1,9 @@
-"""Questions over the final table: SQL in, ranked people with their repositories out."""
+"""Questions over the final table: SQL in, ranked people and their repositories out."""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -13,7 +14,9 @@ from commitlens.functions import display
 from commitlens.functions.times import as_text, now_text
 from commitlens.operators.filters import without_marks
 from commitlens.operators.ranking import best_first
+from commitlens.plans.prompts import missing_columns_hint, retry_hint
 from commitlens.schemas import ANSWER_INPUT, QUERY_LOG
+from commitlens.session import written
 from commitlens.sources.tables import to_rows
 
 # People per answer, repeats after the first attempt, and the message for no rows.
@@ -59,29 +62,36 @@ def _ranks() -> list[Column]:
     return [F.round(s, 9) for s in SCORES]
 
 
-def package(result: DataFrame, people: int = MAX_PEOPLE, rows_per_cell: int = 10_000) -> DataFrame:
-    """The best ``people`` by mean scores, each with the list of reasons and of repositories.
+@dataclass(frozen=True)
+class Packaged:
+    """The people of an answer, one row each, and their rows, however many, as a table."""
 
-    The ranking needs numbers only, so the texts are read and put into lists just for the people
-    that are returned. A person with more than ``rows_per_cell`` rows takes several lines, told
-    apart by ``part``, that share the person's totals: nothing is cut, and no list grows without
-    limit.
+    people: DataFrame
+    rows: DataFrame
+
+
+# Orders a person's rows.
+ROW_ORDER = ["repo", "author_name", "reason"]
+
+
+def package(result: DataFrame, people: int = MAX_PEOPLE) -> Packaged:
+    """The best ``people`` by mean scores, with totals over all their rows, and those rows.
+
+    Ranking reads numbers only, which Spark aggregates by hashing; the texts are read for the people
+    that are returned. ``rows`` has (author_email, repo, author_name, reason, detail) and is
+    never gathered, so a person may have any number of rows; ``nested`` puts them into lists.
     """
     check_columns(result)
-    ranked = best_first(
-        result.groupBy("author_email").agg(
-            F.min("author_name").alias("author_name"),
-            F.min("languages").alias("languages"),
-            F.min("keywords").alias("keywords"),
-            F.sum("commit_count").alias("commit_count"),
-            F.avg("impact_to_project").alias("impact_to_project"),
-            F.avg("technical_ability").alias("technical_ability"),
-            F.ceil(F.count(F.lit(1)) / rows_per_cell).cast("int").alias("_parts"),
-        ),
-        _ranks(),
-        "author_email",
-        people,
+    totals = result.groupBy("author_email").agg(
+        F.sum("commit_count").alias("commit_count"),
+        F.avg("impact_to_project").alias("impact_to_project"),
+        F.avg("technical_ability").alias("technical_ability"),
+        F.sum("impact_to_project").alias("impact_sum"),
+        F.sum("technical_ability").alias("ability_sum"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
+    # At most `people` rows, read by three plans.
+    ranked = written(best_first(totals, _ranks(), "author_email", people), "ranked")
     detail = F.struct(
         F.col("commit_count"),
         F.col("impact_to_project"),
@@ -91,63 +101,98 @@ def package(result: DataFrame, people: int = MAX_PEOPLE, rows_per_cell: int = 10
         as_text(F.col("last_commit")).alias("last_commit"),
         F.col("lines_modified"),
     )
-    rows = result.select(F.col("author_email").alias("_email"), "repo", "author_name", "reason", detail.alias("detail"))
-    # By content, and for copies of a row by where they were read.
-    spread = F.pmod(
-        F.xxhash64("repo", "author_name", "reason", "detail", F.spark_partition_id()), F.col("_parts")
-    ).cast("int")
-    # The ranked side has at most `people` rows.
-    chosen = rows.join(
-        F.broadcast(ranked.select("author_email", "_parts")), F.col("_email").eqNullSafe(F.col("author_email"))
-    ).withColumn("part", spread)
+    chosen = F.broadcast(ranked.select(F.col("author_email").alias("_email")))
+    own = result.join(chosen, F.col("author_email").eqNullSafe(F.col("_email")), "left_semi")
+    rows = own.select("author_email", *ROW_ORDER, detail.alias("detail"))
+    texts = own.groupBy(F.col("author_email").alias("_email")).agg(
+        *[F.min(c).alias(c) for c in ("author_name", "languages", "keywords")]
+    )
+    named = ranked.join(F.broadcast(texts), F.col("author_email").eqNullSafe(F.col("_email"))).drop("_email")
+    return Packaged(named.orderBy(*[r.desc_nulls_last() for r in _ranks()], F.asc("author_email")), rows)
+
+
+def nested(packaged: Packaged) -> DataFrame:
+    """One row per person with the lists ``reason`` and ``repo``, the whole of a person's rows in one cell.
+
+    For answers whose people have few rows each, which ``people.n_rows`` tells; others are read from
+    ``packaged.rows``.
+    """
     lists = (
-        chosen.groupBy("_email", "part")
-        .agg(F.array_sort(F.collect_list(F.struct("repo", "author_name", "reason", "detail"))).alias("_rows"))
+        packaged.rows.groupBy(F.col("author_email").alias("_email"))
+        .agg(F.array_sort(F.collect_list(F.struct(*ROW_ORDER, "detail"))).alias("_rows"))
         .select(
             "_email",
-            "part",
             F.filter(F.transform("_rows", lambda r: r["reason"]), lambda x: x.isNotNull()).alias("reason"),
             F.transform("_rows", lambda r: r["detail"]).alias("repo"),
         )
     )
-    return (
-        ranked.drop("_parts")
-        .join(lists, F.col("author_email").eqNullSafe(F.col("_email")))
-        .drop("_email")
-        .orderBy(*[r.desc_nulls_last() for r in _ranks()], F.asc("author_email"), F.asc("part"))
+    joined = packaged.people.drop("impact_sum", "ability_sum", "n_rows").join(
+        lists, F.col("author_email").eqNullSafe(F.col("_email"))
     )
+    return joined.drop("_email").orderBy(*[r.desc_nulls_last() for r in _ranks()], F.asc("author_email"))
+
+
+@dataclass(frozen=True)
+class Attempt:
+    """A query that gave no answer, and what its writer is told about it."""
+
+    sql: str | None
+    message: str
 
 
 @dataclass
 class Answer:
-    """Rows of an answer, the SQL that gave them, what went wrong and how many repeats it took."""
+    """The people of an answer, the SQL that gave them, what went wrong and how many repeats it took.
+
+    ``packaged`` has the people's rows as a table.
+    """
 
     rows: list[dict[str, Any]]
-    sql: str
+    sql: str | None
     error: str | None
     num_tries: int
+    packaged: Packaged | None = None
 
 
-def first_nonempty(spark: SparkSession, candidates: list[str]) -> Answer:
-    """Run candidate queries in order until one gives rows.
+NextSql = Callable[[str, list[Attempt]], str]
+
 
-    An error or an empty answer moves on to the next, up to ``MAX_REPEATS`` times. If the last one
-    tried was merely empty the answer is empty and says so; if it failed its error is raised.
+def answer_question(spark: SparkSession, question: str, next_sql: NextSql, repeats: int = MAX_REPEATS) -> Answer:
+    """Ask for SQL until a query gives rows, at most ``repeats`` times anew.
+
+    ``next_sql`` gets the question and every failed attempt so far with a message: the error, no
+    results, or, for missing columns, the whole list of them. It may be a model (``prompts.sql_request`` is the text to
+    send) or any function; if it fails itself that counts as an attempt. If the last attempt was
+    merely empty the answer is empty and says so; if it failed its error is raised.
     """
-    tried = candidates[: MAX_REPEATS + 1]
-    if not tried:
-        raise ValueError("no candidate query")
-    for repeat, sql in enumerate(tried):
+    history: list[Attempt] = []
+    while True:
+        sql = None
         try:
-            # At most MAX_PEOPLE people come to the driver.
-            rows = to_rows(package(run_sql(spark, sql)))
-        except Exception as error:
-            if repeat == len(tried) - 1:
+            sql = next_sql(question, list(history))
+            packaged = package(run_sql(spark, sql))
+            # At most MAX_PEOPLE rows come to the driver.
+            rows = to_rows(packaged.people.drop("impact_sum", "ability_sum"))
+            if rows:
+                return Answer(rows, sql, None, len(history), packaged)
+            error, message = None, retry_hint(NO_RESULTS)
+        except MissingColumns as missing:
+            error, message = missing, missing_columns_hint(ANSWER_INPUT)
+        except Exception as failed:
+            error, message = failed, retry_hint(str(failed))
+        if len(history) == repeats:
+            if error is not None:
                 raise RuntimeError(f"Error executing query: {error}") from error
-            continue
-        if rows:
-            return Answer(rows, sql, None, repeat)
-    return Answer([], tried[-1], NO_RESULTS, len(tried) - 1)
+            return Answer([], sql, NO_RESULTS, len(history))
+        history.append(Attempt(sql, message))
+
+
+def first_nonempty(spark: SparkSession, candidates: list[str]) -> Answer:
+    """Run candidate queries in order until one gives rows; at most ``MAX_REPEATS`` after the first."""
+    if not candidates:
+        raise ValueError("no candidate query")
+    repeats = min(len(candidates) - 1, MAX_REPEATS)
+    return answer_question(spark, "", lambda _, history: candidates[len(history)], repeats)
 
 
 def log_row(
@@ -161,8 +206,10 @@ def log_row(
     return row.withColumn("ts", now_text()).select(*QUERY_LOG.fieldNames())
 
 
-def search(spark: SparkSession, query: str | None, candidates: list[str], log_path: str | None = None) -> list[dict]:
-    """Answer a question for which ``candidates`` are the SQL to try; every question but a blank one is logged."""
+def search(
+    spark: SparkSession, query: str | None, candidates: list[str] | NextSql, log_path: str | None = None
+) -> list[dict]:
+    """Answer a question with SQL from a list or from a writer; every question but a blank one is logged."""
     if not query or not query.strip():
         return []
     started = time.monotonic()
@@ -172,30 +219,32 @@ def search(spark: SparkSession, query: str | None, candidates: list[str], log_pa
             row = log_row(spark, query, status, sql, count, error, tries, time.monotonic() - started)
             row.write.mode("append").parquet(log_path)
 
+    repeats = MAX_REPEATS if callable(candidates) else min(len(candidates) - 1, MAX_REPEATS)
     try:
-        answer = first_nonempty(spark, candidates)
+        answer = answer_question(spark, query, candidates) if callable(candidates) else first_nonempty(spark, candidates)
     except Exception as error:
-        log("Failed", "None", 0, str(error), min(len(candidates), MAX_REPEATS + 1) - 1)
+        log("Failed", "None", 0, str(error), repeats)
         raise
     if answer.error:
-        log("Failed", answer.sql, 0, answer.error, answer.num_tries)
+        log("Failed", answer.sql or "None", 0, answer.error, answer.num_tries)
     else:
         log("Success", answer.sql, len(answer.rows), "None", answer.num_tries)
     return answer.rows
 
 
-def present(answer: DataFrame) -> DataFrame:
-    """An answer with everything a results page shows next to it."""
-    repos = F.col("repo")
-    ability = display.mean_score(repos, "technical_ability")
-    impact = display.mean_score(repos, "impact_to_project")
+def present(packaged: Packaged) -> DataFrame:
+    """The people of an answer with everything a results page shows of them, one line each.
+
+    Totals and means come from sums over all of a person's rows, whatever their number.
+    """
+    ability = display.mean_score(F.col("ability_sum"), F.col("n_rows"))
+    impact = display.mean_score(F.col("impact_sum"), F.col("n_rows"))
     languages = display.sorted_languages(F.col("languages"))
-    return answer.select(
+    return packaged.people.select(
         "author_email",
-        "part",
         "author_name",
         display.emails(F.col("author_email")).alias("emails"),
-        display.total_commits(repos).alias("total_commits"),
+        F.coalesce("commit_count", F.lit(0)).alias("total_commits"),
         ability.alias("mean_ability"),
         impact.alias("mean_impact"),
         display.ability_band(ability).alias("ability_band"),
@@ -204,6 +253,20 @@ def present(answer: DataFrame) -> DataFrame:
         display.bar_width(impact).alias("impact_width"),
         languages.alias("languages"),
         F.transform(languages, display.language_color).alias("language_colors"),
-        display.repo_rows(repos).alias("repos"),
+        "n_rows",
+    )
+
+
+def present_rows(packaged: Packaged) -> DataFrame:
+    """The rows of an answer's people with link and display dates."""
+    r = F.col("detail")
+    return packaged.rows.select(
+        "author_email",
+        "author_name",
         "reason",
+        "repo",
+        display.repo_link(F.col("repo")).alias("link"),
+        *[r[c].alias(c) for c in ("commit_count", "impact_to_project", "technical_ability", "lines_modified")],
+        display.display_date(r["first_commit"]).alias("first_commit"),
+        display.display_date(r["last_commit"]).alias("last_commit"),
     )

@@ -9,18 +9,74 @@ from commitlens.functions.text import text_from_bytes
 from commitlens.operators.joins import lookup_join
 
 # Where a README may be, best place first.
-CANDIDATES = """
-README.md readme.md Readme.md README.markdown README README.txt ReadMe.md readme readme.txt
-docs/README.md doc/README.md README.rst readme.rst README.adoc Readme ReadMe Readme.txt ReadMe.txt
-README.MD readme.MD READ_ME.md read_me.md READ_ME read_me READ_ME.txt read_me.txt
-documentation/README.md docs/readme.md doc/readme.md documentation/readme.md
-docs/index.md doc/index.md documentation/index.md
-readme.markdown Readme.markdown README.html readme.html Readme.html ReadMe.html
-README.rdoc readme.rdoc README.pod readme.pod README.org readme.org
-README.asciidoc readme.adoc Readme.adoc ReadMe.adoc README.tex readme.tex
-Readme.MD ReadMe.MD README.TXT readme.TXT Readme.TXT ReadMe.TXT README.RST readme.RST Readme.RST
-README.ADOC readme.ADOC Readme.ADOC README.HTML readme.HTML Readme.HTML
-""".split()
+CANDIDATES = [
+    "README.md",
+    "readme.md",
+    "Readme.md",
+    "README.markdown",
+    "README",
+    "README.txt",
+    "ReadMe.md",
+    "readme",
+    "readme.txt",
+    "docs/README.md",
+    "doc/README.md",
+    "README.rst",
+    "readme.rst",
+    "README.adoc",
+    "Readme",
+    "ReadMe",
+    "Readme.txt",
+    "ReadMe.txt",
+    "README.MD",
+    "readme.MD",
+    "READ_ME.md",
+    "read_me.md",
+    "READ_ME",
+    "read_me",
+    "READ_ME.txt",
+    "read_me.txt",
+    "documentation/README.md",
+    "docs/readme.md",
+    "doc/readme.md",
+    "documentation/readme.md",
+    "docs/index.md",
+    "doc/index.md",
+    "documentation/index.md",
+    "readme.markdown",
+    "Readme.markdown",
+    "README.html",
+    "readme.html",
+    "Readme.html",
+    "ReadMe.html",
+    "README.rdoc",
+    "readme.rdoc",
+    "README.pod",
+    "readme.pod",
+    "README.org",
+    "readme.org",
+    "README.asciidoc",
+    "readme.adoc",
+    "Readme.adoc",
+    "ReadMe.adoc",
+    "README.tex",
+    "readme.tex",
+    "Readme.MD",
+    "ReadMe.MD",
+    "README.TXT",
+    "readme.TXT",
+    "Readme.TXT",
+    "ReadMe.TXT",
+    "README.RST",
+    "readme.RST",
+    "Readme.RST",
+    "README.ADOC",
+    "readme.ADOC",
+    "Readme.ADOC",
+    "README.HTML",
+    "readme.HTML",
+    "Readme.HTML",
+]
 
 
 def pick_readme(files: DataFrame, repo: str = "url", path: str = "path", content: str = "content") -> DataFrame:

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from commitlens import schemas
-from commitlens.plans import ask
+from commitlens.plans import ask, prompts
 from commitlens.sources import tables
 
 D = dt.datetime
@@ -28,7 +28,7 @@ def people(spark):
 
 
 def test_package(people):
-    got = ask.package(people).collect()
+    got = ask.nested(ask.package(people)).collect()
     assert len(got) == 100
     top = got[0]
     assert (top.author_email, top.commit_count, top.impact_to_project, top.technical_ability) == ("top@x|t@x", 5, 4.0, 8.5)
@@ -40,25 +40,30 @@ def test_package(people):
     assert [r.author_email for r in got[1:]] == [f"e{i:03}" for i in range(99)]
 
 
-def test_package_in_bounded_cells(spark):
-    rows = [("a", "a@x", 1, 5.0, 5.0, f"o/r{i}") for i in range(50)] + [("b", "b@x", 1, 4.0, 4.0, "o/r")]
-    got = ask.package(contributions(spark, rows), rows_per_cell=10).collect()
-    mine = [r for r in got if r.author_email == "a@x"]
-    assert 1 < len(mine) <= 5 and {r.commit_count for r in mine} == {50}
-    assert sorted(x.repo for r in mine for x in r.repo) == sorted(f"o/r{i}" for i in range(50))
-    assert [r.part for r in got if r.author_email == "b@x"] == [0]
+def test_a_person_with_many_rows_is_one_line(spark):
+    rows = [("a", "a@x", 1 + i % 3, float(i % 7), 5.0, f"o/r{i}") for i in range(300)] + [("b", "b@x", 1, 4.0, 4.0, "o/r")]
+    packaged = ask.package(contributions(spark, rows))
+    shown = {r.author_email: r for r in ask.present(packaged).collect()}
+    assert len(shown) == packaged.people.count() == 2
+    mine = shown["a@x"]
+    assert (mine.total_commits, mine.n_rows, mine.mean_ability) == (600, 300, 5.0)
+    assert mine.mean_impact == round(sum(i % 7 for i in range(300)) / 300, 1)
+    listed = [r.repo for r in ask.present_rows(packaged).collect() if r.author_email == "a@x"]
+    assert sorted(listed) == sorted(f"o/r{i}" for i in range(300))
 
 
 def test_null_identity_is_one_person(spark):
-    got = ask.package(contributions(spark, [("a", None, 1, 1.0, 1.0, "o/r"), ("b", None, 2, 1.0, 1.0, "o/s")])).collect()
+    got = ask.nested(ask.package(contributions(spark, [("a", None, 1, 1.0, 1.0, "o/r"), ("b", None, 2, 1.0, 1.0, "o/s")]))).collect()
     assert [(r.author_email, r.commit_count, len(r.repo)) for r in got] == [(None, 3, 2)]
 
 
-def test_ranking_is_read_without_texts(people, spark, tmp_path):
+def test_ranking_is_hashed_over_numbers(people, spark, tmp_path, monkeypatch):
     tables.write_table(people, str(tmp_path / "t"))
-    plan = ask.package(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
-    ranked = [line for line in plan.splitlines() if "ReadSchema" in line and "reason" not in line]
-    assert ranked and "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan
+    seen = []
+    monkeypatch.setattr(ask, "written", lambda df, name: seen.append(df) or df)
+    ask.package(spark.read.parquet(str(tmp_path / "t")))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "SortAggregate" not in plan and "reason" not in plan and "languages" not in plan
 
 
 def test_contract(spark, people):
@@ -75,7 +80,8 @@ BROKEN = "SELECT nothing FROM contributions"
 def test_first_nonempty(spark, people):
     answer = ask.first_nonempty(spark, [EMPTY, BROKEN, GOOD, EMPTY])
     assert (answer.sql, answer.error, answer.num_tries) == (GOOD, None, 2)
-    assert answer.rows[0]["repo"][0]["repo"] == "o/a"
+    assert answer.rows[0]["author_email"] == "top@x|t@x" and answer.rows[0]["n_rows"] == 1
+    assert [r.repo for r in answer.packaged.rows.collect()] == ["o/a"]
     nothing = ask.first_nonempty(spark, [BROKEN, EMPTY])
     assert (nothing.rows, nothing.error, nothing.num_tries) == ([], ask.NO_RESULTS, 1)
     with pytest.raises(RuntimeError, match="Error executing query"):
@@ -83,6 +89,29 @@ def test_first_nonempty(spark, people):
     assert ask.first_nonempty(spark, [EMPTY] * 6 + [GOOD]).error == ask.NO_RESULTS
 
 
+def test_a_writer_is_told_what_went_wrong(spark, people):
+    told = []
+
+    def writer(question, history):
+        told.append([a.message for a in history])
+        assert question == "who" and prompts.sql_request(question, history, schemas.ANSWER_INPUT).count("Tried:") == len(history)
+        return [BROKEN, "SELECT repo FROM contributions", EMPTY, GOOD][len(history)]
+
+    answer = ask.answer_question(spark, "who", writer)
+    assert (answer.sql, answer.num_tries, answer.error) == (GOOD, 3, None)
+    broken, missing, empty = told[-1]
+    assert "nothing" in broken and "lines_modified" in missing and ask.NO_RESULTS in empty
+    assert told[:3] == [[], [broken], [broken, missing]]
+
+    def failing(question, history):
+        raise ValueError("model is down")
+
+    with pytest.raises(RuntimeError, match="model is down"):
+        ask.answer_question(spark, "who", failing)
+    never = ask.answer_question(spark, "who", lambda q, h: EMPTY)
+    assert (never.rows, never.error, never.num_tries) == ([], ask.NO_RESULTS, ask.MAX_REPEATS)
+
+
 def test_search_and_log(spark, people, tmp_path):
     path = str(tmp_path / "log")
     assert len(ask.search(spark, "who", [GOOD], path)) == 1
@@ -105,8 +134,11 @@ def test_bots_can_be_dropped(spark):
 
 
 def test_present(people):
-    top = ask.present(ask.package(people)).first()
+    packaged = ask.package(people)
+    top = ask.present(packaged).first()
     assert (top.emails, top.total_commits, top.mean_ability, top.mean_impact) == (["top@x", "t@x"], 5, 8.5, 2.0)
     assert (top.ability_band, top.impact_band, top.ability_width) == ("green", "gray", 85.0)
-    assert (top.languages, top.language_colors) == (["C++", "rust"], ["#00599C white", "#DEA584 black"])
-    assert (top.repos[0].link, top.repos[0].first_commit) == ("https://github.com/o/a", "1/2/2024")
+    assert top.languages == ["C++", "rust"]
+    assert [tuple(c) for c in top.language_colors] == [("bg-[#00599C]", "text-white"), ("bg-[#DEA584]", "text-black")]
+    row = ask.present_rows(packaged).where("repo = 'o/a'").first()
+    assert (row.link, row.first_commit) == ("https://github.com/o/a", "1/2/2024")

@@ -99,9 +99,11 @@ def test_answers(spark):
 
 
 def test_display(spark):
-    scores = [[3.9], [4.0], [6.0], [8.0], [8.35, 8.35], [], [2.0, 2.1]]
-    as_repos = lambda c: F.transform(c, lambda x: F.struct(x.alias("s")))
-    means = apply(spark, scores, lambda c: display.mean_score(as_repos(c), "s"), "array<double>")
-    assert means == [3.9, 4.0, 6.0, 8.0, 8.4, 0.0, 2.1]
-    assert apply(spark, means, display.ability_band, "double") == ["gray", "yellow", "blue", "green", "green", "gray", "gray"]
-    assert apply(spark, [" Rust ", "c#", "Nope", None], display.language_color) == ["#DEA584 black", "#239120 white", "gray-100 gray-800", "gray-100 gray-800"]
+    scores = [[3.9], [4.0], [6.0], [8.0], [8.35, 8.35], [], [2.0, 2.1], [None, 3.0]]
+    sums = lambda c: F.aggregate(c, F.lit(0.0), lambda t, x: t + F.coalesce(x, F.lit(0.0)))
+    means = apply(spark, scores, lambda c: display.mean_score(sums(c), F.size(c)), "array<double>")
+    assert means == [3.9, 4.0, 6.0, 8.0, 8.4, 0.0, 2.1, 1.5]
+    assert apply(spark, means[:7], display.ability_band, "double") == ["gray", "yellow", "blue", "green", "green", "gray", "gray"]
+    colors = [tuple(c) for c in apply(spark, [" Rust ", "c#", "Nope", None], display.language_color)]
+    other = ("bg-gray-100", "text-gray-800")
+    assert colors == [("bg-[#DEA584]", "text-black"), ("bg-[#239120]", "text-white"), other, other]

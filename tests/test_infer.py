@@ -1,7 +1,9 @@
 import asyncio
 import dataclasses
+import functools
 import json
 import struct
+import time
 import zlib
 
 import pytest
@@ -105,6 +107,77 @@ def test_in_flight_is_capped(spark):
     assert max(int(x) for x in got) <= 3
 
 
+def test_a_client_bound_to_its_loop_serves_all_batches(spark):
+    """As real async clients do, it fails in any loop but the one it was first used in."""
+
+    def client():
+        state = {}
+
+        class Client:
+            async def __call__(self, request):
+                loop = state.setdefault("loop", asyncio.get_running_loop())
+                if asyncio.get_running_loop() is not loop:
+                    raise RuntimeError("another loop")
+                await asyncio.sleep(0)
+                return request.upper()
+
+            async def aclose(self):
+                assert asyncio.get_running_loop() is state.get("loop", asyncio.get_running_loop())
+
+        return Client()
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert ask(spark, [f"r{i}" for i in range(20)], client) == [f"R{i}" for i in range(20)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert ask(spark, [f"r{i}" for i in range(7)], client, dataclasses.replace(QUICK, batch_size=2)) == [f"R{i}" for i in range(7)]
+
+
+def test_blocking_calls_get_a_thread_each_and_time_starts_with_the_call(spark):
+    def client():
+        def call(request):
+            time.sleep(0.3)
+            return request
+
+        return call
+
+    requests = [f"r{i}" for i in range(128)]
+    df = spark.createDataFrame(list(enumerate(requests)), "i int, r string").coalesce(1)
+    calls = infer.Calls(attempts=1, timeout=0.5, in_flight=64)
+    started = time.monotonic()
+    got = df.withColumn("a", infer.ask_model(F.col("r"), client, calls)).collect()
+    assert sorted(r.a for r in got) == sorted(requests) and time.monotonic() - started < 15
+
+
+def test_a_wrapper_may_return_something_to_wait_for(spark):
+    def client():
+        async def call(request):
+            return request * 2
+
+        return functools.partial(lambda f, r: f(r), call)
+
+    assert ask(spark, ["a", None], client) == ["aa", None]
+
+
+def test_batch_size_bounds_what_is_under_way(spark):
+    def client():
+        state = {"now": 0, "most": 0}
+
+        async def call(request):
+            state["now"] += 1
+            state["most"] = max(state["most"], state["now"])
+            await asyncio.sleep(0.005)
+            state["now"] -= 1
+            return str(state["most"])
+
+        return call
+
+    got = ask(spark, ["r"] * 30, client, dataclasses.replace(QUICK, batch_size=1))
+    assert set(got) == {"1"}
+
+
 def test_waits():
     calls = infer.Calls()
     assert [calls.wait(i) for i in range(1, 9)] == [4, 4, 4, 8, 16, 32, 60, 60]
@@ -153,6 +226,9 @@ def test_expand(spark):
     df = spark.createDataFrame([("x", True, 1), ("y", False, 2)], "a string, b boolean, c int")
     got = infer.expand(df, pieces, ["a", "b"], infer.schema_of(Piece), times=2).collect()
     assert [tuple(r) for r in got] == [("x", True, 1, 0, "x"), ("x", True, 1, 1, "x")]
+    many = infer.expand(df, pieces, ["a", "b"], infer.schema_of(Piece), rows=100, times=1_234)
+    assert sorted(r.at for r in many.collect()) == list(range(1_234))
+    assert infer.expand(df.where("false"), pieces, ["a", "b"], infer.schema_of(Piece), times=2).collect() == []
 
 
 def test_schema_of():

@@ -214,7 +214,6 @@ def oracles() -> dict[str, str]:
         "pipe_member": """
             WITH t AS (SELECT p_partkey, p_type || '|' || replace(p_name, ' ', '-') || '|' || p_brand AS tags FROM part)
             SELECT * FROM t WHERE list_has_any(string_split(lower(tags), '|'), ['red-gear', 'promo'])""",
-        "blank_question": "SELECT p_name AS name, p_brand AS owner, '' AS url, CAST(0 AS BIGINT) AS stars FROM part WHERE false",
         "two_key_join": f"""WITH {_COMMITS},
             langs AS (SELECT ['Rust', 'Python', 'C++', 'Type  Script', 'Go'] AS l),
             repos AS (
@@ -314,10 +313,26 @@ def oracles() -> dict[str, str]:
                    mean_ability, mean_impact_shown AS mean_impact, {band.format('mean_ability')} AS ability_band,
                    {band.format('mean_impact_shown')} AS impact_band, round(mean_ability * 10, 6) AS ability_width,
                    round(mean_impact_shown * 10, 6) AS impact_width, languages,
-                   array_to_string([CASE x WHEN 'rust' THEN '#DEA584 black' WHEN 'python' THEN '#3776AB white' WHEN 'c++' THEN '#00599C white'
-                                   WHEN 'go' THEN '#00ADD8 white' ELSE 'gray-100 gray-800' END for x in string_split(languages, '|')], '|') AS language_colors,
+                   array_to_string([CASE x WHEN 'rust' THEN 'bg-[#DEA584] text-black' WHEN 'python' THEN 'bg-[#3776AB] text-white'
+                                   WHEN 'c++' THEN 'bg-[#00599C] text-white' WHEN 'go' THEN 'bg-[#00ADD8] text-white'
+                                   ELSE 'bg-gray-100 text-gray-800' END for x in string_split(languages, '|')], '|') AS language_colors,
                    links AS repos FROM answer""",
         "first_nonempty": final + " SELECT author_email, commit_count, CAST(2 AS BIGINT) AS num_tries FROM answer",
+        "mended_question": final + " SELECT author_email, commit_count, CAST(2 AS BIGINT) AS num_tries FROM answer",
+        "blank_question": final + """
+            SELECT '' AS question, CAST(0 AS BIGINT) AS people UNION ALL SELECT '  ' || chr(10), 0
+            UNION ALL SELECT 'rust people', count(*) FROM answer""",
+        "present_large": """
+            WITH p AS (
+              SELECT l_returnflag || '@x|' || l_returnflag || '@y' AS author_email, min(l_linestatus) AS author_name,
+                     CAST(sum(l_linenumber) AS BIGINT) AS total_commits, CAST(sum(l_orderkey % 10 + 1) AS DECIMAL(20,8)) / count(*) AS ability,
+                     CAST(sum(CASE WHEN l_linenumber <> 3 THEN l_quantity % 10 ELSE 0 END) AS DECIMAL(20,8)) / count(*) AS impact,
+                     count(*) AS n_rows, count(*) AS shown, min('https://github.com/o/' || l_partkey) AS first_link, '2/3/2024' AS last_commit
+              FROM lineitem GROUP BY l_returnflag),
+            m AS (SELECT *, CAST(round(CAST(ability AS DECIMAL(20,8)), 1) AS DOUBLE) AS mean_ability,
+                         CAST(round(CAST(impact AS DECIMAL(20,8)), 1) AS DOUBLE) AS mean_impact FROM p)
+            SELECT author_email, author_name, total_commits, mean_ability, mean_impact, """ + band.format("mean_ability") + """ AS ability_band,
+                   n_rows, shown, first_link, last_commit FROM m""",
         "query_contract": f"""WITH RECURSIVE {_FINAL} SELECT split_part(repo, '/', 1) AS owner, count(*) AS people FROM contributions GROUP BY 1""",
         "query_log": final + """
             SELECT 'rust people' AS query, 'Success' AS status, count(*) AS num_results, 'None' AS error, CAST(0 AS BIGINT) AS num_tries FROM answer
@@ -339,7 +354,14 @@ def oracles() -> dict[str, str]:
         "infer_pictures": """
             SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN length(base64(encode(c_name))) / 8 END AS profile_pic_score,
                    CASE WHEN c_custkey % 5 <> 0 THEN substr(base64(encode(c_name)), 1, 4) END AS profile_pic_reason
-            FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) <= 10""",
+            FROM customer""",
+        "udtf_runs": r"""
+            WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), x -> x <> '') AS l FROM documents),
+            e AS (SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS word FROM w),
+            s AS (SELECT doc_id, i, sum(CASE WHEN i = 0 OR word < before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+                  FROM (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM e)),
+            n AS (SELECT doc_id, run, count(*) AS n FROM s GROUP BY doc_id, run)
+            SELECT doc_id, count(*) AS runs, max(n) AS longest FROM n GROUP BY doc_id""",
         "udtf_expand": """
             WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS l FROM part),
             e AS (SELECT p_partkey, unnest(range(len(l))) AS position, unnest(l) AS word FROM w)

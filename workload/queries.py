@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from commitlens import schemas
 from commitlens.functions import answers, lists, text, times
 from commitlens.operators import aggregates, filters, identity, infer, joins, ranking
-from commitlens.plans import ask, stages
+from commitlens.plans import ask, prompts, stages
 from commitlens.session import shared_dir, written
 from commitlens.sources import catalogue as search
 from commitlens.sources import tables
@@ -130,10 +130,6 @@ def pipe_member(spark: SparkSession, d: str) -> DataFrame:
     return tagged.where(filters.has_tag(F.col("tags"), "Red Gear") | filters.has_tag(F.col("tags"), "promo"))
 
 
-def blank_question(spark: SparkSession, d: str) -> DataFrame:
-    return filters.nothing(roles.catalogue(spark, d)).select("name", "owner", "url", "stars")
-
-
 # -- joins, ranking ------------------------------------------------------------------------------
 
 
@@ -409,13 +405,13 @@ ORDER BY technical_ability DESC, impact_to_project DESC, commit_count DESC
 """
 
 
-def _answer(spark: SparkSession, d: str) -> DataFrame:
+def _answer(spark: SparkSession, d: str) -> ask.Packaged:
     _final_table(spark, d)
     return ask.package(ask.run_sql(spark, QUESTION.format(contributions="contributions")))
 
 
 def packaged_top100(spark: SparkSession, d: str) -> DataFrame:
-    return _answer(spark, d).select(
+    return ask.nested(_answer(spark, d)).select(
         "author_email", "author_name", "languages", "keywords", "commit_count",
         _score("impact_to_project"), _score("technical_ability"),
         F.array_join("reason", "\n").alias("reason"),
@@ -423,24 +419,81 @@ def packaged_top100(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def present(spark: SparkSession, d: str) -> DataFrame:
-    shown = ask.present(_answer(spark, d))
-    return shown.select(
+def _shown(packaged: ask.Packaged) -> DataFrame:
+    """A results page's people, each with the text of its rows in order."""
+    line = F.concat_ws(" ", "link", "first_commit", "last_commit")
+    rows = ask.present_rows(packaged).groupBy(F.col("author_email").alias("_email")).agg(
+        F.array_sort(F.collect_list(F.struct(*ask.ROW_ORDER, line.alias("line")))).alias("lines")
+    )
+    people = ask.present(packaged).join(rows, F.col("author_email").eqNullSafe(F.col("_email")))
+    colors = F.transform("language_colors", lambda c: F.concat_ws(" ", c["background"], c["text"]))
+    return people.select(
         "author_email", "author_name", F.size("emails").cast("bigint").alias("n_emails"), "total_commits",
         "mean_ability", "mean_impact", "ability_band", "impact_band",
         F.round("ability_width", 6).alias("ability_width"), F.round("impact_width", 6).alias("impact_width"),
-        lists.pipe_join(F.col("languages")).alias("languages"), lists.pipe_join(F.col("language_colors")).alias("language_colors"),
-        F.array_join(F.transform("repos", lambda r: F.concat_ws(" ", r["link"], r["first_commit"], r["last_commit"])), "\n").alias("repos"),
+        lists.pipe_join(F.col("languages")).alias("languages"), lists.pipe_join(colors).alias("language_colors"),
+        F.array_join(F.transform("lines", lambda r: r["line"]), "\n").alias("repos"),
+    )
+
+
+def present(spark: SparkSession, d: str) -> DataFrame:
+    return _shown(_answer(spark, d))
+
+
+def present_large(spark: SparkSession, d: str) -> DataFrame:
+    """Three people with all line items between them: totals and means over any number of rows, one line each."""
+    lines = table(spark, d, "lineitem").select(
+        F.col("l_linestatus").alias("author_name"), F.concat("l_returnflag", F.lit("@x|"), "l_returnflag", F.lit("@y")).alias("author_email"),
+        F.col("l_linenumber").cast("bigint").alias("commit_count"),
+        F.when(F.col("l_linenumber") != 3, (F.col("l_quantity") % 10).cast("double")).alias("impact_to_project"),
+        (F.col("l_orderkey") % 10 + 1).cast("double").alias("technical_ability"),
+        F.lit("Rust|go").alias("languages"), F.lit("k").alias("keywords"), F.concat(F.lit("o/"), "l_partkey").alias("repo"),
+        F.lit("r").alias("reason"), F.lit("2024-01-01").cast("timestamp").alias("first_commit"),
+        F.lit("2024-02-03").cast("timestamp").alias("last_commit"), F.col("l_suppkey").alias("lines_modified"),
+    )
+    packaged = ask.package(lines)
+    rows = ask.present_rows(packaged).groupBy(F.col("author_email").alias("e")).agg(
+        F.count(F.lit(1)).alias("shown"), F.min("link").alias("first_link"), F.max("last_commit").alias("last_commit")
+    )
+    return ask.present(packaged).join(rows, F.col("author_email") == F.col("e")).select(
+        "author_email", "author_name", "total_commits", "mean_ability", "mean_impact", "ability_band", "n_rows", "shown", "first_link", "last_commit"
     )
 
 
+def _people(spark: SparkSession, answer: ask.Answer) -> DataFrame:
+    rows = [(r["author_email"], r["commit_count"], answer.num_tries) for r in answer.rows]
+    return spark.createDataFrame(rows, "author_email string, commit_count bigint, num_tries bigint")
+
+
 def first_nonempty(spark: SparkSession, d: str) -> DataFrame:
     """Three candidate queries: one invalid, one empty, one good; the good one's people come back."""
     _final_table(spark, d)
     good = QUESTION.format(contributions="contributions")
-    answer = ask.first_nonempty(spark, ["SELECT nothing FROM contributions", good.replace("nation_1%", "nowhere"), good])
-    rows = [(r["author_email"], r["commit_count"], answer.num_tries) for r in answer.rows]
-    return spark.createDataFrame(rows, "author_email string, commit_count bigint, num_tries bigint")
+    return _people(spark, ask.first_nonempty(spark, ["SELECT nothing FROM contributions", good.replace("nation_1%", "nowhere"), good]))
+
+
+def mended_question(spark: SparkSession, d: str) -> DataFrame:
+    """SQL from a writer that leaves out a column, then names a wrong one, and mends both by what it is told."""
+    _final_table(spark, d)
+    good = QUESTION.format(contributions="contributions")
+
+    def writer(question: str, history: list[ask.Attempt]) -> str:
+        request = prompts.sql_request(question, history, schemas.ANSWER_INPUT)
+        if "Tried:" not in request:
+            return good.replace("repo,\n", "\n")
+        if "UNRESOLVED_COLUMN" not in request:
+            return good.replace("author_email,", "author_mail," if "must be returned" in request else "author_email,")
+        return good
+
+    return _people(spark, ask.answer_question(spark, "rust people", writer))
+
+
+def blank_question(spark: SparkSession, d: str) -> DataFrame:
+    """What a blank and a real question get out of the final table."""
+    _final_table(spark, d)
+    good = QUESTION.format(contributions="contributions")
+    rows = [(q, len(ask.search(spark, q, [good]))) for q in ("", "  \n", "rust people")]
+    return spark.createDataFrame(rows, "question string, people bigint")
 
 
 def query_contract(spark: SparkSession, d: str) -> DataFrame:
@@ -484,9 +537,9 @@ def infer_projects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def infer_pictures(spark: SparkSession, d: str) -> DataFrame:
-    """The first customers of every nation with their name as picture bytes."""
-    members = ranking.first_children(table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name"), "c_nationkey", "c_custkey", 10)
-    pictures = members.withColumn("profile_pic", F.when(F.col("c_custkey") % 5 != 0, F.encode("c_name", "UTF-8")))
+    """All customers with their name as picture bytes."""
+    pictures = table(spark, d, "customer").select("c_custkey", "c_name")
+    pictures = pictures.withColumn("profile_pic", F.when(F.col("c_custkey") % 5 != 0, F.encode("c_name", "UTF-8")))
     scored = stages.score_images(pictures, clients.picture_client)
     return scored.select("c_custkey", "profile_pic_score", "profile_pic_reason")
 
@@ -503,6 +556,24 @@ def udtf_expand(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def udtf_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of words in rising order in whole documents: a walk with memory."""
+
+    def runs(text: str):
+        start, before = 0, ""
+        words = (text or "").split()
+        for i, word in enumerate([*words, ""]):
+            if word < before or i == len(words):
+                if i > start:
+                    yield start, " ".join(words[start:i])
+                start = i
+            before = word
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = infer.expand(docs, runs, ["text"], infer.schema_of(_Word)).select("doc_id", "position", "word")
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("runs"), F.max(F.size(F.split("word", " "))).cast("bigint").alias("longest"))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The hundred best-ranked authors by their active contributions, with their repositories."""
     active = filters.active(stages.extract_contributors(roles.commits(spark, d)))
@@ -516,7 +587,7 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("did "), "commit_count").alias("reason"),
     )
     # The ranking and the lists both read it.
-    top = ask.package(written(scored, "scored"))
+    top = ask.nested(ask.package(written(scored, "scored")))
     return top.select(
         "author_email", "author_name", "commit_count", _score("impact_to_project"), _score("technical_ability"),
         F.array_join("reason", "\n").alias("reason"),
@@ -533,7 +604,7 @@ QUERIES = {
         ranked_customers, readme_pick, commit_log_roundtrip, remote_url_parts, write_modes, arrow_round_trip,
         markup_format, plain_text, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
         truncate_text, prompt_text, data_uri, json_struct, date_functions, identity_components, identity_bot_cut,
-        shared_line_components, merge_people, packaged_top100, present, first_nonempty, query_contract, query_log,
-        infer_scores, infer_projects, infer_pictures, udtf_expand,
+        shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, mended_question, query_contract, query_log,
+        infer_scores, infer_projects, infer_pictures, udtf_expand, udtf_runs,
     )
 }
