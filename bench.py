@@ -40,6 +40,7 @@ def main() -> None:
     spark = build_session(
         "bench",
         f"local[{cpus}]",
+        "/tmp/commitlens-shared",
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

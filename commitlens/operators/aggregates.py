@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.functions.text import truncate_message
@@ -78,23 +78,25 @@ def history_digest(
     """Per key the first lines and words of all its texts put together in ``order``.
 
     Equal to concatenating everything and truncating, but only rows that can reach into the result
-    are kept, cut on the map side: a text with a newline adds at least one line, so ``lines`` of
-    them are enough; one without a newline but with several words adds at least one whole word, so
-    ``words + 1`` of them are enough. What remains, one-word texts without a newline, runs together
-    into a single word, which by definition is one word of the result. (Commit messages out of a
-    log end in a newline, so all of them are of the first kind.) Truncating a single text to its
-    first lines beforehand changes nothing either.
+    are kept, in one pass and cut on the map side: a text with a newline adds at least one line, so
+    ``lines`` of them are enough; one without a newline but with several words adds at least one whole word, so
+    ``words + 1`` of them are enough. One-word texts without a newline run together into a single word,
+    which by definition is one word of the result; of them, as of all, only those before the last line
+    needed are kept. (Commit messages out of a log end in a newline, so all of them are of the first kind.)
+    Truncating a single text to its first lines beforehand changes nothing either.
     """
     rows = df.where(F.length(text) > 0).select(*keys, *order, F.substring_index(text, "\n", lines + 1).alias("_text"))
-    by = [F.col(c) for c in order]
-    has_line = F.col("_text").contains("\n")
-    has_words = F.col("_text").rlike(r"(?U)\S\s+\S")
-    kept = (
-        top_n_per_key(rows.where(has_line), keys, by, lines)
-        .unionByName(top_n_per_key(rows.where(~has_line & has_words), keys, by, words + 1))
-        .unionByName(rows.where(~has_line & ~has_words))
+    kind = F.when(F.col("_text").contains("\n"), 0).when(F.col("_text").rlike(r"(?U)\S\s+\S"), 1).otherwise(2)
+    enough = F.when(F.col("_kind") == 0, lines).when(F.col("_kind") == 1, words + 1).otherwise(2**31 - 1)
+    kept = top_n_per_key(rows.withColumn("_kind", kind), [*keys, "_kind"], [F.col(c) for c in order], enough)
+    # Behind the last line needed nothing counts.
+    whole_key = Window.partitionBy(*keys)
+    at = F.struct(*order)
+    ends = kept.withColumn("_lines", F.count(F.when(F.col("_kind") == 0, 1)).over(whole_key)).withColumn(
+        "_last", F.max(F.when(F.col("_kind") == 0, at)).over(whole_key)
     )
-    whole = kept.groupBy(*keys).agg(concat_text("_text", *order).alias("_text"))
+    needed = ends.where((F.col("_lines") < lines) | (at <= F.col("_last")))
+    whole = needed.groupBy(*keys).agg(concat_text("_text", *order).alias("_text"))
     return whole.select(*keys, truncate_message(F.col("_text"), lines, words).alias(text))
 
 

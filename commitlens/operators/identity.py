@@ -5,81 +5,84 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.operators.joins import broadcast_limit, estimated_bytes, lookup_join
 from commitlens.operators.ranking import top_n_per_key
-from commitlens.session import written
-
+from commitlens.session import Scratch, written
 
 # Steps along the picks within one round; deeper trees are finished in the next round.
 _STEPS = 3
-# How many hops beyond its neighbours a node of a small graph looks for its pick.
-_FARTHER = 2
 
 
-def _contract(pairs: DataFrame) -> DataFrame:
+def _numbered(pairs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(node, id) for all nodes, and the pairs by id; ids are dense numbers in the order of the nodes' hashes."""
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    spread = nodes.repartitionByRange(F.xxhash64("node"), "node").sortWithinPartitions(F.xxhash64("node"), "node")
+    # Written, so that every reader sees the same numbers.
+    ids = scratch.write(spread.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    left = pairs.join(ids.select(F.col("node").alias("u"), F.col("id").alias("a")), "u").select("a", "v")
+    return ids, left.join(ids.select(F.col("node").alias("v"), F.col("id").alias("b")), "v").select("a", "b")
+
+
+def _contract(pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of a graph of distinct pairs u < v.
 
-    Each round every node picks, among itself and its neighbours, the node with the smallest hash.
-    Picks lead to ever smaller hashes, so they form trees; following them a few steps and
+    Nodes are numbered once, in an order that has nothing to do with the graph, and rounds work on
+    the numbers. Each round every node picks the smallest of itself and its neighbours.
+    Picks lead to ever smaller numbers, so they form trees; following them a few steps and
     rebuilding the graph over the nodes arrived at shrinks it several times over. The number of
     rounds grows with the logarithm of the graph's size, not with its diameter. Each round's
-    outcome is a written table, so a lost executor costs one round at most. Joins split hot nodes,
-    and the pick is a minimum, which Spark aggregates before it shuffles.
+    outcome is a written table, so a lost executor costs one round at most; a round's tables are removed
+    when the next one's are written. The pick is a minimum of numbers, which Spark aggregates before it shuffles.
     """
-    graph = written(pairs, "graph")
-    rounds: list[tuple[DataFrame, bool]] = []
+    ids, numbered = _numbered(pairs, scratch)
+    here = Scratch(pairs.sparkSession)
+    graph = here.write(_ordered(numbered, "a", "b"), "graph")
+    rounds: list[DataFrame] = []
     while not graph.isEmpty():
-        seed = F.lit(len(rounds))
-
-        def ranked(node: str):
-            return F.struct(F.xxhash64(seed, node).alias("h"), F.col(node).alias("n"))
-
-        # Every edge gives a row to either end, so the picks are at most twice the graph's file.
-        small = 2 * estimated_bytes(graph) <= broadcast_limit(graph)
         both = graph.union(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        best = both.groupBy("u").agg(F.least(F.min(ranked("v")), F.first(ranked("u"))).alias("c"))
-        if small:
-            # A round's fixed cost is most of it: let it look farther instead.
-            for _ in range(_FARTHER):
-                near = best.select(F.col("u").alias("v"), "c")
-                best = both.join(near, "v").groupBy("u").agg(F.min("c").alias("c"))
-        picks = written(best.select(F.col("u").alias("node"), F.col("c.n").alias("rep")), "picks")
-        onward = picks.select(F.col("node").alias("at"), F.col("rep").alias("next"))
+        best = both.groupBy("u").agg(F.min("v").alias("v"))
+        picks = here.write(best.select(F.col("u").alias("node"), F.least("u", "v").alias("rep")), "picks")
+        onward = picks.select(F.col("node").alias("rep"), F.col("rep").alias("next"))
         arrived = picks
         for _ in range(_STEPS):
-            # A large step is written: balancing a join reads its left side twice.
-            arrived = arrived if small or arrived is picks else written(arrived, "arrived")
-            arrived = lookup_join(arrived, onward, [("rep", "at")], small=small).select(
-                "node", F.col("next").alias("rep")
-            )
-        arrived = written(arrived, "arrived")
-        rounds.append((arrived, small))
-        moved = lookup_join(graph, arrived.withColumnRenamed("rep", "ru"), [("u", "node")], small=small)
-        moved = lookup_join(moved, arrived.withColumnRenamed("rep", "rv"), [("v", "node")], small=small)
-        graph = written(_distinct_pairs(moved, "ru", "rv"), "graph")
-    if not rounds:
-        return graph.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            arrived = arrived.join(onward, "rep").select("node", F.col("next").alias("rep"))
+        arrived = scratch.write(arrived, "arrived")
+        rounds.append(arrived)
+        moved = graph.join(arrived.select(F.col("node").alias("u"), F.col("rep").alias("a")), "u").select("a", "v")
+        moved = moved.join(arrived.select(F.col("node").alias("v"), F.col("rep").alias("b")), "v").select("a", "b")
+        after = Scratch(pairs.sparkSession)
+        graph = after.write(_ordered(moved.where("a != b"), "a", "b").distinct(), "graph")
+        here.drop()
+        here = after
+    here.drop()
 
     # From the last round back to the first: where a node arrived, and where that one ended up.
-    labels, _ = rounds[-1]
-    labels = labels.withColumnRenamed("rep", "component")
-    for at in range(len(rounds) - 2, -1, -1):
-        # `labels` has as many rows as the later round, whose size is known.
-        small = rounds[at + 1][1]
-        later = labels if small else written(labels, "labels")
-        labels = lookup_join(
-            rounds[at][0], later.withColumnRenamed("node", "rep"), ["rep"], "left", small=small
-        ).select("node", F.coalesce("component", "rep").alias("component"))
-    return labels
+    labels = ids.select(F.col("id").alias("node"), F.col("id").alias("rep")).where(F.lit(False))
+    for arrived in reversed(rounds):
+        later = labels.select(F.col("node").alias("rep"), F.col("rep").alias("last"))
+        labels = arrived.join(later, "rep", "left").select("node", F.coalesce("last", "rep").alias("rep"))
+    names = ids.select(F.col("id").alias("rep"), F.col("node").alias("component"))
+    named = labels.join(names, "rep").select(F.col("node").alias("id"), "component")
+    return ids.join(named, "id").select("node", "component")
+
+
+def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
+    return df.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
 
 
 def _distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
+    return _ordered(df.where(F.col(a) != F.col(b)), a, b).distinct()
+
+
+def _components(pairs: DataFrame) -> DataFrame:
+    scratch = Scratch(pairs.sparkSession)
+    found = written(_contract(scratch.write(pairs, "pairs"), scratch), "components")
+    scratch.drop()
+    return found
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of an undirected graph given by its edge list."""
-    labels = written(_contract(_distinct_pairs(edges, a, b)), "components")
+    labels = _components(_distinct_pairs(edges, a, b))
     loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).alias("node")).distinct()
     alone = loops.join(labels, "node", "left_anti").withColumn("component", F.col("node"))
     return labels.unionByName(alone)
@@ -113,7 +116,7 @@ def resolve_identities(
     if ignore_keys:
         usable = usable.where(~F.col(key).isin(ignore_keys))
     edges = usable.select(F.concat(F.lit("r"), exact_key(row_keys)).alias("r"), F.concat(F.lit("k"), F.col(key)).alias("k"))
-    components = written(_contract(_distinct_pairs(edges, "r", "k")), "components")
+    components = _components(_distinct_pairs(edges, "r", "k"))
     name = F.expr("substr(node, 2)")
     row_side = components.where(F.col("node").startswith("r")).select(name.alias("row"), "component")
     key_side = components.where(F.col("node").startswith("k")).select(name.alias(key), "component")

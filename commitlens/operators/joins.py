@@ -1,88 +1,84 @@
-"""Equi-joins that stay balanced when one key holds a large share of the rows."""
+"""Equi-joins with a lookup side, plain and spread out by hand."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from commitlens.session import written
 
-# A key with more rows than this is spread over several tasks, one per this many rows.
+# A key with more rows than this may be spread over several tasks.
 HOT_ROWS = 2_000_000
-# At most this many keys are spread, the largest ones. Any other key holds less than 1/MAX_HOT_KEYS
-# of the rows. Bounds the broadcast of the hot keys.
-MAX_HOT_KEYS = 2_000
 
 
-def estimated_bytes(df: DataFrame) -> float:
-    """The optimizer's size estimate: exact for a file, an upper guess for most plans over it."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except ValueError:
-        # An estimate for nested joins can be too long a number to be handed over.
-        return float("inf")
+def _prepared(lookup: DataFrame, on: list[str] | list[tuple[str, str]]) -> tuple[DataFrame, list[str], list[str], Column]:
+    """The lookup side under other key names, both sides' keys and the condition."""
+    pairs = [(k, k) if isinstance(k, str) else k for k in on]
+    matches = F.lit(True)
+    for i, (a, b) in enumerate(pairs):
+        lookup = lookup.withColumnRenamed(b, f"_key_{i}")
+        matches = matches & (F.col(a) == F.col(f"_key_{i}"))
+    return lookup, [a for a, _ in pairs], [f"_key_{i}" for i in range(len(pairs))], matches
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, on: list[str] | list[tuple[str, str]], how: str = "inner"
+) -> DataFrame:
+    """Join ``facts`` to a ``lookup`` that has one row per key; ``how`` is inner or left.
+
+    Spark chooses: it broadcasts a lookup side it knows to be small, and otherwise shuffles both
+    sides and splits partitions that turn out large, as a hot or a null key makes them, while the job
+    runs. Key columns of the right side are dropped. Facts that are already partitioned by the key are
+    not shuffled again and so cannot be split; ``spread_join`` is for those.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(how)
+    lookup, _, right_keys, matches = _prepared(lookup, on)
+    return facts.join(lookup, matches, how).drop(*right_keys)
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """keys + ``_copies`` of the keys with more than ``hot_rows`` rows: over how many tasks to spread them."""
-    return (
-        df.select(*keys)
-        .dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_copies"))
-    )
+    """keys + ``_copies`` of the hot keys: over how many tasks to spread them.
 
+    A key is hot above ``hot_rows`` rows or an even task's share of all rows, whichever is more, so there are
+    no more hot keys than tasks, however long the table, and none is left out.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.select(*keys).dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = written(counts.where(F.col("_rows") > hot_rows), "large")
+    bound = max(hot_rows, df.count() // tasks)
+    return large.where(F.col("_rows") > bound).select(*keys, F.ceil(F.col("_rows") / bound).cast("int").alias("_copies"))
 
-def lookup_join(
+
+def spread_join(
     facts: DataFrame,
     lookup: DataFrame,
     on: list[str] | list[tuple[str, str]],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
-    small: bool | None = None,
 ) -> DataFrame:
-    """Join ``facts`` to a ``lookup`` that has one row per key; ``how`` is inner or left.
+    """``lookup_join`` with hot keys spread over tasks whatever way the facts are partitioned.
 
-    A lookup side below Spark's own broadcast limit is left to Spark (``small`` says so where the
-    caller has measured a table of the same size). Otherwise the facts' keys are counted in a job of
-    its own, and both sides are shuffled by key and salt: a hot key's facts go to as many tasks as
-    its row count calls for and its lookup row is copied to each of them; other keys have the one
-    salt 0. Facts with a null key match nothing and are spread as well. Key columns of the right
-    side are dropped.
+    The facts' keys are counted first. Then both sides are shuffled by key and salt: a hot key's
+    facts go, by a hash of the whole row, to as many tasks as its rows call for, and its lookup row
+    is copied to each of them; other keys have the one salt 0. Facts with a null key match
+    nothing and are spread as well.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
-    pairs = [(k, k) if isinstance(k, str) else k for k in on]
-    left_keys = [a for a, _ in pairs]
-    for i, (_, b) in enumerate(pairs):
-        lookup = lookup.withColumnRenamed(b, f"_key_{i}")
-    matches = F.lit(True)
-    for i, a in enumerate(left_keys):
-        matches = matches & (F.col(a) == F.col(f"_key_{i}"))
-    right_keys = [f"_key_{i}" for i in range(len(pairs))]
-
-    if small if small is not None else estimated_bytes(lookup) <= broadcast_limit(facts):
-        return facts.join(lookup, matches, how).drop(*right_keys)
-
-    hot = written(hot_keys(facts, left_keys, hot_rows), "hot")
-    if how == "inner" and hot.isEmpty():
-        return facts.join(lookup, matches, how).drop(*right_keys)
-
+    lookup, left_keys, right_keys, matches = _prepared(lookup, on)
+    hot = hot_keys(facts, left_keys, hot_rows)
     any_null = F.lit(False)
     for a in left_keys:
         any_null = any_null | F.col(a).isNull()
-    # The map partition as salt: the same when a task is run again, whatever the rows hold.
-    spread = F.spark_partition_id()
+    # The row itself, and for copies of a row where they were read.
+    hashed = [F.col(f"`{f.name}`") for f in facts.schema.fields if not isinstance(f.dataType, MapType)]
+    spread = F.xxhash64(*hashed, F.spark_partition_id())
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # No more hot keys than tasks.
     salted_facts = facts.join(F.broadcast(hot), left_keys, "left").withColumn(
-        "_salt", F.when(any_null, spread).otherwise(F.pmod(spread, F.coalesce("_copies", F.lit(1))))
+        "_salt", F.pmod(spread, F.when(any_null, tasks).otherwise(F.coalesce("_copies", F.lit(1))))
     ).drop("_copies")
     hot_right = hot
     for i, a in enumerate(left_keys):
@@ -94,4 +90,3 @@ def lookup_join(
     return joined.drop(*right_keys, "_salt", "_copy").select(
         *facts.columns, *[c for c in lookup.columns if c not in right_keys]
     )
-

@@ -14,7 +14,7 @@ from commitlens.functions.text import data_uri, fill, normalize, prefixed_reason
 from commitlens.operators import aggregates, identity
 from commitlens.operators.filters import MAX_EMAILS, NO_COMMITS, NO_README, active, deny
 from commitlens.operators.infer import Calls, answer_check, ask_model, in_tasks
-from commitlens.operators.joins import broadcast_limit, estimated_bytes, lookup_join
+from commitlens.operators.joins import lookup_join
 from commitlens.operators.ranking import limited
 from commitlens.session import written
 from commitlens.plans import prompts
@@ -68,8 +68,9 @@ def analyze_repos(
 def extract_commits(repos: DataFrame, logs: DataFrame, tasks: int | None = None, legacy: bool = False) -> DataFrame:
     """Commits of the repositories that can be fetched, out of (url, log) rows."""
     wanted = deny(repos, "name", NO_COMMITS).select("url").distinct()
-    kept = lookup_join(in_tasks(logs, tasks), wanted, ["url"])
-    return parse_logs(with_remote(kept, legacy=legacy)).select(*schemas.COMMITS.fieldNames())
+    # Addresses first: the texts of logs that are not asked for are not moved to be dropped.
+    kept = lookup_join(logs, wanted, ["url"])
+    return parse_logs(with_remote(in_tasks(kept, tasks), legacy=legacy)).select(*schemas.COMMITS.fieldNames())
 
 
 def extract_contributors(commits: DataFrame) -> DataFrame:
@@ -125,10 +126,8 @@ def contributor_requests(contributors: DataFrame, commits: DataFrame, top: int |
     history = commits.select(
         identity.exact_key(CONTRIBUTOR).alias("_who"), *COMMIT_ORDER, "message", "files_changed"
     )
-    if estimated_bytes(chosen) <= broadcast_limit(chosen):
-        # The size is that of the file. Were it larger, the texts would not be moved for a join
-        # beforehand: they are cut down where they lie.
-        history = history.join(F.broadcast(chosen.select("_who")), "_who", "left_semi")
+    # The others' texts are of no use.
+    history = history.join(chosen.select("_who"), "_who", "left_semi")
     messages = aggregates.history_digest(history, ["_who"], "message", COMMIT_ORDER)
     files = aggregates.first_items(history, ["_who"], "files_changed")
     # One row per contributor on every side.

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
 
+def build_session(app: str = "commitlens", master: str | None = None, folder: str | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the library is written for; ``conf`` keys use ``__`` for dots.
 
-def build_session(app: str = "commitlens", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library is written for; ``conf`` keys use ``__`` for dots."""
+    ``folder`` is the shared folder where the environment names none in spark.checkpoint.dir.
+    """
+    if folder and not SparkConf().get("spark.checkpoint.dir"):
+        conf = {"spark__checkpoint__dir": folder} | conf
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Rank limits up to this size are applied before the shuffle; the history digest needs 10 001.
-        .config("spark.sql.optimizer.windowGroupLimitThreshold", "20000")
     )
     if master:
         builder = builder.master(master)
@@ -29,16 +30,11 @@ def build_session(app: str = "commitlens", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a scratch folder only for a local master that names none."""
+    """The folder in spark.checkpoint.dir, which the driver and all executors share."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not configured:
         raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="commitlens-")
-    return _local_dirs[context.applicationId]
+    return configured.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -50,3 +46,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Written tables that are of no use once their reader is done."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{shared_dir(self._spark)}/{name}-{uuid.uuid4().hex}"
+        self._paths.append(path)
+        df.write.mode("errorifexists").parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Remove the tables. On Spark Connect, which has no file access, they are left to the folder's owner."""
+        context = getattr(self._spark, "_sc", None)
+        if context is not None:
+            for name in self._paths:
+                path = context._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self._paths.clear()

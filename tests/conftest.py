@@ -10,10 +10,11 @@ from commitlens.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
+        str(tmp_path_factory.mktemp("shared")),
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

@@ -93,23 +93,33 @@ def test_lookup_join_of_hot_and_null_keys(spark, no_broadcast, how):
     facts = [("hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{rng.randrange(200)}", i) for i in range(3000)]
     f = spark.createDataFrame(facts, "k string, i int").repartition(6)
     lookup = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(0, 200, 2)], "kk string, v string")
-    got = joins.lookup_join(f, lookup, [("k", "kk")], how, hot_rows=100)
+    got = joins.spread_join(f, lookup, [("k", "kk")], how, hot_rows=100)
     values = dict(lookup.collect())
     expected = Counter((k, i, values.get(k)) for k, i in facts if how == "left" or k in values)
     assert got.columns == ["k", "i", "v"]
     assert Counter(map(tuple, got.collect())) == expected
+    plain = joins.lookup_join(f, lookup, [("k", "kk")], how)
+    assert plain.columns == got.columns and Counter(map(tuple, plain.collect())) == expected
     # The hot key's rows do not meet in one task.
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        tasks = joins.lookup_join(f, lookup, [("k", "kk")], how, hot_rows=100).where("k = 'hot'").select(F.spark_partition_id()).distinct().count()
+        for facts_side in (f, f.repartition(16, "k")):
+            joined = joins.spread_join(facts_side, lookup, [("k", "kk")], how, hot_rows=100).where("k = 'hot'")
+            assert joined.select(F.spark_partition_id()).distinct().count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert tasks > 1
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_hot_keys(spark):
     df = spark.createDataFrame([("a",)] * 250 + [("b",)] * 99 + [(None,)] * 500, "k string")
-    assert [tuple(r) for r in joins.hot_keys(df, ["k"], hot_rows=100).collect()] == [("a", 3)]
+    # Hot above an even share of the rows: 849 over four tasks.
+    assert [tuple(r) for r in joins.hot_keys(df, ["k"], hot_rows=100).collect()] == [("a", 2)]
+    assert joins.hot_keys(df, ["k"], hot_rows=300).count() == 0
+    # As many keys as there are stay bounded by the tasks, and none above the share is left out.
+    many = spark.range(40_000).select((F.col("id") % 3).alias("k"))
+    assert joins.hot_keys(many, ["k"], hot_rows=10).count() == 3
 
 
 @pytest.mark.parametrize("salts", [1, 4])
@@ -132,6 +142,20 @@ def test_top_n_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in lines[-1]
 
 
+@pytest.mark.parametrize("n", [1_001, 30_000])
+def test_large_top_n_is_cut_before_the_shuffle_in_any_session(spark, n):
+    df = spark.range(0, 80_000, 1, 5).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 7 > 0, "x").alias("j"), "id")
+    got = ranking.top_n_per_key(df, ["k", "j"], [F.col("id")], n)
+    groups = defaultdict(list)
+    for i in range(80_000):
+        groups[i % 2, "x" if i % 7 else None].append(i)
+    assert sorted(r.id for r in got.collect()) == sorted(i for g in groups.values() for i in g[:n])
+    # No row that cannot be in the result reaches an exchange.
+    cut = ranking._cut_where_read(df.withColumn("_limit", F.lit(n)), ["k", "j"], [F.col("id")], "_limit")
+    assert "Exchange" not in cut._jdf.queryExecution().executedPlan().toString()
+    assert cut.groupBy(F.spark_partition_id(), "k", "j").count().agg(F.max("count")).first()[0] <= n
+
+
 def test_limits(spark):
     df = spark.range(5)
     assert [ranking.limited(df, x).count() for x in (None, 0, 2)] == [5, 5, 2]
@@ -202,6 +226,10 @@ def test_history_digest(spark):
         whole = "".join(t or "" for k, _, t in sorted(data, key=lambda r: r[1]) if k == key)
         assert got[key] == " ".join("\n".join(whole.split("\n")[:12]).split()[:15])
     assert len(got) == 7
+    # Neither one-word texts nor anything else behind the last line counts.
+    late = [("k", i, "x y\n" if i < 20 else "update") for i in range(2_000)]
+    df = spark.createDataFrame(late, "k string, i int, t string").repartition(4)
+    assert aggregates.history_digest(df, ["k"], "t", ["i"], lines=12, words=1_000).first().t == " ".join(["x y"] * 12)
 
 
 def test_first_items_and_distinct_list(spark):

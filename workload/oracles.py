@@ -356,7 +356,7 @@ def oracles() -> dict[str, str]:
                    CASE WHEN c_custkey % 5 <> 0 THEN substr(base64(encode(c_name)), 1, 4) END AS profile_pic_reason
             FROM customer""",
         "udtf_runs": r"""
-            WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), x -> x <> '') AS l FROM documents),
+            WITH w AS (SELECT doc_id, [x for x in string_split_regex(text, '\s+') if x <> ''] AS l FROM documents),
             e AS (SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS word FROM w),
             s AS (SELECT doc_id, i, sum(CASE WHEN i = 0 OR word < before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
                   FROM (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM e)),
