@@ -14,8 +14,8 @@ from pyspark.sql.window import Window
 
 from commitlens.session import written
 
-#: Bounds of the fitting sample: vectors, and their numbers in all (64 MB).
-SAMPLE_ROWS, SAMPLE_NUMBERS = 16_384, 8_000_000
+#: Bounds of the fitting sample: vectors, and their numbers in all (32 MB).
+SAMPLE_ROWS, SAMPLE_NUMBERS = 16_384, 4_000_000
 # Fewer vectors than this are one list. Rows of a list, and queries, that one task takes at a time.
 _ONE_LIST, _BLOCK = 1_000, 4_096
 # Columns added before candidates are tested, and how unlikely a wrong abandonment shall be: the
@@ -23,8 +23,8 @@ _ONE_LIST, _BLOCK = 1_000, 4_096
 _COLUMNS, _STRICTNESS = 16, 2.1
 # Pairs of a query and a candidate in memory at one time.
 _PAIRS = 200_000
-# Sample vectors that give a query its first radius.
-_GUIDES = 2_048
+# Queries compared with the sample at one time.
+_QUERIES = 256
 
 
 @dataclass
@@ -50,10 +50,10 @@ class Index:
     def seeds(self, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact products of each query's best ``k`` guides, or of all but itself if fewer."""
         products = np.where(ids[:, None] == self.guide_ids[None], -np.inf, x @ self.guides.T)
-        order = np.lexsort((np.broadcast_to(self.guide_ids, products.shape), -products), axis=1)
-        best = order[:, : min(k, len(self.guide_ids) - bool(len(np.intersect1d(ids, self.guide_ids))))]
-        rows = np.repeat(np.arange(len(x)), best.shape[1])
-        exact = np.einsum("ij,ij->i", x[rows], self.guides[best.ravel()]).reshape(best.shape)
+        k = min(k, len(self.guide_ids) - bool(np.isin(ids, self.guide_ids).any()))
+        best = np.argpartition(-products, k - 1, axis=1)[:, :k] if k else np.empty((len(x), 0), np.int64)
+        rows = np.repeat(np.arange(len(x)), k)
+        exact = _products(x[rows], self.guides[best.ravel()]).reshape(best.shape)
         return self.guide_ids[best], exact
 
     @staticmethod
@@ -66,6 +66,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products row by row, summed in one order: equal vectors tie to the last bit wherever measured."""
+    return np.add.reduce(np.ascontiguousarray(a * b), axis=1)
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2 * a @ b.T, 0.0)
 
@@ -90,17 +95,18 @@ def train(ids: np.ndarray, sample: np.ndarray, total: int, top: float, k: int, r
     rng = np.random.default_rng(seed)
     dim = sample.shape[1] + 1
     rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
-    index = Index(top, np.zeros((1, dim)), 1, rotation, sample[:_GUIDES], ids[:_GUIDES])
-    # Repeated vectors would only tell of themselves.
+    index = Index(top, np.zeros((1, dim)), 1, rotation, sample, ids)
+    # Lists are laid over distinct vectors; a repeated one would draw centres to itself.
     distinct = np.unique(sample, axis=0)
     lists = 1 if total < _ONE_LIST else round(total**0.5 / 2)
     lists = max(1, min(lists, len(distinct) // 8, 4_096))
-    rows = index.rows(distinct)
-    index.centres = _kmeans(rows, lists, rng) if lists > 1 else rows.mean(axis=0, keepdims=True)
+    index.centres = _kmeans(index.rows(distinct), lists, rng) if lists > 1 else index.rows(distinct[:1])
     index.probes = lists
     if lists > 1:
-        own = rng.choice(len(distinct), min(512, len(distinct)), replace=False)
-        queries = index.queries(distinct[own])
+        # Visits are measured on rows as they come, repeated ones among them.
+        rows = index.rows(sample)
+        own = rng.choice(len(sample), min(512, len(sample)), replace=False)
+        queries = index.queries(sample[own])
         near = _distances(queries, rows)
         near[np.arange(len(own)), own] = np.inf
         best = np.argpartition(near, min(k, near.shape[1] - 1), axis=1)[:, :k]
@@ -146,7 +152,7 @@ def scan(
             at_q, at_x, left = at_q[good], at_x[good], left[good]
         if not len(at_q):
             continue
-        score = np.einsum("ij,ij->i", queries[at_q], rows[first + at_x])
+        score = _products(queries[at_q], rows[first + at_x])
         held_q = np.concatenate([held_q, at_q])
         held_id = np.concatenate([held_id, part_ids[at_x]])
         held_score = np.concatenate([held_score, score])
@@ -206,7 +212,7 @@ def nearest(
     measured on the original vectors. All rows are indexed; of the lists a query visits, all rows are
     scanned. A list with more rows than a block is cut into blocks by a hash of the id, and the queries
     of a block likewise, so a list that holds a third of all rows spreads over as many tasks as it
-    needs. Every block gives at most ``k`` rows a query; the best of the sample's first vectors give a query its
+    needs. Every block gives at most ``k`` rows a query; the best of the sample give a query its
     first radius, and are candidates themselves. Null ids, null or zero vectors, vectors with a null or
     non-finite component and those of another length than most take no part; of rows with the same id the
     smallest vector does. Few rows are searched exhaustively; an empty table gives no rows. No other column is read.
@@ -227,8 +233,8 @@ def nearest(
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, _BLOCK):
-                batch = whole.slice(at, _BLOCK)
+            for at in range(0, whole.num_rows, _QUERIES):
+                batch = whole.slice(at, _QUERIES)
                 own, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
                 near = np.argsort(_distances(index.queries(x), index.centres), axis=1, kind="stable")[:, : index.probes]
                 seeds, products = index.seeds(own, x, k)
