@@ -29,7 +29,10 @@ COMMIT_ORDER = ["date", "hash"]
 
 
 def search_repos(
-    catalogue: DataFrame, keywords: list[str] | str, limit: int | None = 10, qualifiers: tuple[str, ...] = ("owner",)
+    catalogue: DataFrame,
+    keywords: list[str] | str = "language:rust",
+    limit: int | None = 10,
+    qualifiers: tuple[str, ...] = ("language", "owner"),
 ) -> DataFrame:
     """Repositories per keyword, those with the most stars; ``owner:ann`` asks for a qualifier column."""
     if isinstance(keywords, str):

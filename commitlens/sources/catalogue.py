@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.operators.ranking import top_n_per_key, unlimited
@@ -56,7 +56,7 @@ def search(
     keywords: list[str],
     limit: int | None = None,
     searched: tuple[str, ...] = ("name", "description"),
-    qualifiers: tuple[str, ...] = ("owner",),
+    qualifiers: tuple[str, ...] = ("language", "owner"),
     stars: str = "stars",
     tie_break: tuple[str, ...] = ("owner", "name", "url"),
     keep_query: bool = False,
@@ -64,20 +64,29 @@ def search(
     """Per keyword the hits with the most stars, ``limit`` of them (None or 0: all).
 
     A repository that matches two keywords comes twice; a keyword without hits gives one all-null row.
+    Qualifiers the catalogue has no column for are left out. With ``keep_query`` a row also has its keyword
+    and, given a limit, its ``rank`` by stars; all hits come sorted by keyword and stars.
     """
-    hits = search_hits(catalogue, keywords, list(searched), list(qualifiers))
+    known = [q for q in qualifiers if q in catalogue.columns]
+    hits = search_hits(catalogue, keywords, list(searched), known)
+    order = [F.desc_nulls_last(stars), *[F.asc(c) for c in tie_break]]
     if not unlimited(limit):
-        order = [F.desc_nulls_last(stars), *[F.asc(c) for c in tie_break]]
-        # No more than `limit` rows per keyword: written, so that the catalogue is read only once.
-        hits = written(top_n_per_key(hits, ["query_id"], order, int(limit)), "hits")
+        hits = top_n_per_key(hits, ["query_id"], order, int(limit))
+        hits = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    # Written, so that the catalogue is read only once.
+    hits = written(hits, "hits")
     answered = hits.select("query_id").distinct()
     asked = catalogue.sparkSession.createDataFrame(list(enumerate(keywords)), "query_id int, query string")
     # One row per keyword on either side of this join.
     without = asked.join(answered, "query_id", "left_anti")
     out = hits.unionByName(without, allowMissingColumns=True)
-    return out if keep_query else out.drop("query_id", "query")
+    if unlimited(limit):
+        out = out.orderBy("query_id", *order)
+    return out if keep_query else out.drop("query_id", "query", "rank")
 
 
-def hit_counts(hits: DataFrame) -> DataFrame:
-    """(query_id, query, total): all hits per keyword, limit or not."""
-    return hits.groupBy("query_id", "query").agg(F.count(F.lit(1)).alias("total"))
+def hit_counts(hits: DataFrame, keywords: list[str]) -> DataFrame:
+    """(query_id, query, total): all hits per keyword, limit or not; 0 for a keyword without any."""
+    asked = hits.sparkSession.createDataFrame(list(enumerate(keywords)), "query_id int, query string")
+    counted = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
+    return asked.join(counted, "query_id", "left").fillna(0, ["total"])

@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import urlsplit
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.operators.joins import lookup_join
 
 
-def _name(column: str):
-    return F.substring_index(column, "/", -1)
+def below(path: str, directory: str) -> Column:
+    """The part of a file's path below ``directory``: two files of one name in two folders differ."""
+    root = urlsplit(directory).path.rstrip("/")
+    return F.regexp_replace(path, f"^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?{re.escape(root)}/+", "")
 
 
 def with_bytes(df: DataFrame, directory: str, name: str, out: str) -> DataFrame:
-    """Add the bytes of the file ``name`` under ``directory``; null where there is none."""
+    """Add the bytes of the file that column ``name`` says, a path below ``directory``; null where there is none."""
     files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-    contents = files.select(_name("path").alias("_file"), F.col("content").alias(out))
+    contents = files.select(below("path", directory).alias("_file"), F.col("content").alias(out))
     return lookup_join(df, contents, [(name, "_file")], "left")
 
 
 def read_images(spark: SparkSession, directory: str) -> DataFrame:
-    """(name, image) with height, width, channels and pixels; undecodable files are left out."""
-    images = spark.read.format("image").option("dropInvalid", "true").load(directory)
-    return images.select(_name("image.origin").alias("name"), "image")
+    """(name, image) with path below ``directory``, height, width, channels and pixels; undecodable files are left out."""
+    reader = spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true")
+    return reader.load(directory).select(below("image.origin", directory).alias("name"), "image")
 
 
 def with_image(df: DataFrame, directory: str, name: str, out: str) -> DataFrame:

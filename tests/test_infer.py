@@ -263,3 +263,12 @@ def test_pictures(spark, tmp_path):
     assert [tuple(r) for r in decoded] == [("a.png", 3, 2, 3)]
     widths = {r.who: r.img and r.img.width for r in images.with_image(people, str(tmp_path), "file", "img").collect()}
     assert widths == {"ann": 3, "bob": None, "cy": None}
+    # One name in two folders is two files.
+    for folder, size in (("x", 4), ("y", 5)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.png").write_bytes(png(size, 2))
+    people = spark.createDataFrame([("ann", "a.png"), ("dee", "x/a.png"), ("eve", "y/a.png")], "who string, file string")
+    got = {r.who: bytes(r.pic) for r in images.with_bytes(people, f"file://{tmp_path}/", "file", "pic").collect()}
+    assert got == {"ann": png(3, 2), "dee": png(4, 2), "eve": png(5, 2)}
+    widths = {r.who: r.img.width for r in images.with_image(people, str(tmp_path), "file", "img").collect()}
+    assert widths == {"ann": 3, "dee": 4, "eve": 5}

@@ -34,23 +34,3 @@ def test_query(spark, duck, name):
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert Counter(ours) == Counter(normalized(columns, result.fetchall()))
-
-
-def test_shared_lines_against_union_find(spark, duck):
-    """The one query that has no SQL: documents that share a line, followed to the end."""
-    parent = {}
-
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            x = parent[x]
-        return x
-
-    for doc, text in duck.execute("SELECT doc_id, text FROM documents").fetchall():
-        for line in set(text.split("\n")) - {""}:
-            parent[find(("line", line))] = find(("doc", doc))
-    groups = {}
-    for kind, doc in list(parent):
-        if kind == "doc":
-            groups.setdefault(find((kind, doc)), []).append(f"d{doc}")
-    got = {tuple(r) for r in entry.queries()["shared_line_components"](spark, SF).collect()}
-    assert got == {(min(g), len(g)) for g in groups.values()}

@@ -150,7 +150,11 @@ def test_search(spark):
     rows = spark.createDataFrame([(*r, None, None) for r in CATALOGUE], "name string, owner string, url string, description string, stars long, updated string, created_at string")
     got = stages.search_repos(rows, "json,absent", 1).collect()
     tagged = spark.createDataFrame([("n", "o", "u1", "d", 1, ["Rust", "C"]), ("m", "o", "u2", "d", 2, None)], "name string, owner string, url string, description string, stars long, language array<string>")
-    assert [r.url for r in catalogue.search(tagged, ["language:rust"], None, qualifiers=("language",)).collect()] == ["u1"]
+    assert [r.url for r in catalogue.search(tagged, ["language:rust"], None).collect()] == ["u1"]
+    ranked = catalogue.search(rows, ["json", "absent"], 5, keep_query=True).select("query", "rank", "url").collect()
+    assert sorted(map(tuple, ranked), key=repr) == [("absent", None, None), ("json", 1, "u3"), ("json", 2, "u1")]
+    hits = catalogue.search_hits(rows, ["json", "absent"], ["name"], [])
+    assert {r["query"]: r.total for r in catalogue.hit_counts(hits, ["json", "absent"]).collect()} == {"json": 1, "absent": 0}
     assert sorted([r.url for r in got], key=str) == [None, "u3"] and got[0].__fields__ == schemas.REPOS.names
 
 

@@ -123,9 +123,11 @@ _WORDS = r"string_split_regex(lower(concat_ws(' ', p_name, p_type)), '[^\p{L}\p{
 _HITS = f"""
 WITH catalogue AS (
   SELECT p_name AS name, p_brand AS owner, 'https://git.example.org/part/' || p_partkey AS url,
-         CAST(floor(p_retailprice) AS BIGINT) AS stars, {_WORDS} AS words FROM part),
+         CAST(floor(p_retailprice) AS BIGINT) AS stars,
+         {_WORDS} || CASE WHEN p_partkey % 5 = 0 OR p_size % 5 = 0 THEN ['language:rust'] ELSE [] END AS words FROM part),
 asked(query, a, b) AS (VALUES ('ring', 'ring', 'ring'), ('red,gear', 'red,gear', 'red,gear'),
-  ('owner:Brand#7 widget', 'owner:brand#7', 'widget'), ('small', 'small', 'small'), ('nosuchword', 'nosuchword', 'nosuchword')),
+  ('owner:Brand#7 widget', 'owner:brand#7', 'widget'), ('small', 'small', 'small'), ('nosuchword', 'nosuchword', 'nosuchword'),
+  ('language:rust', 'language:rust', 'language:rust')),
 hits AS (
   SELECT query, name, owner, url, stars FROM catalogue, asked
   WHERE (list_contains(words, a) OR a = 'owner:' || lower(owner)) AND (list_contains(words, b) OR b = 'owner:' || lower(owner)))
@@ -178,15 +180,22 @@ def oracles() -> dict[str, str]:
                    round(technical_ability, 6) AS technical_ability, reason, short AS repo FROM answer""",
         "contributors_rollup": f"WITH {_CONTRIBUTORS} SELECT * FROM contributors",
         "contributor_messages": f"""WITH {_COMMITS}
-            SELECT repo_owner, repo_name, author_email, CAST(sum(length(message)) AS BIGINT) AS chars, 3 * count(*) AS lines,
-                   'Order ' || arg_min(hash, (date, hash)) AS first_line,
-                   arg_max('Status ' || o_orderstatus || ' of customer ' || split_part(substr(author_email, 2), '.', 1), (date, hash)) AS last_line
+            SELECT repo_owner, repo_name, author_email, CAST(sum(length(message)) AS BIGINT) AS chars,
+                   md5(string_agg(message, '' ORDER BY date, hash)) AS digest
             FROM commits GROUP BY repo_owner, repo_name, author_email""",
         "contributor_files": f"""WITH {_COMMITS}
             SELECT repo_owner, repo_name, author_email, CAST(sum(len(files_changed)) AS BIGINT) AS files,
-                   CAST(sum(length(array_to_string(files_changed, ''))) AS BIGINT) AS chars,
-                   arg_min(files_changed[1], (date, hash)) FILTER (WHERE len(files_changed) > 0) AS first_file
+                   md5(coalesce(string_agg(array_to_string(files_changed, '|'), '|' ORDER BY date, hash) FILTER (WHERE len(files_changed) > 0), '')) AS digest
             FROM commits GROUP BY repo_owner, repo_name, author_email""",
+        "contributors_odd": f"""WITH {_COMMITS},
+            odd AS (SELECT * REPLACE ('shared' || length(author_name) || '@x' AS author_email,
+                                      CASE WHEN CAST(hash AS BIGINT) % 7 <> 0 THEN date END AS date) FROM commits),
+            named AS (SELECT repo_owner, repo_name, author_email, author_name, min(date) AS f FROM odd GROUP BY ALL),
+            first AS (SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY repo_owner, repo_name, author_email ORDER BY f NULLS LAST, author_name) = 1)
+            SELECT o.repo_owner, o.repo_name, o.author_email, any_value(first.author_name) AS author_name, count(date) AS commit_count,
+                   CAST(sum(lines_added) AS BIGINT) AS lines_added, CAST(sum(lines_deleted) AS BIGINT) AS lines_deleted,
+                   CAST(sum(lines_modified) AS BIGINT) AS lines_modified, min(date) AS first_commit, max(date) AS last_commit
+            FROM odd o JOIN first USING (repo_owner, repo_name, author_email) GROUP BY o.repo_owner, o.repo_name, o.author_email""",
         "active_contributors": f"""WITH {_COMMITS}
             SELECT repo_owner, repo_name, author_email, count(date) AS commit_count, CAST(sum(lines_modified) AS BIGINT) AS lines_modified
             FROM commits GROUP BY ALL HAVING sum(commits.lines_modified) > 100 AND count(date) >= 3""".replace("GROUP BY ALL", "GROUP BY repo_owner, repo_name, author_email"),
@@ -233,9 +242,11 @@ def oracles() -> dict[str, str]:
             SELECT o_orderkey, array_to_string(brands, '|') AS brands FROM orders LEFT JOIN bought ON o_custkey = k""",
         "keyword_topk": _HITS + """, ranked AS (
               SELECT *, row_number() OVER (PARTITION BY query ORDER BY stars DESC, owner, name, url) AS n FROM hits)
-            SELECT query, name, owner, url, stars FROM asked LEFT JOIN (SELECT * FROM ranked WHERE n <= 10) r USING (query)""",
+            SELECT query, CAST(n AS INTEGER) AS rank, name, owner, url, stars FROM asked LEFT JOIN (SELECT * FROM ranked WHERE n <= 10) r USING (query)""",
+        "default_search": _HITS + """ SELECT name, owner, url, stars FROM hits WHERE query = 'language:rust'
+            ORDER BY stars DESC, owner, name, url LIMIT 10""",
         "keyword_all": _HITS + "SELECT query, name, owner, url, stars FROM asked LEFT JOIN hits USING (query)",
-        "keyword_counts": _HITS + "SELECT query, count(*) AS total FROM hits GROUP BY query",
+        "keyword_counts": _HITS + "SELECT query, count(hits.url) AS total FROM asked LEFT JOIN hits USING (query) GROUP BY query",
         "first_n_children": """SELECT c_nationkey, c_custkey, c_name FROM customer
             QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) <= 10""",
         "ranked_customers": """
@@ -256,7 +267,29 @@ def oracles() -> dict[str, str]:
               SELECT url, CASE WHEN starts_with(url, 'https://') THEN string_split(url, '/')[-2] ELSE string_split(string_split(url, ':')[2], '/')[1] END AS o,
                      CASE WHEN starts_with(url, 'https://') THEN string_split(url, '/')[-1] ELSE string_split(string_split(url, ':')[2], '/')[2] END AS n FROM urls)
             SELECT url, CASE WHEN n IS NOT NULL THEN o END AS owner, regexp_replace(n, '\\.git$', '') AS name, replace(n, '.git', '') AS legacy_name FROM parts""",
-        "write_modes": """SELECT p_brand, 2 * count(*) AS appended, count(*) AS overwritten, true AS listed FROM part GROUP BY p_brand""",
+        "write_modes": """SELECT p_brand, 2 * count(*) AS appended, count(*) AS overwritten, CAST(6 AS BIGINT) AS appended_files,
+            CAST(3 AS BIGINT) AS overwritten_files FROM part GROUP BY p_brand""",
+        "files_as_bytes": """SELECT c_nationkey AS nation, md5(string_agg(c_name || chr(10), '' ORDER BY c_name)) AS digest
+            FROM customer GROUP BY c_nationkey""",
+        "sanitized_text": "SELECT doc_id, md5(chr(65533) || text) AS digest FROM documents",
+        "inline_lookup": """SELECT n_name, CASE n_regionkey WHEN 0 THEN 'zero' WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS title,
+            true AS now_is_shaped FROM nation""",
+        "kept_table": f"""WITH RECURSIVE {_FINAL} SELECT repo, count(*) AS people FROM contributions
+            WHERE NOT contains(author_email, '[bot]') AND NOT contains(author_email, '@github.com') GROUP BY repo""",
+        "infer_top": f"""WITH {_CONTRIBUTORS}
+            SELECT least(count(*), 7) AS scored FROM contributors WHERE lines_modified > 100 AND commit_count >= 3""",
+        "shared_line_components": """
+            WITH RECURSIVE edges AS MATERIALIZED (
+              SELECT DISTINCT 'd' || doc_id AS doc, unnest(string_split(text, chr(10))) AS line FROM documents),
+            kept AS MATERIALIZED (SELECT doc, line FROM edges WHERE line <> ''),
+            found(doc, label) USING KEY (doc) AS (
+              SELECT DISTINCT doc, doc FROM kept
+              UNION
+              SELECT e.doc, min(l.label) FROM (
+                  SELECT line, min(label) AS label FROM found JOIN kept USING (doc) GROUP BY line) l
+                JOIN kept e USING (line) JOIN recurring.found r ON r.doc = e.doc
+              GROUP BY e.doc HAVING min(l.label) < min(r.label))
+            SELECT label AS first_key, count(*) AS key_count FROM found GROUP BY label""",
         "arrow_round_trip": "SELECT n_name, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name",
         "markup_format": f"""
             WITH forms AS (

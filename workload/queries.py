@@ -14,7 +14,7 @@ from commitlens.operators import aggregates, filters, identity, infer, joins, ra
 from commitlens.plans import ask, prompts, stages
 from commitlens.session import shared_dir, written
 from commitlens.sources import catalogue as search
-from commitlens.sources import tables
+from commitlens.sources import images, tables
 from workload import clients, roles
 from workload.roles import table
 
@@ -32,7 +32,7 @@ class _Word:
 
 
 NO_WAIT = infer.Calls(first_wait=0.0, longest_wait=0.0, attempts=2)
-KEYWORDS = ["ring", "red,gear", "owner:Brand#7 widget", "small", "nosuchword"]
+KEYWORDS = ["ring", "red,gear", "owner:Brand#7 widget", "small", "nosuchword", "language:rust"]
 
 
 def _ntz(df: DataFrame, *columns: str) -> DataFrame:
@@ -50,24 +50,33 @@ def contributors_rollup(spark: SparkSession, d: str) -> DataFrame:
     return _ntz(stages.extract_contributors(roles.commits(spark, d)), "first_commit", "last_commit")
 
 
-def contributor_messages(spark: SparkSession, d: str) -> DataFrame:
-    parts = stages.contributor_messages(roles.commits(spark, d), rows_per_part=2)
-    lines = F.length("message") - F.length(F.replace(F.col("message"), F.lit("\n"), F.lit("")))
+def _read_in_order(parts: DataFrame, column: str) -> DataFrame:
+    """Per contributor the column's parts, one after the other."""
     return parts.groupBy(*stages.CONTRIBUTOR).agg(
-        F.sum(F.length("message")).alias("chars"),
-        F.sum(lines).alias("lines"),
-        F.min_by(text.first_lines(F.col("message"), 1), "part").alias("first_line"),
-        F.max_by(F.element_at(F.split("message", "\n"), -2), "part").alias("last_line"),
+        F.transform(F.array_sort(F.collect_list(F.struct("part", column))), lambda p: p[column]).alias(column), F.count(F.lit(1)).alias("parts")
     )
 
 
+def contributor_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Every contributor's whole message text, read back from its parts."""
+    whole = _read_in_order(stages.contributor_messages(roles.commits(spark, d), rows_per_part=2), "message")
+    text_ = F.array_join("message", "")
+    return whole.select(*stages.CONTRIBUTOR, F.length(text_).cast("bigint").alias("chars"), F.md5(text_).alias("digest"))
+
+
 def contributor_files(spark: SparkSession, d: str) -> DataFrame:
-    parts = stages.contributor_files(roles.commits(spark, d), rows_per_part=2)
-    return parts.groupBy(*stages.CONTRIBUTOR).agg(
-        F.sum(F.size("files_changed")).cast("bigint").alias("files"),
-        F.sum(F.length(F.array_join("files_changed", ""))).alias("chars"),
-        F.min_by(F.get("files_changed", F.lit(0)), F.when(F.size("files_changed") > 0, F.col("part"))).alias("first_file"),
+    """Every contributor's whole list of files, read back from its parts."""
+    whole = _read_in_order(stages.contributor_files(roles.commits(spark, d), rows_per_part=2), "files_changed")
+    files = F.flatten("files_changed")
+    return whole.select(*stages.CONTRIBUTOR, F.size(files).cast("bigint").alias("files"), F.md5(F.array_join(files, "|")).alias("digest"))
+
+
+def contributors_odd(spark: SparkSession, d: str) -> DataFrame:
+    """The rollup where an address has many names and some commits have no date."""
+    commits = roles.commits(spark, d).withColumns(
+        {"author_email": F.concat(F.lit("shared"), F.length("author_name"), F.lit("@x")), "date": F.when(F.col("hash").cast("bigint") % 7 != 0, F.col("date"))}
     )
+    return _ntz(stages.extract_contributors(commits), "first_commit", "last_commit")
 
 
 def active_contributors(spark: SparkSession, d: str) -> DataFrame:
@@ -168,7 +177,11 @@ def agg_join_back(spark: SparkSession, d: str) -> DataFrame:
 
 def keyword_topk(spark: SparkSession, d: str) -> DataFrame:
     found = search.search(roles.catalogue(spark, d), KEYWORDS, 10, keep_query=True)
-    return found.select("query", "name", "owner", "url", "stars")
+    return found.select("query", "rank", "name", "owner", "url", "stars")
+
+
+def default_search(spark: SparkSession, d: str) -> DataFrame:
+    return stages.search_repos(roles.catalogue(spark, d)).select("name", "owner", "url", "stars")
 
 
 def keyword_all(spark: SparkSession, d: str) -> DataFrame:
@@ -177,8 +190,8 @@ def keyword_all(spark: SparkSession, d: str) -> DataFrame:
 
 
 def keyword_counts(spark: SparkSession, d: str) -> DataFrame:
-    hits = search.search_hits(roles.catalogue(spark, d), KEYWORDS, ["name", "description"], ["owner"])
-    return search.hit_counts(hits).select("query", "total")
+    hits = search.search_hits(roles.catalogue(spark, d), KEYWORDS, ["name", "description"], ["language", "owner"])
+    return search.hit_counts(hits, KEYWORDS).select("query", "total")
 
 
 def first_n_children(spark: SparkSession, d: str) -> DataFrame:
@@ -222,14 +235,46 @@ def remote_url_parts(spark: SparkSession, d: str) -> DataFrame:
 def write_modes(spark: SparkSession, d: str) -> DataFrame:
     """Rows and files after two appends, then after an overwrite."""
     path = f"{shared_dir(spark)}/modes-{uuid.uuid4().hex}"
-    parts = table(spark, d, "part")
+    parts = table(spark, d, "part").repartition(3)
     tables.write_table(parts, path)
-    tables.write_table(parts, path, "append")
+    twice = tables.write_table(parts, path, "append").count()
     appended = written(tables.read_table(spark, path, parts.schema).groupBy("p_brand").agg(F.count(F.lit(1)).alias("appended")), "appended")
-    files = tables.write_table(parts, path, "overwrite")
+    once = tables.write_table(parts, path, "overwrite").count()
     over = tables.read_table(spark, path).groupBy("p_brand").agg(F.count(F.lit(1)).alias("overwritten"))
-    some_file = files.agg(F.count(F.lit(1)) > 0).first()[0]
-    return appended.join(over, "p_brand").withColumn("listed", F.lit(some_file))
+    counts = {"appended_files": F.lit(twice).cast("bigint"), "overwritten_files": F.lit(once).cast("bigint")}
+    return appended.join(over, "p_brand").withColumns(counts)
+
+
+def files_as_bytes(spark: SparkSession, d: str) -> DataFrame:
+    """Names of a nation's customers as a file per nation, equal in name, found by their whole paths."""
+    path = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    people = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), "c_name")
+    people.repartition(1, "nation").sortWithinPartitions("nation", "c_name").write.partitionBy("nation").text(path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(images.below("path", path).alias("file"))
+    read = images.with_bytes(listed, path, "file", "content")
+    return read.select(F.regexp_extract("file", "^nation=([0-9]+)/", 1).cast("int").alias("nation"), F.md5("content").alias("digest"))
+
+
+def sanitized_text(spark: SparkSession, d: str) -> DataFrame:
+    """Texts with a byte that is no UTF-8 in front."""
+    broken = F.concat(F.unhex(F.lit("FF")), F.encode("text", "UTF-8")).cast("string")
+    return table(spark, d, "documents").select("doc_id", F.md5(text.sanitize_utf8(broken)).alias("digest"))
+
+
+def inline_lookup(spark: SparkSession, d: str) -> DataFrame:
+    named = tables.inline_table(spark, {"r": [0, 1, 2], "title": ["zero", "one", "two"]}, "r bigint, title string")
+    stamped = table(spark, d, "nation").join(named, F.col("n_regionkey") == F.col("r"), "left")
+    shaped = times.now_text().rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$")
+    return stamped.select("n_name", "title", shaped.alias("now_is_shaped"))
+
+
+def kept_table(spark: SparkSession, d: str) -> DataFrame:
+    """The final table held in memory without bots, as the question service opens it."""
+    opened = ask.open_table(_final_table(spark, d), drop_bots=True, name="kept")
+    try:
+        return written(ask.run_sql(spark, "SELECT repo, count(*) AS people FROM kept GROUP BY repo"), "kept")
+    finally:
+        ask.close_table(opened, "kept")
 
 
 def arrow_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -527,6 +572,15 @@ def infer_scores(spark: SparkSession, d: str) -> DataFrame:
     return scored.select(*stages.CONTRIBUTOR, "impact_to_project", "technical_ability", "reason")
 
 
+def infer_top(spark: SparkSession, d: str) -> DataFrame:
+    """Only as many contributors as asked for are scored, every one of them an active one."""
+    commits = written(roles.commits(spark, d), "commits")
+    contributors = stages.extract_contributors(commits)
+    scored = written(stages.score_contributors(contributors, commits, clients.quality_client, NO_WAIT, top=7), "scored")
+    ours = scored.join(filters.active(contributors).select(*stages.CONTRIBUTOR), stages.CONTRIBUTOR, "left_semi")
+    return ours.agg(F.count(F.lit(1)).alias("scored"))
+
+
 def infer_projects(spark: SparkSession, d: str) -> DataFrame:
     repos = stages.attach_readme(roles.readme_repos(spark, d), roles.repo_files(spark, d)).withColumn("description", F.lit(None).cast("string"))
     analyzed = stages.analyze_repos(repos, clients.project_client, NO_WAIT)
@@ -598,13 +652,13 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        flagship, contributors_rollup, contributor_messages, contributor_files, active_contributors, weighted_mean,
+        flagship, contributors_rollup, contributors_odd, contributor_messages, contributor_files, active_contributors, weighted_mean,
         history_digest, first_files, deny_list, bot_filter, date_range, like_lower, pipe_member, blank_question,
-        two_key_join, skewed_lookup, agg_join_back, keyword_topk, keyword_all, keyword_counts, first_n_children,
-        ranked_customers, readme_pick, commit_log_roundtrip, remote_url_parts, write_modes, arrow_round_trip,
+        two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, first_n_children,
+        ranked_customers, readme_pick, commit_log_roundtrip, remote_url_parts, write_modes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
         markup_format, plain_text, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
         truncate_text, prompt_text, data_uri, json_struct, date_functions, identity_components, identity_bot_cut,
         shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, mended_question, query_contract, query_log,
-        infer_scores, infer_projects, infer_pictures, udtf_expand, udtf_runs,
+        infer_scores, infer_top, infer_projects, infer_pictures, udtf_expand, udtf_runs,
     )
 }

@@ -156,6 +156,10 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("bigint").alias("stars"),
         F.lit(None).cast("string").alias("updated"),
         F.lit(None).cast("string").alias("created_at"),
+        # A repository in one language or two.
+        F.array_distinct(
+            F.array(*[F.element_at(F.array(*[F.lit(x) for x in LANGUAGES]), F.pmod(F.col(c), F.lit(5)).cast("int") + 1) for c in ("p_partkey", "p_size")])
+        ).alias("language"),
     )
 
 
