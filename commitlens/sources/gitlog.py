@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commitlens.functions.text import remote_parts, sanitize_utf8, strip
 from commitlens.functions.times import commit_date
+from commitlens.session import written
 
 # The lines that frame a commit. A log is made with
 #   --pretty=format:---COMMIT START---%n%H%n%an%n%ae%n%ai%n%B%n---COMMIT END--- --date=iso --numstat
@@ -30,38 +35,70 @@ def read_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.select("path", sanitize_utf8(F.col("content").cast("string")).alias("log"))
 
 
+_RECORD = "path string, block long, n long, at_start boolean, closed boolean, alone boolean, before long, value string"
+
+
+def _count_closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the records of every block of a file as they are read, and count the closed ones before each.
+
+    Only the small columns are looked at; the text passes through as it is.
+    """
+    place, n, closed_before, last_closed = None, 0, 0, False
+    for batch in batches:
+        paths, blocks, ended = (batch.column(i).to_pylist() for i in range(3))
+        empty = pc.equal(batch.column(3), "").to_pylist()
+        number, start, closed, alone, before = [], [], [], [], []
+        for path, block, is_closed, is_empty in zip(paths, blocks, ended, empty, strict=True):
+            if (path, block) != place:
+                place, n, closed_before, last_closed = (path, block), 0, 0, False
+            # What stands before the START line a file begins with; any other empty record is between two of them.
+            is_closed = is_closed or (is_empty and block == 0 and n == 0)
+            number.append(n)
+            closed.append(is_closed)
+            start.append(block == 0 and n == 0)
+            alone.append(is_closed and last_closed)
+            before.append(closed_before)
+            n, closed_before, last_closed = n + 1, closed_before + is_closed, is_closed
+        columns = [*batch.columns[:2], pa.array(number, pa.int64()), pa.array(start, pa.bool_()), pa.array(closed, pa.bool_())]
+        columns += [pa.array(alone, pa.bool_()), pa.array(before, pa.int64()), batch.column(3)]
+        names = ["path", "block", "n", "at_start", "closed", "alone", "before", "value"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def read_log_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, log) for the log files under ``path``, one row per commit, files of any size.
 
     START lines serve as the record separator of Spark's text reader, which splits a large file over
-    many tasks. That is right as long as a START line only stands between commits. A first narrow
-    pass finds the files where it does not, because a message quotes one or a header breaks off;
-    those, and files that begin with something else, are read whole instead.
+    many tasks. A START line opens a commit only behind a record that is closed: one with an END line that
+    ends a line, or the empty one before the START line a file begins with. Any other START line is quoted in a
+    message or breaks off a header, and its record belongs to the one before. So the number of closed records before a
+    record says which commit it belongs to: records are numbered within their block as they are
+    read, blocks are added up by file, and the few records that are not a commit by themselves are put
+    together. A commit that is never closed has no END line and is not emitted by ``parse_logs``.
     """
     reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", f"{START}\n")
+    value = F.col("value")
+    ended = value.rlike(rf"(?md)^{END}$") & F.endswith(value, F.lit("\n"))
+    block = F.col("_metadata.file_block_start")
     records = reader.text(path).select(
         F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"),
-        F.col("value"),
-    )
-    # The empty text is what stands before the START line a file begins with.
-    whole = (F.col("value") == "") | (F.col("value").rlike(rf"(?md)^{END}$") & F.endswith("value", F.lit("\n")))
-    per_file = records.groupBy("path").agg(
-        F.min_by(F.col("value") == "", "at").alias("begins_right"),
-        F.min(F.when(~whole, F.col("at"))).alias("first_broken"),
-        F.max("at").alias("last"),
-    )
-    # The last commit may be cut off; it is then not emitted either way.
-    broken = per_file.where("NOT begins_right OR first_broken < last").select("path")
-    # Paths, of which the driver lists all anyway.
-    paths = [r.path for r in broken.collect()]
-    logs = records.where(F.col("value") != "").select(
-        "path", sanitize_utf8(F.concat(F.lit(f"{START}\n"), "value")).alias("log")
+        block.alias("block"),
+        ended.alias("closed"),
+        value,
     )
-    if not paths:
-        return logs
-    listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    return logs.join(listed, "path", "left_anti").unionByName(read_logs(spark, paths))
+    numbered = records.mapInArrow(_count_closed, _RECORD)
+    per_block = numbered.groupBy("path", "block").agg(F.sum(F.col("closed").cast("long")).alias("closed"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = written(per_block.select("path", "block", F.coalesce(F.sum("closed").over(earlier), F.lit(0)).alias("offset")), "blocks")
+    begun = F.concat(F.when(F.col("at_start"), "").otherwise(f"{START}\n"), "value")
+    alone = numbered.where(F.col("alone")).select("path", begun.alias("log"))
+    parts = numbered.where(~F.col("alone")).join(offsets, ["path", "block"])
+    piece = F.struct("block", "n", "value", "at_start")
+    joined = parts.groupBy("path", (F.col("offset") + F.col("before")).alias("commit")).agg(F.array_sort(F.collect_list(piece)).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda p: p["value"]), f"{START}\n")
+    first = F.when(F.element_at("parts", 1)["at_start"], "").otherwise(f"{START}\n")
+    put = joined.select("path", F.concat(first, text).alias("log"))
+    return alone.unionByName(put).where(F.col("log") != "").select("path", sanitize_utf8(F.col("log")).alias("log"))
 
 
 def _stat_lines(text: Column) -> Column:

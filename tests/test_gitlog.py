@@ -164,4 +164,19 @@ def test_read_log_files(spark, tmp_path, tiny_splits):
 
     assert rows(logs) == rows(read_logs(spark, str(tmp_path)))
     assert logs.where("path LIKE '%plain.log'").count() == 120
-    assert logs.where("path LIKE '%quoted.log'").count() == 1
+    # A quoted line costs no more than its own commit: no file is read whole.
+    assert logs.where("path LIKE '%quoted.log'").count() == 3
+
+
+def test_random_log_files(spark, tmp_path, tiny_splits):
+    rng = random.Random(11)
+    pieces = [START, END, START, END, "x", " y ", "", "1\t2\ta", "q\t1\tz", f"says {START}", f"{END} it", "3\t4\td\te", "long " * 60]
+    for i in range(60):
+        lines = "\n".join(rng.choice(pieces) for _ in range(rng.randrange(90)))
+        (tmp_path / f"{i}.log").write_text(lines + "\n" * rng.randrange(2))
+    columns = ["path", "hash", "author_name", "message", "files_changed", "lines_added", "lines_deleted"]
+
+    def rows(df):
+        return sorted(repr((r.path.rsplit("/")[-1], *r[1:])) for r in parse_logs(df).select(*columns).collect())
+
+    assert rows(read_log_files(spark, str(tmp_path))) == rows(read_logs(spark, str(tmp_path)))

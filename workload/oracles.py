@@ -261,6 +261,13 @@ def oracles() -> dict[str, str]:
             UNION ALL
             SELECT repo_owner, repo_name, 'm' || hash, author_name, author_email, date,
                    'Merge' || chr(10) || '---COMMIT START---' || chr(10) || 'quoted' || chr(10), '', 0, 0, 0 FROM commits""",
+        "log_files": f"""WITH {_COMMITS}
+            SELECT hash, author_name, author_email, date, message,
+                   array_to_string(list_append([string_split(x, chr(9))[3] for x in stat_lines], 'img/logo.png'), '|') AS files_changed,
+                   lines_added, lines_deleted, lines_modified FROM commits
+            UNION ALL
+            SELECT 'm' || hash, author_name, author_email, date,
+                   'Merge' || chr(10) || '---COMMIT START---' || chr(10) || 'quoted' || chr(10), '', 0, 0, 0 FROM commits""",
         "remote_url_parts": """
             WITH urls AS (SELECT url FROM pages UNION ALL SELECT 'git@host:' || regexp_replace(url, '^https?://', '') || '.git' FROM pages),
             parts AS (

@@ -15,6 +15,7 @@ from commitlens.plans import ask, prompts, stages
 from commitlens.session import shared_dir, written
 from commitlens.sources import catalogue as search
 from commitlens.sources import images, tables
+from commitlens.sources.gitlog import parse_logs, read_log_files
 from workload import clients, roles
 from workload.roles import table
 
@@ -224,6 +225,16 @@ def commit_log_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def log_files(spark: SparkSession, d: str) -> DataFrame:
+    """Logs with many commits to a file, some of which quote a START line, written as files and read back."""
+    path = f"{shared_dir(spark)}/logs-{uuid.uuid4().hex}"
+    roles.logs(spark, d).select("log").repartition(5).write.text(path)
+    parsed = parse_logs(read_log_files(spark, path))
+    return _ntz(parsed, "date").select(
+        "hash", "author_name", "author_email", "date", "message", lists.pipe_join(F.col("files_changed")).alias("files_changed"), "lines_added", "lines_deleted", "lines_modified"
+    )
+
+
 def remote_url_parts(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("url")
     ssh = pages.select(F.concat(F.lit("git@host:"), F.regexp_replace("url", "^https?://", ""), F.lit(".git")).alias("url"))
@@ -655,7 +666,7 @@ QUERIES = {
         flagship, contributors_rollup, contributors_odd, contributor_messages, contributor_files, active_contributors, weighted_mean,
         history_digest, first_files, deny_list, bot_filter, date_range, like_lower, pipe_member, blank_question,
         two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, first_n_children,
-        ranked_customers, readme_pick, commit_log_roundtrip, remote_url_parts, write_modes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
+        ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
         markup_format, plain_text, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
         truncate_text, prompt_text, data_uri, json_struct, date_functions, identity_components, identity_bot_cut,
         shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, mended_question, query_contract, query_log,
