@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from commitlens.functions.lists import pipe_split
-from commitlens.functions.times import display_date
 
 # Classes of a badge's background and text colour per language, and of any other.
 LANGUAGE_COLORS = {

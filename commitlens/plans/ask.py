@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.functions import display
-from commitlens.functions.times import as_text, now_text
+from commitlens.functions.times import as_text, display_date, now_text
 from commitlens.operators.filters import without_marks
 from commitlens.operators.ranking import best_first
 from commitlens.plans.prompts import missing_columns_hint, retry_hint
@@ -267,6 +267,6 @@ def present_rows(packaged: Packaged) -> DataFrame:
         "repo",
         display.repo_link(F.col("repo")).alias("link"),
         *[r[c].alias(c) for c in ("commit_count", "impact_to_project", "technical_ability", "lines_modified")],
-        display.display_date(r["first_commit"]).alias("first_commit"),
-        display.display_date(r["last_commit"]).alias("last_commit"),
+        display_date(r["first_commit"]).alias("first_commit"),
+        display_date(r["last_commit"]).alias("last_commit"),
     )
