@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from commitlens.llm import ann, bpe, byteconv, fertility, licenses, mixing, pages, pii, planes, simhash
 from commitlens.llm.common import table
+from commitlens.llm.oracles import ORACLES
 
 
 def vocabulary(name: str) -> str:
@@ -72,4 +73,4 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_pages": op10_pages,
 }
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
