@@ -39,10 +39,14 @@ BASE = {
 # Families of licenses: label, keyword, how the name is written, and the versions there are. A
 # version is written "v 2 0", "version 2", "2 0" or "v2"; a zero at its end may be left out.
 FAMILIES = [
-    ("gpl", "g", r"(?:gnu )?(?:general public licen[sc]e|gpl)", ("1.0", "2.0", "3.0")),
-    ("lgpl", "l", r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)", ("2.0", "2.1", "3.0")),
-    ("agpl", "a", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)", ("1.0", "3.0")),
-    ("gfdl", "f", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl|fdl)", ("1.1", "1.2", "1.3")),
+    ("gpl", "general public", r"(?:gnu )?general public licen[sc]e", ("1.0", "2.0", "3.0")),
+    ("gpl", "gpl", r"(?:gnu )?gpl", ("1.0", "2.0", "3.0")),
+    ("lgpl", "general public", r"(?:gnu )?(?:lesser|library) general public licen[sc]e", ("2.0", "2.1", "3.0")),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl", ("2.0", "2.1", "3.0")),
+    ("agpl", "general public", r"(?:gnu )?affero general public licen[sc]e", ("1.0", "3.0")),
+    ("agpl", "agpl", r"(?:gnu )?agpl", ("1.0", "3.0")),
+    ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[sc]e", ("1.1", "1.2", "1.3")),
+    ("gfdl", "fdl", r"(?:gnu )?g?fdl", ("1.1", "1.2", "1.3")),
     ("apache", "apache", r"apache(?: software)? licen[sc]e|apache", ("1.0", "1.1", "2.0")),
     ("mpl", "mozilla", r"mozilla public licen[sc]e", ("1.0", "1.1", "2.0")),
     ("epl", "eclipse", r"eclipse public licen[sc]e", ("1.0", "2.0")),
@@ -65,17 +69,25 @@ FAMILIES = [
     ("odc-by", "open data commons", r"open data commons attribution licen[sc]e", ("1.0",)),
     ("cecill", "cecill", r"cecill(?: free software licen[sc]e)?(?: agreement)?", ("1.0", "2.0", "2.1")),
     ("sspl", "server side public", r"server side public licen[sc]e", ("1.0",)),
-    ("cc-by", "by", r"(?:creative commons attribution|cc by)", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-sa", "by", r"(?:creative commons attribution share ?alike|cc by sa)", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nd", "by", r"(?:creative commons attribution no ?deriv(?:ative)?s?(?: works)?|cc by nd)", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nc", "by", r"(?:creative commons attribution non ?commercial|cc by nc)", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nc-sa", "by", r"(?:creative commons attribution non ?commercial share ?alike|cc by nc sa)", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nc-nd", "by", r"(?:creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?|cc by nc nd)", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by", "attribution", r"creative commons attribution", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by", "cc by", r"cc by", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-sa", "attribution", r"creative commons attribution share ?alike", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-sa", "cc by", r"cc by sa", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nd", "attribution", r"creative commons attribution no ?deriv(?:ative)?s?(?: works)?", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nd", "cc by", r"cc by nd", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc", "attribution", r"creative commons attribution non ?commercial", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc", "cc by", r"cc by nc", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc-sa", "attribution", r"creative commons attribution non ?commercial share ?alike", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc-sa", "cc by", r"cc by nc sa", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc-nd", "attribution", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc-nd", "cc by", r"cc by nc nd", ("1.0", "2.0", "2.5", "3.0", "4.0")),
     ("cc0", "cc0", r"(?:creative commons )?(?:cc0|cc0 universal|cc0 public domain dedication)", ("1.0",)),
     ("zpl", "zope", r"zope public licen[sc]e", ("1.1", "2.0", "2.1")),
     ("ms-pl", "microsoft public", r"microsoft public licen[sc]e", ()),
     ("ms-rl", "microsoft reciprocal", r"microsoft reciprocal licen[sc]e", ()),
-    ("mit", "mit", r"(?:the )?mit(?: x11)? licen[sc]e|mit x11|x11 licen[sc]e|expat licen[sc]e", ()),
+    ("mit", "mit", r"(?:the )?mit(?: x11)? licen[sc]e|mit x11", ()),
+    ("mit", "x11 licen", r"x11 licen[sc]e", ()),
+    ("mit", "expat", r"expat licen[sc]e", ()),
     ("bsd", "bsd", r"bsd(?: style)? licen[sc]e", ()),
     ("bsd-2-clause", "bsd", r"(?:simplified|freebsd|2 clause|two clause) bsd(?: licen[sc]e)?|bsd 2 clause(?: licen[sc]e)?", ()),
     ("bsd-3-clause", "bsd", r"(?:new|revised|modified|3 clause|three clause) bsd(?: licen[sc]e)?|bsd 3 clause(?: licen[sc]e)?", ()),
@@ -134,22 +146,28 @@ def rules() -> list[Rule]:
             ident, exact = f"{label} {number}".replace("-", " ").replace(".", " "), f"{label}-{number}"
             full = rf"(?:{name}){_version(number)}"
             made.append(Rule("spdx", rf"spdx licen[sc]e identifier {ident}(?: only| or later)?", exact, 0, 1.0))
-            made.append(Rule("under", _GRANT + full, exact, 1, 0.95))
+            made.append(Rule(keyword, _GRANT + full, exact, 1, 0.95))
             made.append(Rule(keyword, full, exact, 2, 0.85))
         plain = label.replace("-", " ").replace(".", " ")
         made.append(Rule("spdx", rf"spdx licen[sc]e identifier {plain}", label, 0, 1.0))
-        made.append(Rule("under", rf"{_GRANT}(?:{name})(?: licen[sc]e)?", label, 1, 0.9))
+        made.append(Rule(keyword, rf"{_GRANT}(?:{name})(?: licen[sc]e)?", label, 1, 0.9))
         if label != "apache":
             made.append(Rule(keyword, name, label, 3, 0.6))
-    return sorted(made, key=lambda r: r.tier)
+    # Spellings of one family share their identifiers.
+    return sorted(dict.fromkeys(made), key=lambda r: r.tier)
 
 
-# What a text must hold, in any case, for a rule or a base phrase to be tried at all.
+# What a text must hold, in any case and at the beginning of a word, for a rule or a base phrase to
+# be tried at all.
 GATE = (
-    "licen[sc]|spdx|gpl|gfdl|apache|cc0|wtfpl|cecill|mit x11|unencumbered|public domain|all rights reserved"
-    "|permission|redistribution and use|neither the name|advertising materials|verbatim copies|either version"
-    "|altered source versions|do what the fuck|you may not use|may not be reproduced|bsd|attribution|cc by"
+    "licen[sc]|spdx|unlicense|[al]?gpl|g?fdl|apache|cc0|wtfpl|cecill|mit x11|unencumbered|public domain"
+    "|all rights reserved|permission|redistribution and use|neither the name|advertising materials"
+    "|verbatim copies|either version|altered source versions|do what the fuck|you may not use"
+    "|may not be reproduced|creative commons attribution|[234] clause bsd|(?:new|revised|modified|original"
+    "|simplified|freebsd|two clause|three clause|four clause) bsd|bsd [234] clause|cc by"
 )
+# The letters and digits it may begin with, looked at first.
+_GATE_STARTS = "(?=[acdefglmnoprstuvwy234])"
 
 _FOUND = "struct<start:bigint,end:bigint,tier:int,number:int,label:string,confidence:double>"
 
@@ -162,18 +180,18 @@ def _places(text: str, rule: str) -> str:
     """SQL: all non-overlapping matches of ``rule`` in ``text``, with the words they begin and end at."""
     pattern = f"concat('(?<![^ ])(?:', {rule}.pattern, ')(?![^ ])')"
     # Pieces between the matches and the matches, in turn, carry the number of words so far.
-    return f"""aggregate(
-        zip_with(regexp_extract_all({text}, {pattern}, 0), split({text}, {pattern}, -1),
-            (h, p) -> named_struct('hit', h, 'piece', p)),
-        named_struct('at', 0L, 'found', cast(array() AS array<{_FOUND}>)),
-        (s, x) -> IF(x.hit IS NULL, s, named_struct(
-            'at', s.at + {_spaces("x.piece")} + {_spaces("x.hit")},
-            'found', concat(s.found, array(named_struct(
-                'start', cast(s.at + {_spaces("x.piece")} AS bigint),
-                'end', cast(s.at + {_spaces("x.piece")} + {_spaces("x.hit")} + 1 AS bigint),
-                'tier', {rule}.tier, 'number', {rule}.number,
-                'label', {rule}.label, 'confidence', {rule}.confidence))))),
-        s -> s.found)"""
+    return f"""transform(array(regexp_extract_all({text}, {pattern}, 0)), hits -> IF(size(hits) = 0, cast(array() AS array<{_FOUND}>),
+        aggregate(
+            zip_with(hits, split({text}, {pattern}, -1), (h, p) -> named_struct('hit', h, 'piece', p)),
+            named_struct('at', 0L, 'found', cast(array() AS array<{_FOUND}>)),
+            (s, x) -> IF(x.hit IS NULL, s, named_struct(
+                'at', s.at + {_spaces("x.piece")} + {_spaces("x.hit")},
+                'found', concat(s.found, array(named_struct(
+                    'start', cast(s.at + {_spaces("x.piece")} AS bigint),
+                    'end', cast(s.at + {_spaces("x.piece")} + {_spaces("x.hit")} + 1 AS bigint),
+                    'tier', {rule}.tier, 'number', {rule}.number,
+                    'label', {rule}.label, 'confidence', {rule}.confidence))))),
+            s -> s.found)))[0]"""
 
 
 def _table(made: list[Rule]) -> str:
@@ -232,14 +250,14 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     A null text counts as empty, repeated rows give repeated rows, a null id stays null, an empty
     table gives no rows, and other columns are not read.
     """
-    gate = GATE.replace(" ", f"{_RAW_GAP}+")
+    gate = f"(?i)(?<!{_RAW_WORD}){_GATE_STARTS}(?:{GATE.replace(' ', f'{_RAW_GAP}+')})"
     text = F.coalesce(F.col(text_column), F.lit(""))
     base = [Rule(p, p, label, 0, 0.8) for p, label in BASE.items()]
     picked = docs.select(F.col(id_column), text.alias("text"))
     gated = picked.select(
         id_column,
         word_count(F.col("text")).alias("n_words"),
-        F.when(F.col("text").rlike(f"(?i){gate}"), words_of(F.col("text"))).alias("words"),
+        F.when(F.col("text").rlike(gate), words_of(F.col("text"))).alias("words"),
     )
     none = f"cast(array() AS array<{_FOUND}>)"
     return gated.select(
