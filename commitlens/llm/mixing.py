@@ -31,6 +31,12 @@ class Mixture:
     seed: int = 11
 
 
+def hashed(*parts: Column | str) -> Column:
+    """A number below 2^60 that depends on the parts' texts only: the first digits of an MD5 sum."""
+    texts = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("null")) for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *texts)), 1, 15), 16, 10).cast("long")
+
+
 def word_tokens(text: Column) -> Column:
     """Words of a text, by ASCII white space; 0 for null."""
     space, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -105,7 +111,7 @@ def mix(
     rows. Other columns, whatever their names, are only carried along.
     """
     source, seed = F.col(source_column), F.lit(goal.seed)
-    key = F.xxhash64(seed, F.col(id_column))
+    key = hashed(seed, F.col(id_column))
     tokens = word_tokens(F.col(text_column))
     counted = written(docs.select(source.alias("source"), key.alias("key"), tokens.alias("tokens")), "counted")
     totals = counted.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
@@ -117,18 +123,19 @@ def mix(
     z, least = norm.z or 1.0, norm.least or 1.0
     budget = goal.budget if goal.budget is not None else whole * z / least
     quota = F.lit(float(budget)) * F.pow("share", F.lit(alpha)) / F.lit(z)
-    # A hair more, so that a quota of just one whole pass is not missed by rounding.
+    # A hair more or less than a whole pass is a whole pass: sums are rounded.
     times = F.floor(quota / F.col("tokens") + 1e-9)
+    over = quota - times * F.col("tokens")
     plan = written(
         totals.select(
             "source",
             F.ceil(F.col("docs") / goal.block_docs).alias("blocks"),
             F.when(F.col("tokens") > 0, times).otherwise(1).cast("int").alias("full"),
-            F.when(F.col("tokens") > 0, F.greatest(quota - times * F.col("tokens"), F.lit(0.0))).otherwise(0.0).alias("rest"),
+            F.when((F.col("tokens") > 0) & (over > F.col("tokens") * 1e-9), over).otherwise(0.0).alias("rest"),
         ),
         "plan",
     )
-    block = F.pmod(F.xxhash64(seed, F.lit("block"), "key"), F.col("blocks")).alias("block")
+    block = (hashed(seed, F.lit("block"), "key") % F.col("blocks")).alias("block")
 
     def same(a: DataFrame, b: DataFrame, *names: str) -> Column:
         tests = [a[n].eqNullSafe(b[n]) for n in names]
@@ -139,7 +146,7 @@ def mix(
         F.sum("tokens").alias("tokens"), F.first("full").alias("full"), F.first("rest").alias("rest")
     )
     epochs = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("full"))).alias("epoch"))
-    order = Window.partitionBy("source", "epoch").orderBy(F.xxhash64(seed, "epoch", "block"), "block")
+    order = Window.partitionBy("source", "epoch").orderBy(hashed(seed, "epoch", "block"), "block")
     before = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     turns = epochs.select("source", "block", "epoch", F.row_number().over(order).alias("turn"), before.alias("before"), "tokens", "full", "rest")
     # In the last, partial epoch a block starts before the rest is spent or is not taken.
@@ -151,7 +158,7 @@ def mix(
     cuts = taken.where(F.col("cut").isNotNull()).select("source", "block", "epoch", "cut")
     ids = placed.groupBy("source", "block", "key").agg(F.sum("tokens").alias("tokens"))
     inside = ids.join(cuts, same(ids, cuts, "source", "block")).select(ids["source"], ids["block"], "epoch", "key", "tokens", "cut")
-    by_hash = Window.partitionBy("source", "block").orderBy(F.xxhash64(seed, "epoch", "key"), "key")
+    by_hash = Window.partitionBy("source", "block").orderBy(hashed(seed, "epoch", "key"), "key")
     spent = F.coalesce(F.sum("tokens").over(by_hash.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     some = inside.withColumn("spent", spent).where(F.col("spent") < F.col("cut")).select("source", "block", "epoch", "key")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from commitlens.llm import licenses
+from commitlens.llm import licenses, mixing
 
 
 def _text(value: str) -> str:
@@ -60,4 +60,79 @@ def license_labels() -> str:
         FROM split LEFT JOIN summed ON summed.doc_id = split.doc_id"""
 
 
-ORACLES = {"op3_licenses": license_labels()}
+def _hashed(*parts: str) -> str:
+    texts = " || ':' || ".join(f"coalesce(CAST({p} AS VARCHAR), 'null')" for p in parts)
+    return f"CAST('0x' || substr(md5({texts}), 1, 15) AS BIGINT)"
+
+
+def _border(name: str, low_side: bool, test: str, goal: mixing.Mixture) -> str:
+    """Bisection as a recursive table: each pass a grid of exponents over the sources' shares."""
+    grid = mixing._GRID
+    return f"""
+        {name}_steps(pass, low, high, done) AS (
+          SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE), false
+          UNION ALL
+          SELECT pass + 1, CASE WHEN turn = 0 THEN points[1] WHEN turn > {grid} THEN points[{grid + 1}] ELSE points[turn] END,
+                 CASE WHEN turn = 0 THEN points[1] WHEN turn > {grid} THEN points[{grid + 1}] ELSE points[turn + 1] END,
+                 turn = 0 OR turn > {grid}
+          FROM (SELECT pass, points, coalesce(list_position([CASE WHEN ({test}) = {str(low_side).lower()} THEN 0 ELSE 1 END for m in measures], 1) - 1, {grid + 1}) AS turn
+                FROM (SELECT pass, points, [{{
+                          'entropy': CASE WHEN n > 1 THEN (ln(list_sum([pow(x, a) for x in shares])) - a * list_sum([pow(x, a) * ln(x) for x in shares])
+                              / list_sum([pow(x, a) for x in shares])) / ln(n) ELSE 1 END,
+                          'repeats': {goal.budget} / total * list_max([pow(x, a - 1) for x in shares]) / list_sum([pow(x, a) for x in shares])
+                        }} for a in points] AS measures
+                      FROM (SELECT pass, [low + (high - low) * i / {grid} for i in range({grid + 1})] AS points FROM {name}_steps
+                            WHERE NOT done AND pass < {mixing._PASSES}), listed))),
+        {name} AS (SELECT {"low" if low_side else "high"} AS a FROM {name}_steps ORDER BY pass DESC LIMIT 1)"""
+
+
+def mixed_documents() -> str:
+    """The whole mixture: shares, exponent, quotas, block orders and the cut in the last block."""
+    goal = mixing.Mixture(entropy=0.92, repeats=2.0, budget="total")
+    seed = goal.seed
+    return rf"""
+        WITH RECURSIVE docs AS (
+          SELECT doc_id, source, len([x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']) AS tokens,
+                 {_hashed(str(seed), "doc_id")} AS key
+          FROM documents),
+        totals AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS docs FROM docs GROUP BY source),
+        shared AS (SELECT *, tokens / CAST(sum(tokens) OVER () AS DOUBLE) AS share FROM totals),
+        listed AS (SELECT list(share ORDER BY share) AS shares, count(*) AS n, CAST(sum(tokens) AS DOUBLE) AS total FROM shared WHERE tokens > 0),
+        {_border("by_entropy", True, f"m.entropy >= {goal.entropy} - 1e-12", goal)},
+        {_border("by_repeats", False, f"m.repeats <= {goal.repeats} + 1e-9", goal)},
+        chosen AS (SELECT greatest(by_entropy.a, by_repeats.a) AS a FROM by_entropy, by_repeats),
+        quotas AS (
+          SELECT source, tokens, docs, total * pow(share, a) / list_sum([pow(x, a) for x in shares]) AS quota FROM shared, listed, chosen),
+        plan AS (
+          SELECT source, CAST(ceil(docs / {goal.block_docs}) AS BIGINT) AS blocks,
+                 CASE WHEN tokens > 0 THEN CAST(floor(quota / tokens + 1e-9) AS BIGINT) ELSE 1 END AS whole,
+                 CASE WHEN tokens > 0 AND quota - floor(quota / tokens + 1e-9) * tokens > tokens * 1e-9
+                      THEN quota - floor(quota / tokens + 1e-9) * tokens ELSE 0 END AS rest
+          FROM quotas),
+        placed AS (
+          SELECT docs.*, whole, rest, {_hashed(str(seed), "'block'", "key")} % blocks AS block
+          FROM docs JOIN plan ON docs.source IS NOT DISTINCT FROM plan.source),
+        blocks AS (SELECT source, block, any_value(whole) AS whole, any_value(rest) AS rest, sum(tokens) AS tokens FROM placed GROUP BY source, block),
+        epochs AS (SELECT *, unnest(range(whole + 1)) AS epoch FROM blocks),
+        ordered AS (SELECT *, {_hashed(str(seed), "epoch", "block")} AS h FROM epochs),
+        turns AS (
+          SELECT *, row_number() OVER w AS turn, coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM ordered WINDOW w AS (PARTITION BY source, epoch ORDER BY h, block)),
+        taken AS (
+          SELECT *, CASE WHEN epoch = whole AND before + tokens > rest THEN rest - before END AS cut
+          FROM turns WHERE epoch < whole OR (rest > 0 AND before < rest)),
+        keys AS (SELECT source, block, key, sum(tokens) AS tokens FROM placed GROUP BY source, block, key),
+        inside AS (
+          SELECT taken.source, taken.block, epoch, key, cut, coalesce(sum(keys.tokens) OVER (
+                   PARTITION BY taken.source, taken.block ORDER BY {_hashed(str(seed), "epoch", "key")}, key
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent
+          FROM taken JOIN keys ON taken.source IS NOT DISTINCT FROM keys.source AND taken.block = keys.block
+          WHERE cut IS NOT NULL)
+        SELECT doc_id, placed.source, CAST(taken.epoch AS INTEGER) AS epoch, CAST(turn AS INTEGER) AS turn, CAST(placed.tokens AS BIGINT) AS n_tokens
+        FROM placed JOIN taken ON placed.source IS NOT DISTINCT FROM taken.source AND placed.block = taken.block
+        LEFT JOIN inside ON inside.source IS NOT DISTINCT FROM placed.source AND inside.block = placed.block
+          AND inside.epoch = taken.epoch AND inside.key = placed.key
+        WHERE taken.cut IS NULL OR inside.spent < taken.cut"""
+
+
+ORACLES = {"op3_licenses": license_labels(), "op7_mixing": mixed_documents()}
