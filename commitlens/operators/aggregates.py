@@ -33,25 +33,22 @@ def distinct_list(df: DataFrame, keys: list[str], list_column: str) -> DataFrame
     return items.groupBy(*keys).agg(F.array_sort(F.collect_list("_item")).alias(list_column))
 
 
-def ordered_parts(
-    df: DataFrame, keys: list[str], order: list[str], aggregates: list[Column], rows_per_part: int = 1_000
-) -> DataFrame:
-    """Group each key's rows, in ``order``, into parts of at most ``rows_per_part`` rows.
+def ordered_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``position``, a number that rises along each key's rows in ``order``.
 
-    Reading a key's parts by ascending ``part`` gives its rows in order. The rows are range
-    partitioned by key and order, so one key spreads over as many tasks as its size calls for and
-    no task or cell ever has to hold a whole key. Copies of a row, which ``order`` does not tell
-    apart, are told apart by where they were read, so they spread as well.
+    Reading a key's rows by position gives them in order. Rows are range partitioned by key and
+    order, in one shuffle, so one key spreads over as many tasks as its size calls for and no task or cell ever has to
+    hold a whole key. Copies of a row, which ``order`` does not tell apart, are told apart by where
+    they were read, so they spread as well.
     """
-    blocks = (
+    return (
         df.withColumn("_copy", F.monotonically_increasing_id())
         .repartitionByRange(*[F.col(c) for c in [*keys, *order, "_copy"]])
         .sortWithinPartitions(*keys, *order, "_copy")
         # Partition number in the high bits, row number in the low ones: rises along the order.
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("part", F.expr(f"_row div {rows_per_part}"))
+        .withColumn("position", F.monotonically_increasing_id())
+        .drop("_copy")
     )
-    return blocks.groupBy(*keys, "part").agg(*aggregates)
 
 
 def concat_text(text: str, *order: str) -> Column:
@@ -60,13 +57,6 @@ def concat_text(text: str, *order: str) -> Column:
     return F.array_join(F.transform(rows, lambda r: r["_text"]), "")
 
 
-def concat_lists(items: str, *order: str) -> Column:
-    """Lists of a group one after the other, null lists skipped."""
-    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(items).alias("_items"))))
-    lists = F.filter(F.transform(rows, lambda r: r["_items"]), lambda x: x.isNotNull())
-    return F.flatten(lists)
-
-
 def history_digest(
     df: DataFrame,
     keys: list[str],

@@ -99,26 +99,16 @@ def extract_contributors(commits: DataFrame) -> DataFrame:
     )
 
 
-def contributor_messages(commits: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
-    """All messages of every contributor put together, in parts: (contributor, part, message)."""
-    return aggregates.ordered_parts(
-        commits.select(*CONTRIBUTOR, *COMMIT_ORDER, "message"),
-        CONTRIBUTOR,
-        COMMIT_ORDER,
-        [aggregates.concat_text("message", *COMMIT_ORDER).alias("message")],
-        rows_per_part,
-    )
+def contributor_messages(commits: DataFrame) -> DataFrame:
+    """All messages of every contributor: (contributor, position, message), by position one text."""
+    rows = commits.select(*CONTRIBUTOR, *COMMIT_ORDER, "message").where("message IS NOT NULL")
+    return aggregates.ordered_rows(rows, CONTRIBUTOR, COMMIT_ORDER).drop(*COMMIT_ORDER)
 
 
-def contributor_files(commits: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
-    """All file lists of every contributor put together, in parts: (contributor, part, files_changed)."""
-    return aggregates.ordered_parts(
-        commits.select(*CONTRIBUTOR, *COMMIT_ORDER, "files_changed"),
-        CONTRIBUTOR,
-        COMMIT_ORDER,
-        [aggregates.concat_lists("files_changed", *COMMIT_ORDER).alias("files_changed")],
-        rows_per_part,
-    )
+def contributor_files(commits: DataFrame) -> DataFrame:
+    """All file lists of every contributor: (contributor, position, files_changed), by position one list."""
+    rows = commits.select(*CONTRIBUTOR, *COMMIT_ORDER, "files_changed").where("files_changed IS NOT NULL")
+    return aggregates.ordered_rows(rows, CONTRIBUTOR, COMMIT_ORDER).drop(*COMMIT_ORDER)
 
 
 def contributor_requests(contributors: DataFrame, commits: DataFrame, top: int | None = None) -> DataFrame:

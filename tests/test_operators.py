@@ -187,33 +187,27 @@ def test_weighted_mean(spark):
     assert plain == {"a": 2.0, "b": None, "c": None} and known == {"a": 4.0, "b": None, "c": None}
 
 
-def test_ordered_parts(spark):
+def test_ordered_rows(spark):
     rng = random.Random(8)
     data = [("hot" if i % 3 else f"k{i % 4}", i, rng.choice(["x", "yy\n", None]), [f"f{i}"] if i % 2 else None) for i in range(900)]
     df = spark.createDataFrame(data, "k string, i int, t string, f array<string>").repartition(5)
-    parts = aggregates.ordered_parts(
-        df, ["k"], ["i"],
-        [aggregates.concat_text("t", "i").alias("t"), aggregates.concat_lists("f", "i").alias("f"), F.count("*").alias("n")], 10,
-    ).collect()
-    assert max(p.n for p in parts) <= 10 and sum(p.n for p in parts) == 900
+    got = sorted(aggregates.ordered_rows(df, ["k"], ["i"]).collect(), key=lambda r: r.position)
+    assert len({r.position for r in got}) == 900
     for key in {r[0] for r in data}:
-        mine = sorted((p for p in parts if p.k == key), key=lambda p: p.part)
-        rows = sorted((r for r in data if r[0] == key), key=lambda r: r[1])
-        assert "".join(p.t for p in mine) == "".join(r[2] or "" for r in rows)
-        assert [x for p in mine for x in p.f] == [x for r in rows for x in r[3] or []]
+        assert [tuple(r)[:4] for r in got if r.k == key] == sorted(r for r in data if r[0] == key)
 
 
 def test_copies_spread_over_tasks(spark):
     df = spark.createDataFrame([("hot", 1, "x")] * 600, "k string, i int, t string").repartition(6)
-    texts = [aggregates.concat_text("t", "i").alias("t"), F.count("*").alias("n")]
     # Spark would put so few rows back into one task.
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = aggregates.ordered_parts(df, ["k"], ["i"], texts, 10).collect()
+        rows = aggregates.ordered_rows(df, ["k"], ["i"])
+        assert rows.select(F.spark_partition_id()).distinct().count() > 1 and rows.count() == 600
+        # One shuffle.
+        assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange rangepartitioning") == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "".join(p.t for p in parts) == "x" * 600 and max(p.n for p in parts) <= 10
-    assert len({p.part * 10 >> 33 for p in parts}) > 1
 
 
 def test_history_digest(spark):

@@ -39,11 +39,11 @@ def test_contributors(spark):
     assert set(got) == {"a@x", "b@x", None}
 
 
-def test_contributor_parts(spark):
+def test_contributor_rows_by_position(spark):
     c = commit(spark, HISTORY)
-    messages = stages.contributor_messages(c, 1).where("author_email = 'a@x'").orderBy("part").collect()
-    assert [m.message for m in messages] == ["", "first\n", "second\n", "third\n"]
-    files = stages.contributor_files(c, 100).where("author_email = 'a@x'").orderBy("part").collect()
+    messages = stages.contributor_messages(c).where("author_email = 'a@x'").orderBy("position").collect()
+    assert [m.message for m in messages] == ["first\n", "second\n", "third\n"]
+    files = stages.contributor_files(c).where("author_email = 'a@x'").orderBy("position").collect()
     assert [x for f in files for x in f.files_changed] == ["a", "b", "a"]
 
 

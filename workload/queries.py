@@ -51,23 +51,22 @@ def contributors_rollup(spark: SparkSession, d: str) -> DataFrame:
     return _ntz(stages.extract_contributors(roles.commits(spark, d)), "first_commit", "last_commit")
 
 
-def _read_in_order(parts: DataFrame, column: str) -> DataFrame:
-    """Per contributor the column's parts, one after the other."""
-    return parts.groupBy(*stages.CONTRIBUTOR).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("part", column))), lambda p: p[column]).alias(column), F.count(F.lit(1)).alias("parts")
-    )
+def _read_in_order(rows: DataFrame, column: str) -> DataFrame:
+    """Per contributor the column's values by position."""
+    listed = F.array_sort(F.collect_list(F.struct("position", column)))
+    return rows.groupBy(*stages.CONTRIBUTOR).agg(F.transform(listed, lambda r: r[column]).alias(column))
 
 
 def contributor_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Every contributor's whole message text, read back from its parts."""
-    whole = _read_in_order(stages.contributor_messages(roles.commits(spark, d), rows_per_part=2), "message")
+    """Every contributor's whole message text, read by position."""
+    whole = _read_in_order(stages.contributor_messages(roles.commits(spark, d)), "message")
     text_ = F.array_join("message", "")
     return whole.select(*stages.CONTRIBUTOR, F.length(text_).cast("bigint").alias("chars"), F.md5(text_).alias("digest"))
 
 
 def contributor_files(spark: SparkSession, d: str) -> DataFrame:
-    """Every contributor's whole list of files, read back from its parts."""
-    whole = _read_in_order(stages.contributor_files(roles.commits(spark, d), rows_per_part=2), "files_changed")
+    """Every contributor's whole list of files, read by position."""
+    whole = _read_in_order(stages.contributor_files(roles.commits(spark, d)), "files_changed")
     files = F.flatten("files_changed")
     return whole.select(*stages.CONTRIBUTOR, F.size(files).cast("bigint").alias("files"), F.md5(F.array_join(files, "|")).alias("digest"))
 
