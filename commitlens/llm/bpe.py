@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -10,13 +9,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import Memo, map_columns
+from commitlens.llm.common import Memo, map_columns, worker_tool
 from commitlens.llm.encoder import END_OF_WORD, Encoder, encoder
 
 # Bytes the rolling hash looks back on, and the bits of it that must be zero to cut.
 _WINDOW, _CUT_BITS = 32, 10
-# Chunks whose ids a worker remembers; on average about 5 kB each with 1 KiB of text.
-CHUNKS_KEPT = 20_000
+# What a worker remembers in each of two generations: chunks, about 2 kB each, and words beside them.
+CHUNKS_KEPT, WORDS_KEPT = 10_000, 150_000
 _GEAR = np.random.default_rng(20_240_229).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -139,10 +138,12 @@ class Decoder:
         return " ".join(self.tokens[ids].tolist())
 
 
-@lru_cache(maxsize=2)
 def _tools(path: str) -> tuple[ChunkEncoder, Decoder]:
-    words = encoder(path)
-    return ChunkEncoder(words), Decoder(words)
+    def make():
+        words = encoder(path, WORDS_KEPT)
+        return ChunkEncoder(words), Decoder(words)
+
+    return worker_tool(("bpe", path), make)
 
 
 def encode_documents(

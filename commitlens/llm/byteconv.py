@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import map_columns
+from commitlens.llm.common import map_columns, worker_tool
 
 # Bytes a filter sees, bytes it moves on, and how many filters learn.
 WIDTH, STRIDE, FILTERS = 8, 2, 24
@@ -195,6 +195,7 @@ def score_documents(
     """
 
     def make():
+        worker_tool(None)
         return lambda ids, texts: ((i, network.score(t or b"")) for i, t in zip(ids, texts, strict=True))
 
     picked = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("binary").alias("text"))

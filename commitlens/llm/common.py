@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -84,6 +85,23 @@ def with_struct(df: DataFrame, column: str, schema: str, make: Callable, *inputs
     return df.withColumn(column, call.asNondeterministic()(*inputs))
 
 
+_TOOLS: dict = {}
+
+
+def worker_tool(key: tuple | None, make: Callable | None = None):
+    """What a Python worker keeps from task to task, made once: one tool at a time.
+
+    Workers serve task after task, of other operators too. Asking for another tool, or for none,
+    lets go of the one before with all it remembers, so a worker never holds two.
+    """
+    if key not in _TOOLS:
+        _TOOLS.clear()
+        gc.collect()
+        if make is not None:
+            _TOOLS[key] = make()
+    return _TOOLS.get(key)
+
+
 class Memo:
     """What a function gives for a key, kept for the next time, in two generations of ``most`` keys.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 
@@ -39,7 +38,7 @@ class Encoder:
     one that may hold a special token, goes to it whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = WORDS_KEPT):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
@@ -59,8 +58,8 @@ class Encoder:
         self._split.no_padding()
         self._split.normalizer = normalizers.Sequence([])
         self._split.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.parts = Memo(self._encode_parts, WORDS_KEPT)
-        self.words = Memo(self._encode_words, WORDS_KEPT)
+        self.parts = Memo(self._encode_parts, kept)
+        self.words = Memo(self._encode_words, kept)
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         done = self._split.encode(parts, is_pretokenized=True, add_special_tokens=False)
@@ -93,11 +92,9 @@ class Encoder:
         return [b"".join([next(found) for _ in words]) for words in split]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One per worker and vocabulary file."""
+def encoder(path: str, kept: int = WORDS_KEPT) -> Encoder:
     import os
 
     # The tasks are the parallel part.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path)
+    return Encoder(path, kept)

@@ -11,12 +11,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import Memo, fresh, map_columns, with_struct
+from commitlens.llm.common import Memo, fresh, map_columns, with_struct, worker_tool
 
 # Base rules: fewest words, words of a repeated window, and their largest share in percent.
 LEAST_WORDS, WINDOW, REPEATED_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
-_WORDS_KEPT = 350_000
+_WORDS_KEPT = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 MEASURES = (
@@ -160,9 +160,8 @@ class Rules:
         )
 
 
-@lru_cache(maxsize=2)
 def _rules(path: str, bands: tuple) -> Rules:
-    return Rules(path, dict(bands))
+    return worker_tool(("fertility", path, bands), lambda: Rules(path, dict(bands)))
 
 
 def quality_measures(

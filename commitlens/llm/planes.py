@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from commitlens.llm.common import ROWS_AT_ONCE
+from commitlens.llm.common import ROWS_AT_ONCE, worker_tool
 from commitlens.llm.encoder import encoder
 from commitlens.session import shared_dir, written
 
@@ -163,7 +163,7 @@ def write_ids(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, writer = encoder(vocabulary), None
+        words, writer = worker_tool(("planes", vocabulary), lambda: encoder(vocabulary)), None
         files, base = open_store(root)
         name = f"{base}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids"
         stream = None

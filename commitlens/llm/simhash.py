@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from commitlens.llm.common import fresh, map_columns
+from commitlens.llm.common import fresh, map_columns, worker_tool
 from commitlens.operators.identity import connected_components
 from commitlens.session import written
 
@@ -49,6 +49,8 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int
     """(id, fp): a signed long with the fingerprint's bits for every row, in one narrow pass."""
 
     def make():
+        worker_tool(None)
+
         def work(ids, texts):
             for i, text in zip(ids, texts, strict=True):
                 value = fingerprint(text, shingle)
