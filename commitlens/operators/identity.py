@@ -10,6 +10,9 @@ from commitlens.session import Scratch, written
 
 # Steps along the picks within one round; deeper trees are finished in the next round.
 _STEPS = 3
+# How many hops beyond its neighbours a node looks for its pick: a join and a minimum each, without a write,
+# where another round would take several of both.
+_FARTHER = 2
 
 
 def _numbered(pairs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -26,7 +29,7 @@ def _contract(pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of a graph of distinct pairs u < v.
 
     Nodes are numbered once, in an order that has nothing to do with the graph, and rounds work on
-    the numbers. Each round every node picks the smallest of itself and its neighbours.
+    the numbers. Each round every node picks the smallest number within a few hops.
     Picks lead to ever smaller numbers, so they form trees; following them a few steps and
     rebuilding the graph over the nodes arrived at shrinks it several times over. The number of
     rounds grows with the logarithm of the graph's size, not with its diameter. Each round's
@@ -39,8 +42,11 @@ def _contract(pairs: DataFrame, scratch: Scratch) -> DataFrame:
     rounds: list[DataFrame] = []
     while not graph.isEmpty():
         both = graph.union(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        best = both.groupBy("u").agg(F.min("v").alias("v"))
-        picks = here.write(best.select(F.col("u").alias("node"), F.least("u", "v").alias("rep")), "picks")
+        best = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("c"))
+        for _ in range(_FARTHER):
+            near = best.select(F.col("u").alias("v"), "c")
+            best = both.join(near, "v").groupBy("u").agg(F.min("c").alias("c"))
+        picks = here.write(best.select(F.col("u").alias("node"), F.col("c").alias("rep")), "picks")
         onward = picks.select(F.col("node").alias("rep"), F.col("rep").alias("next"))
         arrived = picks
         for _ in range(_STEPS):
