@@ -167,7 +167,7 @@ GATE = (
     "|simplified|freebsd|two clause|three clause|four clause) bsd|bsd [234] clause|cc by"
 )
 # The letters and digits it may begin with, looked at first.
-_GATE_STARTS = "(?=[acdefglmnoprstuvwy234])"
+_GATE_STARTS = "(?=[abcdefglmnoprstuvwy234])"
 
 _FOUND = "struct<start:bigint,end:bigint,tier:int,number:int,label:string,confidence:double>"
 

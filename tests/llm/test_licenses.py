@@ -88,6 +88,49 @@ def test_hundreds_of_rules_and_the_gate_lets_all_through():
             assert made[d[3]].keyword in " ".join(ws)
 
 
+def example(parsed, rng, least):
+    """A text that the parsed pattern matches; optional parts are left out with ``least``, else at random."""
+    out = ""
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            picks = [chr(a) for o, a in arg if str(o) == "LITERAL"] + [chr(a[0]) for o, a in arg if str(o) == "RANGE"]
+            out += rng.choice(picks)
+        elif name == "NOT_LITERAL":
+            out += "z"
+        elif name == "BRANCH":
+            out += example(rng.choice(arg[1]), rng, least)
+        elif name == "SUBPATTERN":
+            out += example(arg[3], rng, least)
+        elif name == "MAX_REPEAT":
+            out += "".join(example(arg[2], rng, least) for _ in range(arg[0] if least else rng.randint(arg[0], min(arg[1], arg[0] + 2))))
+        else:
+            raise ValueError(name)
+    return out
+
+
+def bare_examples():
+    rng = random.Random(8)
+    for r in [*licenses.rules(), *(licenses.Rule(p, p, label, 0, 0.8) for p, label in licenses.BASE.items())]:
+        parsed = re._parser.parse(r.pattern)
+        for text in {example(parsed, rng, least) for least in (True, False) for _ in range(25)}:
+            assert re.fullmatch(r.pattern, text) and r.keyword in text, (r, text)
+            yield text
+
+
+def test_the_gate_lets_a_bare_example_of_every_rule_through(spark):
+    gap, start = "[^0-9A-Za-z\x80-\U0010ffff]+", licenses._GATE_STARTS
+    gate = re.compile("(?i)(?<![0-9A-Za-z\x80-\U0010ffff])" + start + "(?:" + licenses.GATE.replace(" ", gap) + ")")
+    assert [t for t in bare_examples() if not gate.search(t)] == []
+    texts = ["Released under BSD 3-Clause", "BSD-2-Clause", "(bsd 4 clause)"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.license_labels(docs).collect()}
+    assert got == {i: (restated(i, t)[6], restated(i, t)[7]) for i, t in enumerate(texts)}
+    assert [got[i][0] for i in range(3)] == ["bsd-3-clause", "bsd-2-clause", "bsd-4-clause"]
+
+
 @pytest.mark.parametrize("more", [0, 150])
 def test_scan_agrees_with_all_rules_over_all_texts(spark, more):
     rows = [(None if i == 4 else i % 20, t, 1) for i, t in enumerate(mixed(more) if more else TEXTS)]
