@@ -71,6 +71,41 @@ def test_lists_and_hot_vector(spark):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_answers_come_from_the_visited_lists_alone(spark, monkeypatch):
+    """The sample gives no answers, not even where it is the whole table; every query has all its answers."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1_500, 12))
+    kept, train = [], ann.train
+
+    def one_probe(*args, **kwargs):
+        kept.append(train(*args, **kwargs))
+        kept[0].probes = 1
+        return kept[0]
+
+    monkeypatch.setattr(ann, "train", one_probe)
+    got = results(ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), k=20, every=20))
+    index = kept[0]
+    home = ann._distances(index.rows(x), index.centres).argmin(axis=1)
+    sizes = np.bincount(home, minlength=len(index.centres))
+    assert len(got) == 75
+    for q, answers in got.items():
+        lists = index.visited(x[[q]], sizes, 20)[0]
+        assert len(lists) < len(sizes) and len(answers) == 20
+        assert {home[i] for i, _ in answers} <= set(lists.tolist())
+
+
+def test_recall_on_a_table_of_many_samples(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 512)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(5_000, 24)) + 2 * rng.normal(size=(15, 24))[rng.integers(0, 15, 5_000)]
+    got = results(ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), k=20, every=20))
+    products = x[::20] @ x.T
+    products[np.arange(250), np.arange(0, 5_000, 20)] = -np.inf
+    best = np.argsort(-products, axis=1)[:, :20]
+    assert all(len(v) == 20 for v in got.values()) and len(got) == 250
+    assert sum(len({i for i, _ in got[20 * n]} & set(row.tolist())) for n, row in enumerate(best)) >= 0.9 * best.size
+
+
 def test_abandoned_early_but_rarely_wrongly():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(3_000, 96)) + 2 * rng.normal(size=(10, 96))[rng.integers(0, 10, 3_000)]
