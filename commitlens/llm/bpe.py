@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import Memo, map_columns, worker_tool
+from commitlens.llm.common import Memo, map_columns, no_cycles, worker_tool
 from commitlens.llm.encoder import END_OF_WORD, Encoder, encoder
 
 # Bytes the rolling hash looks back on, and the bits of it that must be zero to cut.
@@ -82,6 +82,10 @@ class ChunkEncoder:
         """
         if not self.words.by_word:
             return self.words.texts(texts)
+        with no_cycles():
+            return self._by_chunk(texts)
+
+    def _by_chunk(self, texts: list[bytes | None]) -> list[bytes]:
         split: list[list[bytes]] = []
         for text in texts:
             keys, at = [], 0

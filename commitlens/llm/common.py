@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -102,6 +103,18 @@ def worker_tool(key: tuple | None, make: Callable | None = None):
     return _TOOLS.get(key)
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """Without Python's search for cycles, which walks all that a worker remembers each time many objects are made."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Memo:
     """What a function gives for a key, kept for the next time, in two generations of ``most`` keys.
 

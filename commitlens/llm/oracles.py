@@ -135,4 +135,77 @@ def mixed_documents() -> str:
         WHERE taken.cut IS NULL OR inside.spent < taken.cut"""
 
 
-ORACLES = {"op3_licenses": license_labels(), "op7_mixing": mixed_documents()}
+def fill_in_middle(rate: int = 50, spm_rate: int = 80, seed: int = 42) -> str:
+    """Tokens as a list, cut and joined again; the restored text is the text."""
+    return rf"""
+        WITH drawn AS (
+          SELECT doc_id, coalesce(text, '') AS text, sha256('{seed}:' || CAST(doc_id AS VARCHAR)) AS h,
+                 regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+          FROM documents),
+        numbers AS (
+          SELECT *, CAST(len(tokens) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+          FROM drawn),
+        cuts AS (
+          SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN h IS NULL OR text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= {rate}
+                      THEN 'plain' WHEN h4 % 100 < {spm_rate} THEN 'spm' ELSE 'psm' END AS form
+          FROM numbers),
+        pieces AS (
+          SELECT *, array_to_string(tokens[1:a], '') AS p, array_to_string(tokens[a + 1:b], '') AS m, array_to_string(tokens[b + 1:], '') AS s
+          FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM pieces"""
+
+
+def vector_codes(parts: int = 16, size: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    """Every part against every entry of its position, round by round."""
+
+    def nearest(name: str, book: str) -> str:
+        return f"""{name} AS MATERIALIZED (
+          SELECT v.vec_id, v.p, any_value(v.part) AS part, min(list_sum(list_transform(range(1, v.w + 1),
+                 lambda i: (v.part[i] - c.part[i]) * (v.part[i] - c.part[i]))) * {size} + c.entry) AS best
+          FROM vectors v JOIN {book} c ON v.p = c.p GROUP BY v.vec_id, v.p)"""
+
+    steps, book = [], "book0"
+    for r in range(1, rounds + 1):
+        steps.append(nearest(f"near{r}", book))
+        steps.append(f"""book{r} AS MATERIALIZED (
+          SELECT c.p, c.entry, c.w, coalesce(any_value(m.part), c.part) AS part FROM {book} c LEFT JOIN (
+            SELECT p, entry, list(mean ORDER BY i) AS part FROM (
+              SELECT p, best % {size} AS entry, i, CAST(floor(sum(part[i]) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS mean
+              FROM (SELECT p, best, part, unnest(range(1, len(part) + 1)) AS i FROM near{r}) GROUP BY p, entry, i) GROUP BY p, entry) m
+          ON c.p = m.p AND c.entry = m.entry GROUP BY c.p, c.entry, c.w, c.part)""")
+        book = f"book{r}"
+    steps.append(nearest("last", book))
+    return f"""
+        WITH kept AS MATERIALIZED (
+          SELECT vec_id, label, len(embedding) // {parts} AS w,
+                 list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        vectors AS MATERIALIZED (
+          SELECT vec_id, label, w, p, list_slice(v, p * w + 1, (p + 1) * w) AS part
+          FROM (SELECT *, unnest(range({parts})) AS p FROM kept)),
+        book0 AS MATERIALIZED (
+          SELECT p, entry, vectors.w, part FROM vectors JOIN (
+            SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT {size}) USING (vec_id)),
+        {", ".join(steps)},
+        coded AS (
+          SELECT vec_id, string_agg(printf('%02x', CAST(best % {size} AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(best // {size}) AS BIGINT) AS error
+          FROM last GROUP BY vec_id),
+        named AS (SELECT coded.*, label FROM coded JOIN kept USING (vec_id))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, entry)) FROM {book}) AS codebooks_sha256
+        FROM named"""
+
+
+ORACLES = {
+    "op3_licenses": license_labels(),
+    "op7_mixing": mixed_documents(),
+    "op11_fim": fill_in_middle(),
+    "op13_codes": vector_codes(),
+}

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from commitlens.llm.common import ROWS_AT_ONCE, worker_tool
+from commitlens.llm.common import worker_tool
 from commitlens.llm.encoder import encoder
+from commitlens.llm.ragged import slices
 from commitlens.session import shared_dir, written
 
 # Fixed values of the format: first and last bytes of a file, ids in a block, bytes of an id.
@@ -173,8 +174,8 @@ def write_ids(
             if stream is None:
                 stream = files.open_output_stream(name)
                 writer = PlaneWriter(stream)
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                ids, texts = (c.to_pylist() for c in batch.slice(at, ROWS_AT_ONCE).columns)
+            for part in slices(batch, 1):
+                ids, texts = (c.to_pylist() for c in part.columns)
                 for doc, raw in zip(ids, words.texts(texts), strict=True):
                     writer.add(doc, raw + end)
         if stream is not None:

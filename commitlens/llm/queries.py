@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlens.llm import ann, bpe, byteconv, fertility, licenses, mixing, pages, pii, planes, simhash
+from commitlens.llm import ann, bpe, byteconv, codes, fertility, fim, licenses, mixing, pages, pieces, pii, planes, simhash
 from commitlens.llm.common import table
 from commitlens.llm.oracles import ORACLES
 
@@ -61,6 +61,20 @@ def op10_pages(spark: SparkSession, d: str) -> DataFrame:
     return pages.page_texts(table(spark, d, "pages"))
 
 
+def op11_fim(spark: SparkSession, d: str) -> DataFrame:
+    plan = fim.Plan(rate=50, spm_rate=80, unit="token", seed=42)
+    return fim.digests(fim.transform(table(spark, d, "documents"), plan), plan)
+
+
+def op12_pieces(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return pieces.digests(pieces.encode_documents(docs, vocabulary("piece_bpe_32k.model"), end=True, decoded=True))
+
+
+def op13_codes(spark: SparkSession, d: str) -> DataFrame:
+    return codes.code_digests(codes.code_vectors(table(spark, d, "embeddings"), parts=16, size=64, rounds=2, scale=256))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -72,5 +86,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
     "op10_pages": op10_pages,
+    "op11_fim": op11_fim,
+    "op12_pieces": op12_pieces,
+    "op13_codes": op13_codes,
 }
 __all__ = ["ORACLES", "QUERIES"]
