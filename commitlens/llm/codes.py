@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.llm.common import fresh
+from commitlens.session import written
 
 # Components stay within this, so that squares and sums of them are exact in 64 bits.
 LARGEST = 1 << 26
@@ -222,6 +223,8 @@ def code_digests(coded: Codes, id_column: str = "vec_id", label_column: str = "l
     """(id, code, error, label_error, codebooks_sha256): two hex digits a part, errors also summed over equal labels."""
     digits = F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
     rows = coded.vectors.select(id_column, F.array_join(digits, "").alias("code"), "error", F.col(label_column).alias("_label"))
+    # Codes are a fraction of the vectors' size; written, so that vectors are assigned once for both readers.
+    rows = written(rows, "codes")
     labels = rows.groupBy(F.col("_label").alias("_of")).agg(F.sum("error").alias("label_error"))
     # Spark broadcasts the sums if there are few labels, and splits a hot label's partition otherwise.
     joined = rows.join(labels, F.col("_label").eqNullSafe(F.col("_of")), "left")
