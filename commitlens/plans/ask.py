@@ -14,7 +14,8 @@ from commitlens.functions import display
 from commitlens.functions.times import as_text, display_date, now_text
 from commitlens.operators.filters import without_marks
 from commitlens.operators.ranking import best_first
-from commitlens.plans.prompts import missing_columns_hint, retry_hint
+from commitlens.plans.guard import NotAllowed, TookTooLong, checked, time_limit
+from commitlens.plans.prompts import missing_columns_hint, not_allowed_hint, retry_hint, too_long_hint
 from commitlens.schemas import ANSWER_INPUT, QUERY_LOG
 from commitlens.session import written
 from commitlens.sources.tables import to_rows
@@ -22,6 +23,8 @@ from commitlens.sources.tables import to_rows
 # People per answer, repeats after the first attempt, and the message for no rows.
 MAX_PEOPLE = 100
 MAX_REPEATS = 5
+# Seconds a query of a question may take.
+MAX_SECONDS = 600.0
 NO_RESULTS = "No results found"
 
 SCORES = ["technical_ability", "impact_to_project", "commit_count"]
@@ -45,8 +48,8 @@ def close_table(table: DataFrame, name: str = "contributions") -> None:
 
 
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:
-    """Any SELECT over the registered tables."""
-    return spark.sql(sql)
+    """One SELECT over the registered tables; anything else is refused before it runs (``guard.checked``)."""
+    return checked(spark, sql)
 
 
 def check_columns(result: DataFrame) -> DataFrame:
@@ -157,9 +160,14 @@ class Answer:
 NextSql = Callable[[str, list[Attempt]], str]
 
 
-def answer_question(spark: SparkSession, question: str, next_sql: NextSql, repeats: int = MAX_REPEATS) -> Answer:
+def answer_question(
+    spark: SparkSession, question: str, next_sql: NextSql, repeats: int = MAX_REPEATS, seconds: float | None = MAX_SECONDS
+) -> Answer:
     """Ask for SQL until a query gives rows, at most ``repeats`` times anew.
 
+    A query that is no plain SELECT is not run, one that takes longer than ``seconds`` (None: no limit) is cancelled;
+    both count as failed attempts, and the next one is told why.
+
     ``next_sql`` gets the question and every failed attempt so far with a message: the error, no
     results, or, for missing columns, the whole list of them. It may be a model (``prompts.sql_request`` is the text to
     send) or any function; if it fails itself that counts as an attempt. If the last attempt was
@@ -170,14 +178,20 @@ def answer_question(spark: SparkSession, question: str, next_sql: NextSql, repea
         sql = None
         try:
             sql = next_sql(question, list(history))
-            packaged = package(run_sql(spark, sql))
-            # At most MAX_PEOPLE rows come to the driver.
-            rows = to_rows(packaged.people.drop("impact_sum", "ability_sum"))
+            with time_limit(spark, seconds) as still_in_time:
+                packaged = package(run_sql(spark, sql))
+                still_in_time()
+                # At most MAX_PEOPLE rows come to the driver.
+                rows = to_rows(packaged.people.drop("impact_sum", "ability_sum"))
             if rows:
                 return Answer(rows, sql, None, len(history), packaged)
             error, message = None, retry_hint(NO_RESULTS)
         except MissingColumns as missing:
             error, message = missing, missing_columns_hint(ANSWER_INPUT)
+        except NotAllowed as refused:
+            error, message = refused, not_allowed_hint(str(refused))
+        except TookTooLong as slow:
+            error, message = slow, too_long_hint(str(slow))
         except Exception as failed:
             error, message = failed, retry_hint(str(failed))
         if len(history) == repeats:
@@ -187,12 +201,12 @@ def answer_question(spark: SparkSession, question: str, next_sql: NextSql, repea
         history.append(Attempt(sql, message))
 
 
-def first_nonempty(spark: SparkSession, candidates: list[str]) -> Answer:
+def first_nonempty(spark: SparkSession, candidates: list[str], seconds: float | None = MAX_SECONDS) -> Answer:
     """Run candidate queries in order until one gives rows; at most ``MAX_REPEATS`` after the first."""
     if not candidates:
         raise ValueError("no candidate query")
     repeats = min(len(candidates) - 1, MAX_REPEATS)
-    return answer_question(spark, "", lambda _, history: candidates[len(history)], repeats)
+    return answer_question(spark, "", lambda _, history: candidates[len(history)], repeats, seconds)
 
 
 def log_row(
@@ -207,7 +221,11 @@ def log_row(
 
 
 def search(
-    spark: SparkSession, query: str | None, candidates: list[str] | NextSql, log_path: str | None = None
+    spark: SparkSession,
+    query: str | None,
+    candidates: list[str] | NextSql,
+    log_path: str | None = None,
+    seconds: float | None = MAX_SECONDS,
 ) -> list[dict]:
     """Answer a question with SQL from a list or from a writer; every question but a blank one is logged."""
     if not query or not query.strip():
@@ -221,7 +239,10 @@ def search(
 
     repeats = MAX_REPEATS if callable(candidates) else min(len(candidates) - 1, MAX_REPEATS)
     try:
-        answer = answer_question(spark, query, candidates) if callable(candidates) else first_nonempty(spark, candidates)
+        if callable(candidates):
+            answer = answer_question(spark, query, candidates, seconds=seconds)
+        else:
+            answer = first_nonempty(spark, candidates, seconds)
     except Exception as error:
         log("Failed", "None", 0, str(error), repeats)
         raise

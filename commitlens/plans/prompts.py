@@ -67,6 +67,14 @@ def missing_columns_hint(columns: list[str]) -> str:
     return f"All of these columns must be returned, in this order: {', '.join(columns)}."
 
 
+def not_allowed_hint(reason: str) -> str:
+    return f"That query was not run ({reason}). Write one SELECT over the table, without commands or joins of all pairs."
+
+
+def too_long_hint(reason: str) -> str:
+    return f"That query took too long ({reason}). Ask for fewer rows or join on equal values."
+
+
 def sql_request(question: str, history: list, columns: list[str]) -> str:
     """The text that asks a model for SQL, with everything that failed so far."""
     failures = "".join(f"\nTried: {a.sql}\n{a.message}\n" for a in history)

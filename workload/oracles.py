@@ -358,6 +358,7 @@ def oracles() -> dict[str, str]:
                                    ELSE 'bg-gray-100 text-gray-800' END for x in string_split(languages, '|')], '|') AS language_colors,
                    links AS repos FROM answer""",
         "first_nonempty": final + " SELECT author_email, commit_count, CAST(2 AS BIGINT) AS num_tries FROM answer",
+        "guarded_question": final + " SELECT author_email, commit_count, CAST(3 AS BIGINT) AS num_tries FROM answer",
         "mended_question": final + " SELECT author_email, commit_count, CAST(2 AS BIGINT) AS num_tries FROM answer",
         "blank_question": final + """
             SELECT '' AS question, CAST(0 AS BIGINT) AS people UNION ALL SELECT '  ' || chr(10), 0

@@ -527,6 +527,15 @@ def first_nonempty(spark: SparkSession, d: str) -> DataFrame:
     return _people(spark, ask.first_nonempty(spark, ["SELECT nothing FROM contributions", good.replace("nation_1%", "nowhere"), good]))
 
 
+def guarded_question(spark: SparkSession, d: str) -> DataFrame:
+    """A command, a join of all pairs, an endless query and a good one: only the good one's people come back."""
+    _final_table(spark, d)
+    good = QUESTION.format(contributions="contributions")
+    endless = "range(100000000000000) r JOIN contributions c ON r.id % 7 = c.commit_count % 7 - 7"
+    candidates = ["DROP VIEW contributions", good.replace("contributions", "contributions, contributions AS others"), good.replace("contributions", endless), good]
+    return _people(spark, ask.first_nonempty(spark, candidates, seconds=20))
+
+
 def mended_question(spark: SparkSession, d: str) -> DataFrame:
     """SQL from a writer that leaves out a column, then names a wrong one, and mends both by what it is told."""
     _final_table(spark, d)
@@ -668,7 +677,7 @@ QUERIES = {
         ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
         markup_format, plain_text, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
         truncate_text, prompt_text, data_uri, json_struct, date_functions, identity_components, identity_bot_cut,
-        shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, mended_question, query_contract, query_log,
+        shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, guarded_question, mended_question, query_contract, query_log,
         infer_scores, infer_top, infer_projects, infer_pictures, udtf_expand, udtf_runs,
     )
 }
