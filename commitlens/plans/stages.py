@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens import schemas
 from commitlens.functions.answers import QUALITY_BOUNDS, parse_answer
 from commitlens.functions.lists import hyphenate, normalize_items, pipe_join
 from commitlens.functions.text import data_uri, fill, normalize, prefixed_reason, slug, to_plain
-from commitlens.operators import aggregates, identity
+from commitlens.operators import aggregates, identity, ledger
 from commitlens.operators.filters import MAX_EMAILS, NO_COMMITS, NO_README, active, deny
 from commitlens.operators.infer import Calls, answer_check, ask_model, in_tasks
 from commitlens.operators.joins import lookup_join
@@ -45,10 +45,22 @@ def attach_readme(repos: DataFrame, files: DataFrame) -> DataFrame:
     return with_readme(deny(repos, "name", NO_README), files)
 
 
+def _asked(
+    df: DataFrame, request: Column, make_client: Callable, calls: Calls, accept: Callable, tasks: int | None, kept: str | None
+) -> DataFrame:
+    """``df`` with the model's ``_text``; answers come from and go to the ledger ``kept``, if there is one."""
+    if kept is not None:
+        return ledger.with_answers(df, request, kept, make_client, calls, accept, tasks=tasks)
+    return in_tasks(df, tasks).withColumn("_text", ask_model(request, make_client, calls, accept))
+
+
 def analyze_repos(
-    repos: DataFrame, make_client: Callable, calls: Calls = Calls(), tasks: int | None = None
+    repos: DataFrame, make_client: Callable, calls: Calls = Calls(), tasks: int | None = None, kept: str | None = None
 ) -> DataFrame:
-    """Add languages and keywords as a model names them; null where it gives no valid answer."""
+    """Add languages and keywords as a model names them; null where it gives no valid answer.
+
+    ``kept`` is the folder of a ledger of answers: requests it has an answer for are not sent again.
+    """
     request = fill(
         prompts.PROJECT,
         name=F.col("name"),
@@ -56,9 +68,7 @@ def analyze_repos(
         readme=to_plain(F.col("readme")),
         languages_and_keywords_shape=F.lit(prompts.PROJECT_SHAPE),
     )
-    asked = in_tasks(repos, tasks).withColumn(
-        "_text", ask_model(request, make_client, calls, answer_check(schemas.PROJECT_ANALYSIS))
-    )
+    asked = _asked(repos, request, make_client, calls, answer_check(schemas.PROJECT_ANALYSIS), tasks, kept)
     answered = asked.withColumn("_answer", parse_answer(F.col("_text"), schemas.PROJECT_ANALYSIS))
     return answered.withColumns(
         {
@@ -82,14 +92,25 @@ def extract_contributors(commits: DataFrame) -> DataFrame:
     The texts and file lists of a contributor, which may be any size, are separate tables:
     ``contributor_messages`` and ``contributor_files``.
     """
-    # By name as well at first: numbers and dates are all that is aggregated over the commits, which
-    # Spark does by hashing. Picking a name, a string, would make it sort them.
-    by_name = commits.groupBy(*CONTRIBUTOR, "author_name").agg(
+    return contributors_of(commits_by_name(commits))
+
+
+def commits_by_name(commits: DataFrame) -> DataFrame:
+    """Counts, sums and dates per contributor and name they signed with: what ``contributors_of`` needs, and mergeable.
+
+    Numbers and dates are all that is aggregated over the commits, which Spark does by hashing.
+    Picking a name, a string, would make it sort them.
+    """
+    return commits.groupBy(*CONTRIBUTOR, "author_name").agg(
         F.count("date").alias("commit_count"),
         *[F.sum(c).alias(c) for c in LINE_COUNTS],
         F.min("date").alias("first_commit"),
         F.max("date").alias("last_commit"),
     )
+
+
+def contributors_of(by_name: DataFrame) -> DataFrame:
+    """One row per contributor out of ``commits_by_name``, with the name they signed with first."""
     return by_name.groupBy(*CONTRIBUTOR).agg(
         aggregates.any_value_by("author_name", "first_commit", "author_name").alias("author_name"),
         F.sum("commit_count").alias("commit_count"),
@@ -146,16 +167,17 @@ def score_contributors(
     calls: Calls = Calls(attempts=3, first_wait=0.0, longest_wait=0.0),
     top: int | None = None,
     tasks: int | None = None,
+    kept: str | None = None,
 ) -> DataFrame:
     """The active contributors with a model's scores and reason; null where it gives no valid answer.
 
-    ``top`` scores that many of them only; ``Calls(on_error="fail")`` stops at the first failure.
+    ``top`` scores that many of them only; ``Calls(on_error="fail")`` stops at the first failure; ``kept`` is the
+    folder of a ledger of answers.
     """
-    asked = in_tasks(contributor_requests(contributors, commits, top), tasks)
     check = answer_check(schemas.COMMIT_QUALITY, QUALITY_BOUNDS)
-    answered = asked.withColumn("_text", ask_model(F.col("request"), make_client, calls, check)).withColumn(
-        "_answer", parse_answer(F.col("_text"), schemas.COMMIT_QUALITY, QUALITY_BOUNDS)
-    )
+    requests = contributor_requests(contributors, commits, top)
+    asked = _asked(requests, F.col("request"), make_client, calls, check, tasks, kept)
+    answered = asked.withColumn("_answer", parse_answer(F.col("_text"), schemas.COMMIT_QUALITY, QUALITY_BOUNDS))
     return answered.select(*schemas.CONTRIBUTORS.fieldNames(), "_answer.*")
 
 
@@ -259,14 +281,15 @@ def score_images(
     picture: str = "profile_pic",
     calls: Calls = Calls(attempts=1, in_flight=64),
     tasks: int | None = None,
+    kept: str | None = None,
 ) -> DataFrame:
-    """Add profile_pic_score and profile_pic_reason; a picture that cannot be scored keeps its row."""
+    """Add profile_pic_score and profile_pic_reason; a picture that cannot be scored keeps its row.
+
+    ``kept`` is the folder of a ledger of answers.
+    """
     request = fill(prompts.PICTURE, picture=data_uri(F.col(picture)), picture_shape=F.lit(prompts.PICTURE_SHAPE))
-    asked = in_tasks(pictures, tasks).withColumn(
-        "_text", ask_model(
-            F.when(F.col(picture).isNotNull(), request), make_client, calls, answer_check(schemas.PICTURE_SCORE)
-        ),
-    )
+    known = F.when(F.col(picture).isNotNull(), request)
+    asked = _asked(pictures, known, make_client, calls, answer_check(schemas.PICTURE_SCORE), tasks, kept)
     answered = asked.withColumn("_answer", parse_answer(F.col("_text"), schemas.PICTURE_SCORE))
     return answered.withColumns(
         {"profile_pic_score": F.col("_answer.score"), "profile_pic_reason": F.col("_answer.reason")}

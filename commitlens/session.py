@@ -63,9 +63,24 @@ class Scratch:
 
     def drop(self) -> None:
         """Remove the tables. On Spark Connect, which has no file access, they are left to the folder's owner."""
-        context = getattr(self._spark, "_sc", None)
-        if context is not None:
+        if getattr(self._spark, "_sc", None) is not None:
             for name in self._paths:
-                path = context._jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+                drop_path(self._spark, name)
         self._paths.clear()
+
+
+def _located(spark: SparkSession, name: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def path_exists(spark: SparkSession, name: str) -> bool:
+    files, path = _located(spark, name)
+    return files.exists(path)
+
+
+def drop_path(spark: SparkSession, name: str) -> None:
+    """Remove a folder and all that is in it."""
+    files, path = _located(spark, name)
+    files.delete(path, True)

@@ -2,6 +2,7 @@
 
 import json
 import re
+import uuid
 
 _COMMITS = re.compile(r"^Commits: (\d+)$", re.M)
 _LINES = re.compile(r"modified: (\d+)$", re.M)
@@ -41,3 +42,17 @@ def picture_client():
         return json.dumps({"score": len(encoded) / 8, "reason": encoded[:4]})
 
     return complete
+
+
+def stamping_client(failing: str | None = None):
+    """Every call's answer is its own; requests that contain ``failing`` get none."""
+
+    def make():
+        def complete(request: str) -> str:
+            if failing is not None and failing in request:
+                raise ValueError("not now")
+            return uuid.uuid4().hex
+
+        return complete
+
+    return make

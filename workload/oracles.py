@@ -179,6 +179,7 @@ def oracles() -> dict[str, str]:
             SELECT author_email, author_name, commit_count, round(impact_to_project, 6) AS impact_to_project,
                    round(technical_ability, 6) AS technical_ability, reason, short AS repo FROM answer""",
         "contributors_rollup": f"WITH {_CONTRIBUTORS} SELECT * FROM contributors",
+        "rollup_appends": f"WITH {_CONTRIBUTORS} SELECT * FROM contributors",
         "contributor_messages": f"""WITH {_COMMITS}
             SELECT repo_owner, repo_name, author_email, CAST(sum(length(message)) AS BIGINT) AS chars,
                    md5(string_agg(message, '' ORDER BY date, hash)) AS digest
@@ -359,6 +360,11 @@ def oracles() -> dict[str, str]:
                    links AS repos FROM answer""",
         "first_nonempty": final + " SELECT author_email, commit_count, CAST(2 AS BIGINT) AS num_tries FROM answer",
         "guarded_question": final + " SELECT author_email, commit_count, CAST(3 AS BIGINT) AS num_tries FROM answer",
+        "ledger_runs": """
+            SELECT o_orderpriority || ' of ' || o_orderstatus || ' of ' || year(o_orderdate) AS request, count(*) AS orders,
+                   CASE WHEN o_orderpriority LIKE '3-%' THEN 0 ELSE count(*) END AS answered_first, count(*) AS answered_second,
+                   CAST(1 AS BIGINT) AS calls
+            FROM orders GROUP BY o_orderpriority, o_orderstatus, year(o_orderdate)""",
         "mended_question": final + " SELECT author_email, commit_count, CAST(2 AS BIGINT) AS num_tries FROM answer",
         "blank_question": final + """
             SELECT '' AS question, CAST(0 AS BIGINT) AS people UNION ALL SELECT '  ' || chr(10), 0

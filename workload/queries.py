@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from commitlens import schemas
 from commitlens.functions import answers, lists, text, times
-from commitlens.operators import aggregates, filters, identity, infer, joins, ranking
+from commitlens.operators import aggregates, filters, identity, infer, joins, ledger, ranking
 from commitlens.plans import ask, prompts, stages
 from commitlens.session import shared_dir, written
 from commitlens.sources import catalogue as search
 from commitlens.sources import images, tables
 from commitlens.sources.gitlog import parse_logs, read_log_files
+from commitlens.streaming import rollup
 from workload import clients, roles
 from workload.roles import table
 
@@ -51,6 +52,18 @@ def contributors_rollup(spark: SparkSession, d: str) -> DataFrame:
     return _ntz(stages.extract_contributors(roles.commits(spark, d)), "first_commit", "last_commit")
 
 
+def rollup_appends(spark: SparkSession, d: str) -> DataFrame:
+    """The rollup out of a kept state, after three files of commits arrived one after the other."""
+    path = f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}"
+    commits = written(roles.commits(spark, d), "commits")
+    kept = rollup.Rollup(spark, f"{path}/state", buckets=8)
+    for part in range(3):
+        arrived = commits.where(F.pmod(F.xxhash64("hash"), F.lit(3)) == part).select(*schemas.COMMITS.fieldNames())
+        arrived.write.mode("append").parquet(f"{path}/commits")
+        kept.update(f"{path}/commits", f"{path}/progress")
+    return _ntz(kept.contributors(), "first_commit", "last_commit")
+
+
 def _read_in_order(rows: DataFrame, column: str) -> DataFrame:
     """Per contributor the column's values by position."""
     listed = F.array_sort(F.collect_list(F.struct("position", column)))
@@ -617,6 +630,18 @@ def infer_pictures(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("c_custkey", "profile_pic_score", "profile_pic_reason")
 
 
+def ledger_runs(spark: SparkSession, d: str) -> DataFrame:
+    """All orders ask by priority and status, twice; in the first run some fail. Every request is answered once over both runs."""
+    path = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    asked = table(spark, d, "orders").select(F.concat_ws(" of ", "o_orderpriority", "o_orderstatus", F.year("o_orderdate")).alias("request"))
+    first = written(ledger.with_answers(asked, F.col("request"), path, clients.stamping_client("3-"), NO_WAIT, out="first"), "first")
+    both = ledger.with_answers(first, F.col("request"), path, clients.stamping_client(), NO_WAIT, out="second")
+    return both.groupBy("request").agg(
+        F.count(F.lit(1)).alias("orders"), F.count("first").alias("answered_first"), F.count("second").alias("answered_second"),
+        F.size(F.array_distinct(F.concat(F.collect_set("first"), F.collect_set("second")))).cast("bigint").alias("calls"),
+    )
+
+
 def udtf_expand(spark: SparkSession, d: str) -> DataFrame:
     def pieces(name: str, least: int):
         for i, word in enumerate(name.split(" ")):
@@ -671,13 +696,13 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        flagship, contributors_rollup, contributors_odd, contributor_messages, contributor_files, active_contributors, weighted_mean,
+        flagship, contributors_rollup, rollup_appends, contributors_odd, contributor_messages, contributor_files, active_contributors, weighted_mean,
         history_digest, first_files, deny_list, bot_filter, date_range, like_lower, pipe_member, blank_question,
         two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, first_n_children,
         ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
         markup_format, plain_text, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
         truncate_text, prompt_text, data_uri, json_struct, date_functions, identity_components, identity_bot_cut,
         shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, guarded_question, mended_question, query_contract, query_log,
-        infer_scores, infer_top, infer_projects, infer_pictures, udtf_expand, udtf_runs,
+        infer_scores, infer_top, infer_projects, infer_pictures, ledger_runs, udtf_expand, udtf_runs,
     )
 }
