@@ -14,7 +14,7 @@ def parse_keywords(text: str) -> list[str]:
     return text.split(",")
 
 
-def _tokens(catalogue: DataFrame, searched: list[str], qualifiers: list[str]) -> Column:
+def terms_of(catalogue: DataFrame, searched: list[str], qualifiers: list[str]) -> Column:
     """The terms a row can be found by: its words, and ``column:value`` for the qualifiers."""
     kinds = dict(catalogue.dtypes)
     parts = [F.split(F.lower(F.concat_ws(" ", *searched)), r"[^\p{L}\p{N}+#.-]+")]
@@ -44,7 +44,7 @@ def search_hits(
     asked = spark.createDataFrame(queries, "query_id int, query string, _first string, _rest array<string>")
     # As long as the caller's own list of keywords, which is in driver memory already.
     firsts = F.array(*[F.lit(t) for t in sorted({q[2] for q in queries})]).cast("array<string>")
-    found = catalogue.withColumn("_tokens", _tokens(catalogue, searched, qualifiers)).withColumn(
+    found = catalogue.withColumn("_tokens", terms_of(catalogue, searched, qualifiers)).withColumn(
         "_first", F.explode(F.array_intersect("_tokens", firsts))
     )
     hits = found.join(F.broadcast(asked), "_first")

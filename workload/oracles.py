@@ -244,6 +244,11 @@ def oracles() -> dict[str, str]:
         "keyword_topk": _HITS + """, ranked AS (
               SELECT *, row_number() OVER (PARTITION BY query ORDER BY stars DESC, owner, name, url) AS n FROM hits)
             SELECT query, CAST(n AS INTEGER) AS rank, name, owner, url, stars FROM asked LEFT JOIN (SELECT * FROM ranked WHERE n <= 10) r USING (query)""",
+        "index_topk": _HITS + """, ranked AS (
+              SELECT *, row_number() OVER (PARTITION BY query ORDER BY stars DESC, owner, name, url) AS n FROM hits)
+            SELECT query, CAST(n AS INTEGER) AS rank, name, owner, url, stars FROM asked LEFT JOIN (SELECT * FROM ranked WHERE n <= 10) r USING (query)""",
+        "index_all": _HITS + "SELECT query, name, owner, url, stars FROM asked LEFT JOIN hits USING (query)",
+        "index_counts": _HITS + "SELECT query, count(hits.url) AS total FROM asked LEFT JOIN hits USING (query) GROUP BY query",
         "default_search": _HITS + """ SELECT name, owner, url, stars FROM hits WHERE query = 'language:rust'
             ORDER BY stars DESC, owner, name, url LIMIT 10""",
         "keyword_all": _HITS + "SELECT query, name, owner, url, stars FROM asked LEFT JOIN hits USING (query)",
@@ -275,8 +280,11 @@ def oracles() -> dict[str, str]:
               SELECT url, CASE WHEN starts_with(url, 'https://') THEN string_split(url, '/')[-2] ELSE string_split(string_split(url, ':')[2], '/')[1] END AS o,
                      CASE WHEN starts_with(url, 'https://') THEN string_split(url, '/')[-1] ELSE string_split(string_split(url, ':')[2], '/')[2] END AS n FROM urls)
             SELECT url, CASE WHEN n IS NOT NULL THEN o END AS owner, regexp_replace(n, '\\.git$', '') AS name, replace(n, '.git', '') AS legacy_name FROM parts""",
-        "write_modes": """SELECT p_brand, 2 * count(*) AS appended, count(*) AS overwritten, CAST(6 AS BIGINT) AS appended_files,
-            CAST(3 AS BIGINT) AS overwritten_files FROM part GROUP BY p_brand""",
+        "write_modes": """SELECT p_brand, 2 * count(*) AS appended, count(*) AS overwritten, CAST(3 AS BIGINT) AS files_1,
+            CAST(3 AS BIGINT) AS files_2, CAST(3 AS BIGINT) AS files_3 FROM part GROUP BY p_brand""",
+        "sized_writes": """
+            SELECT CASE WHEN l_linenumber = 7 THEN l_returnflag ELSE 'most' END AS status, count(*) AS rows, true AS bounded
+            FROM lineitem WHERE l_quantity <= 25 GROUP BY 1""",
         "files_as_bytes": """SELECT c_nationkey AS nation, md5(string_agg(c_name || chr(10), '' ORDER BY c_name)) AS digest
             FROM customer GROUP BY c_nationkey""",
         "sanitized_text": "SELECT doc_id, md5(chr(65533) || text) AS digest FROM documents",

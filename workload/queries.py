@@ -14,7 +14,7 @@ from commitlens.operators import aggregates, filters, identity, infer, joins, le
 from commitlens.plans import ask, prompts, stages
 from commitlens.session import shared_dir, written
 from commitlens.sources import catalogue as search
-from commitlens.sources import images, tables
+from commitlens.sources import images, index, tables
 from commitlens.sources.gitlog import parse_logs, read_log_files
 from commitlens.streaming import rollup
 from workload import clients, roles
@@ -207,6 +207,28 @@ def keyword_counts(spark: SparkSession, d: str) -> DataFrame:
     return search.hit_counts(hits, KEYWORDS).select("query", "total")
 
 
+def _index(spark: SparkSession, d: str) -> index.Index:
+    """An index of the catalogue, built in two halves."""
+    made = index.Index(spark, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", buckets=32)
+    parts = roles.catalogue(spark, d)
+    later = F.pmod(F.xxhash64("url"), F.lit(3)) == 0
+    made.add(parts.where(~later))
+    made.add(parts.where(later))
+    return made
+
+
+def index_topk(spark: SparkSession, d: str) -> DataFrame:
+    return _index(spark, d).search(KEYWORDS, 10).select("query", "rank", "name", "owner", "url", "stars")
+
+
+def index_all(spark: SparkSession, d: str) -> DataFrame:
+    return _index(spark, d).search(KEYWORDS).select("query", "name", "owner", "url", "stars")
+
+
+def index_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _index(spark, d).counts(KEYWORDS).select("query", "total")
+
+
 def first_n_children(spark: SparkSession, d: str) -> DataFrame:
     children = table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name")
     return ranking.first_children(children, "c_nationkey", "c_custkey", 10)
@@ -256,18 +278,29 @@ def remote_url_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def write_modes(spark: SparkSession, d: str) -> DataFrame:
-    """Rows and files after two appends, then after an overwrite."""
+    """Rows after two appends, then after an overwrite, and the files each write made."""
     path = f"{shared_dir(spark)}/modes-{uuid.uuid4().hex}"
     parts = table(spark, d, "part").repartition(3)
-    tables.write_table(parts, path)
-    twice = tables.write_table(parts, path, "append").count()
+    files = [tables.write_table(parts, path).count()]
+    files.append(tables.write_table(parts, path, "append").count())
     appended = written(tables.read_table(spark, path, parts.schema).groupBy("p_brand").agg(F.count(F.lit(1)).alias("appended")), "appended")
-    once = tables.write_table(parts, path, "overwrite").count()
+    files.append(tables.write_table(parts, path, "overwrite").count())
     over = tables.read_table(spark, path).groupBy("p_brand").agg(F.count(F.lit(1)).alias("overwritten"))
-    counts = {"appended_files": F.lit(twice).cast("bigint"), "overwritten_files": F.lit(once).cast("bigint")}
+    counts = {f"files_{i}": F.lit(n).cast("bigint") for i, n in enumerate(files, 1)}
     return appended.join(over, "p_brand").withColumns(counts)
 
 
+def sized_writes(spark: SparkSession, d: str) -> DataFrame:
+    """Line items by line status, most of them in one folder, as files of at most 2000 rows: what the second of two writes made."""
+    path = f"{shared_dir(spark)}/sized-{uuid.uuid4().hex}"
+    status = F.when(F.col("l_linenumber") == 7, F.col("l_returnflag")).otherwise("most")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_quantity", status.alias("status"))
+    tables.write_table(lines.where("l_quantity > 25"), path, "append", 2_000, ["status"])
+    made = tables.file_rows(tables.write_table(lines.where("l_quantity <= 25"), path, "append", 2_000, ["status"]))
+    folder = F.regexp_extract("path", "status=([^/]+)/", 1)
+    return made.groupBy(folder.alias("status")).agg(F.sum("rows").alias("rows"), (F.max("rows") <= 2_000).alias("bounded"))
+
+
 def files_as_bytes(spark: SparkSession, d: str) -> DataFrame:
     """Names of a nation's customers as a file per nation, equal in name, found by their whole paths."""
     path = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
@@ -698,8 +731,8 @@ QUERIES = {
     for f in (
         flagship, contributors_rollup, rollup_appends, contributors_odd, contributor_messages, contributor_files, active_contributors, weighted_mean,
         history_digest, first_files, deny_list, bot_filter, date_range, like_lower, pipe_member, blank_question,
-        two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, first_n_children,
-        ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
+        two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, index_topk, index_all, index_counts, first_n_children,
+        ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, sized_writes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
         markup_format, plain_text, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
         truncate_text, prompt_text, data_uri, json_struct, date_functions, identity_components, identity_bot_cut,
         shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, guarded_question, mended_question, query_contract, query_log,
