@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from commitlens.functions.markup import markdown_to_plain, rst_to_plain
+
 # What counts as white space. Spark's trim() strips the space character only.
 WHITE_SPACE = (
     "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -73,45 +75,6 @@ def guess_markup(c: Column) -> Column:
     return F.when(markdown > rst, "markdown").when(rst > markdown, "rst").otherwise("unknown")
 
 
-def _replace_all(c: Column, rules: list[tuple[str, str]]) -> Column:
-    for pattern, replacement in rules:
-        c = F.regexp_replace(c, pattern, replacement)
-    return c
-
-
-def markdown_to_plain(c: Column) -> Column:
-    """Drop the markup of headings, fences, emphasis, quotes, images and links; keep their text."""
-    return _replace_all(
-        c,
-        [
-            (r"(?m)^[ \t]*(```|~~~)[^\n]*(\n|\z)", ""),
-            (r"(?m)^[ \t]{0,3}#{1,6}[ \t]+", ""),
-            (r"(?m)[ \t]+#+[ \t]*$", ""),
-            (r"(?m)^[ \t]{0,3}>[ \t]?", ""),
-            (r"!?\[([^\]]*)\]\([^)\s]*(?:[ \t]+\"[^\"]*\")?\)", "$1"),
-            (r"(\*\*|__)(?=\S)(.+?)(?<=\S)\1", "$2"),
-            (r"(?<![\w*])\*(?=\S)([^*\n]+?)(?<=\S)\*(?![\w*])", "$1"),
-            (r"`+([^`\n]+)`+", "$1"),
-        ],
-    )
-
-
-def rst_to_plain(c: Column) -> Column:
-    """Drop directives, title underlines, role markup and link targets; keep their text."""
-    return _replace_all(
-        c,
-        [
-            (r"(?m)^\.\.[ \t]+[\w-]+::[^\n]*(\n|\z)", ""),
-            (r"(?m)^\.\.[ \t]+_[^\n]*:[^\n]*(\n|\z)", ""),
-            (r"(?m)^[=\-`:.'^~*+#]{2,}[ \t]*(\n|\z)", ""),
-            (r":[\w:.-]+:`([^`]+)`", "$1"),
-            (r"`([^`<\n]+?)[ \t]*<[^>\n]*>`__?", "$1"),
-            (r"``([^`\n]+)``", "$1"),
-            (r"\*\*(?=\S)(.+?)(?<=\S)\*\*", "$1"),
-        ],
-    )
-
-
 def to_plain(c: Column) -> Column:
     """Plain text by guessed format; text of unknown format stays as it is."""
     kind = guess_markup(c)

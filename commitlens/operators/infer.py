@@ -218,20 +218,3 @@ def expand(df: DataFrame, function: Callable, arguments: list[str], schema: Stru
                 yield flush()
 
     return df.mapInArrow(produced, whole)
-
-
-_TYPES: dict[type, DataType] = {str: StringType(), int: LongType(), float: DoubleType(), bool: BooleanType()}
-
-
-def _spark_type(annotation) -> DataType:
-    if typing.get_origin(annotation) is list:
-        return ArrayType(_spark_type(typing.get_args(annotation)[0]))
-    if dataclasses.is_dataclass(annotation):
-        return schema_of(annotation)
-    return _TYPES[annotation]
-
-
-def schema_of(model: type) -> StructType:
-    """Struct type of a dataclass's fields."""
-    hints = typing.get_type_hints(model)
-    return StructType([StructField(f.name, _spark_type(hints[f.name])) for f in dataclasses.fields(model)])

@@ -148,6 +148,11 @@ picked AS (
   WHERE numbers.n <> 5)
 """
 
+_PIECES = """
+            WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS l FROM part),
+            e AS (SELECT p_partkey, unnest(range(len(l))) AS position, unnest(l) AS word FROM w)
+            SELECT p_partkey, CAST(position AS BIGINT) AS position, word FROM e WHERE length(word) >= 4"""
+
 _PLAIN = r"regexp_replace(text, '[^\p{L}\p{N} \n]', '', 'g')"
 
 _TRUNCATE = """array_to_string(list_slice(string_split_regex(
@@ -417,8 +422,33 @@ def oracles() -> dict[str, str]:
                   FROM (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM e)),
             n AS (SELECT doc_id, run, count(*) AS n FROM s GROUP BY doc_id, run)
             SELECT doc_id, count(*) AS runs, max(n) AS longest FROM n GROUP BY doc_id""",
-        "udtf_expand": """
-            WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS l FROM part),
-            e AS (SELECT p_partkey, unnest(range(len(l))) AS position, unnest(l) AS word FROM w)
-            SELECT p_partkey, CAST(position AS BIGINT) AS position, word FROM e WHERE length(word) >= 4""",
+        "udtf_groups": """
+            WITH g AS (
+              SELECT *, CASE WHEN date_diff('microsecond', lag(ts) OVER w, ts) > 24 * 3600000000 THEN 1 ELSE 0 END AS new
+              FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+            v AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS visit FROM g)
+            SELECT user_id, min(ts) AS start, count(*) AS events, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE), 2) AS total
+            FROM v GROUP BY user_id, visit""",
+        "checked_answers": """
+            WITH a AS (
+              SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS who, CAST(o_orderpriority[1] AS BIGINT) AS urgency,
+                     lower(o_orderstatus) AS status, CAST(o_orderkey % 11 AS DOUBLE) AS share, CAST(year(o_orderdate) AS BIGINT) AS year
+              FROM orders),
+            f AS (SELECT *, urgency BETWEEN 1 AND 4 AND status IN ('f', 'o') AND share <= 9 AS fits FROM a)
+            SELECT o_orderkey, fits, CASE WHEN fits THEN who END AS who, CASE WHEN fits THEN urgency END AS urgency,
+                   CASE WHEN fits THEN status END AS status, CASE WHEN fits THEN share END AS share, CASE WHEN fits THEN year END AS year FROM f""",
+        "picture_sizes": """
+            SELECT p_partkey, CASE WHEN ok THEN (['png', 'gif', 'jpeg', 'bmp'])[p_partkey % 4 + 1] END AS format,
+                   CASE WHEN ok THEN CAST(p_partkey + 1 AS INTEGER) END AS width, CASE WHEN ok THEN p_size END AS height,
+                   CASE WHEN ok THEN CAST(([4, 3, 3, 3])[p_partkey % 4 + 1] AS INTEGER) END AS channels
+            FROM (SELECT *, p_partkey % 7 <> 0 AS ok FROM part)""",
+        "plain_constructs": """
+            WITH c(construct, plain) AS (VALUES
+              ('fence', E'a\n__{0}__ = *x*\n{0}'), ('ticks', 'call __{0}__ and {0}'),
+              ('table', E'{0}  b\na__b__  {0}\nend'), ('reference', E'see {0}, {0} and [other][2]\n'),
+              ('nested_list', E'- {0}\n    - b\n\n      *{0}*\n1. c'), ('picture_link', '{0}'), ('title', E'{0}\ntext'),
+              ('rst_code', E'*{0}* = ``x``\n\n{0}'), ('rst_literal', E'run:\n\n*{0}*\n\n*{0}* of {0}'), ('rst_grid', E'{0}  b\n1  {0}'))
+            SELECT p_partkey, construct, replace(plain, '{0}', p_name) AS plain FROM part, c""",
+        "udtf_lateral": _PIECES,
+        "udtf_expand": _PIECES,
     }

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import enum
 import uuid
 from dataclasses import dataclass
+from typing import Annotated
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructType, TimestampType
 
 from commitlens import schemas
-from commitlens.functions import answers, lists, text, times
-from commitlens.operators import aggregates, filters, identity, infer, joins, ledger, ranking
+from commitlens.functions import answers, checked, lists, markup, pictures, text, times
+from commitlens.operators import aggregates, filters, identity, infer, joins, ledger, ranking, tablefn
 from commitlens.plans import ask, prompts, stages
 from commitlens.session import shared_dir, written
 from commitlens.sources import catalogue as search
@@ -33,6 +36,26 @@ class _Word:
     word: str
 
 
+class _Status(enum.Enum):
+    FILLED = "f"
+    OPEN = "o"
+
+
+@dataclass
+class _Part:
+    name: str
+    share: Annotated[float, checked.Between(0, 9)]
+
+
+@dataclass
+class _Judged:
+    who: int | None
+    urgency: Annotated[int, checked.Between(1, 4)]
+    status: _Status
+    parts: Annotated[list[_Part], checked.Between(1, 3)]
+    extra: dict[str, int]
+
+
 NO_WAIT = infer.Calls(first_wait=0.0, longest_wait=0.0, attempts=2)
 KEYWORDS = ["ring", "red,gear", "owner:Brand#7 widget", "small", "nosuchword", "language:rust"]
 
@@ -372,6 +395,49 @@ def plain_text(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+#: Marked-up texts around a part's name, by the construct they show; the SQL states the plain text of each.
+CONSTRUCTS = {
+    "fence": "a\n```py\n__{0}__ = *x*\n```\n__{0}__",
+    "ticks": "call `__{0}__` and **{0}**",
+    "table": "| {0} | *b* |\n|---|:-:|\n| `a__b__` | [{0}](http://h) |\nend",
+    "reference": "see [{0}][1], [{0}][] and [other][2]\n\n[1]: http://h/1\n[{0}]: <http://h/2>",
+    "nested_list": "* {0}\n    * **b**\n\n      ~~~\n      *{0}*\n      ~~~\n1. [c](d)",
+    "picture_link": "[![{0}](a.png)](http://h)",
+    "title": "*{0}*\n=====\ntext",
+    "rst_code": ".. code-block:: py\n   :linenos:\n\n   *{0}* = ``x``\n\n:ref:`{0} <there>`",
+    "rst_literal": "run::\n\n  *{0}*\n\n``*{0}*`` of **{0}**",
+    "rst_grid": "+---+---+\n| {0} | b |\n+===+===+\n| 1 | *{0}* |\n+---+---+",
+}
+
+
+def plain_constructs(spark: SparkSession, d: str) -> DataFrame:
+    """Every construct around every part's name, read as the format it is of."""
+    name = F.col("p_name")
+    made = F.array(*[
+        F.struct(F.lit(kind).alias("construct"), F.replace(F.lit(shape), F.lit("{0}"), name).alias("text")) for kind, shape in CONSTRUCTS.items()
+    ])
+    texts = table(spark, d, "part").select("p_partkey", F.explode(made).alias("m")).select("p_partkey", "m.*")
+    plain = F.when(F.col("construct").startswith("rst"), markup.rst_to_plain(F.col("text"))).otherwise(markup.markdown_to_plain(F.col("text")))
+    return texts.select("p_partkey", "construct", plain.alias("plain"))
+
+
+def picture_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Every part as the head of a picture: PNG, GIF, JPEG behind segments of several lengths, BMP, and each of them cut off."""
+    key, wide, high = F.col("p_partkey"), (F.col("p_partkey") + 1).cast("int"), F.col("p_size")
+    big = lambda c, n: F.unhex(F.lpad(F.hex(c), 2 * n, "0"))
+    little = lambda c, n: F.unhex(F.concat(*[F.substring(F.lpad(F.hex(c), 2 * n, "0"), 2 * i + 1, 2) for i in reversed(range(n))]))
+    note = F.encode(F.repeat("p_name", (key % 40).cast("int")), "UTF-8")
+    kinds = [
+        F.concat(F.unhex(F.lit("89504E470D0A1A0A0000000D49484452")), big(wide, 4), big(high, 4), F.unhex(F.lit("0806000000"))),
+        F.concat(F.encode(F.lit("GIF89a"), "UTF-8"), little(wide, 2), little(high, 2), F.unhex(F.lit("F70000"))),
+        F.concat(F.unhex(F.lit("FFD8FFE0")), big(F.octet_length(note) + 2, 2), note, F.unhex(F.lit("FFFFFFC4000401FFFFC1001108")), big(high, 2), big(wide, 2), F.unhex(F.lit("03011100"))),
+        F.concat(F.encode(F.lit("BM"), "UTF-8"), F.unhex(F.repeat(F.lit("00"), 16)), little(wide, 4), little(high, 4), F.unhex(F.lit("01001800"))),
+    ]
+    content = F.element_at(F.array(*kinds), (key % 4 + 1).cast("int"))
+    cut = F.when(key % 7 == 0, F.substr(content, F.lit(1), F.lit(9))).otherwise(content)
+    return table(spark, d, "part").select("p_partkey", pictures.picture_size(cut).alias("size")).select("p_partkey", "size.*")
+
+
 def normalize_names(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     raw = F.concat(F.lit("  "), "c_name", F.lit("\t\t(The  "), "c_mktsegment", F.lit(") "))
@@ -427,11 +493,26 @@ def data_uri(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_struct(spark: SparkSession, d: str) -> DataFrame:
-    answer = answers.parse_answer(F.col("props"), infer.schema_of(_Props), {"k": (1, 90)})
+    answer = answers.parse_answer(F.col("props"), checked.schema_of(_Props), {"k": (1, 90)})
     events = table(spark, d, "events").withColumn("answer", answer)
     return events.select("event_id", "answer.*")
 
 
+def checked_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as JSON answers with optional, bounded, listed and enumerated fields; what does not fit the class is null."""
+    made = F.to_json(F.struct(
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("who"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("urgency"),
+        F.lower("o_orderstatus").alias("status"),
+        F.array(F.struct(F.col("o_orderpriority").alias("name"), (F.col("o_orderkey") % 11).cast("double").alias("share"))).alias("parts"),
+        F.create_map(F.lit("year"), F.year("o_orderdate")).alias("extra"),
+    ))
+    answer = checked.answer_of(made, _Judged)
+    return table(spark, d, "orders").select("o_orderkey", answer.alias("a")).select(
+        "o_orderkey", F.col("a").isNotNull().alias("fits"), "a.who", "a.urgency", "a.status", F.get("a.parts", F.lit(0))["share"].alias("share"), F.col("a.extra")["year"].alias("year")
+    )
+
+
 def date_functions(spark: SparkSession, d: str) -> DataFrame:
     shown = times.commit_date(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" +0530")))
     in_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), shown.cast("timestamp_ntz"))
@@ -578,7 +659,7 @@ def guarded_question(spark: SparkSession, d: str) -> DataFrame:
     _final_table(spark, d)
     good = QUESTION.format(contributions="contributions")
     endless = "range(100000000000000) r JOIN contributions c ON r.id % 7 = c.commit_count % 7 - 7"
-    candidates = ["DROP VIEW contributions", good.replace("contributions", "contributions, contributions AS others"), good.replace("contributions", endless), good]
+    candidates = ["DROP VIEW contributions", good.replace("contributions", "contributions CROSS JOIN (SELECT repo AS other FROM contributions)"), good.replace("contributions", endless), good]
     return _people(spark, ask.first_nonempty(spark, candidates, seconds=20))
 
 
@@ -681,12 +762,59 @@ def udtf_expand(spark: SparkSession, d: str) -> DataFrame:
             if len(word) >= least:
                 yield i, word
 
-    schema = infer.schema_of(_Word)
+    schema = checked.schema_of(_Word)
     return infer.expand(table(spark, d, "part").select("p_partkey", "p_name"), pieces, ["p_name"], schema, least=4).select(
         "p_partkey", "position", "word"
     )
 
 
+def udtf_lateral(spark: SparkSession, d: str) -> DataFrame:
+    """A table function beside the rows of a table, in SQL as a question may hold it."""
+
+    def pieces(name: str, least: int):
+        for i, word in enumerate(name.split(" ")):
+            if len(word) >= least:
+                yield i, word
+
+    tablefn.row_function(spark, "pieces", pieces, checked.schema_of(_Word))
+    tables.register(table(spark, d, "part"), "part_names")
+    return ask.run_sql(spark, "SELECT p_partkey, position, word FROM part_names, LATERAL pieces(p_name, 4)")
+
+
+class _Visits:
+    """Runs of a user's events with at most ``gap`` hours between two: start, events and the sum of their values."""
+
+    def __init__(self, gap: int):
+        self._gap, self._start, self._last, self._n, self._sum = gap, None, None, 0, 0.0
+
+    def row(self, row):
+        if self._last is not None and (row["ts"] - self._last).total_seconds() > 3600 * self._gap:
+            yield from self.end()
+            self._start, self._n, self._sum = None, 0, 0.0
+        self._start = self._start or row["ts"]
+        self._last, self._n, self._sum = row["ts"], self._n + 1, self._sum + row["value"]
+        self._who = row["user_id"]
+
+    def end(self):
+        yield self._who, self._start, self._n, round(self._sum, 2)
+
+
+def _visits_schema(gap, rows):
+    """The group's column as it is in the table, then what a visit has."""
+    who = next(f for f in rows.dataType.fields if f.name == "user_id")
+    return StructType([who]).add("start", TimestampType()).add("events", LongType()).add("total", DoubleType())
+
+
+def udtf_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Visits of every user: a table function over a table argument, group by group in order."""
+    tablefn.group_function(spark, "visits", _Visits, _visits_schema)
+    tables.register(table(spark, d, "events"), "all_events")
+    found = ask.run_sql(
+        spark, "SELECT * FROM visits(24, TABLE(SELECT user_id, ts, value FROM all_events) PARTITION BY user_id ORDER BY ts)"
+    )
+    return _ntz(found, "start")
+
+
 def udtf_runs(spark: SparkSession, d: str) -> DataFrame:
     """Runs of words in rising order in whole documents: a walk with memory."""
 
@@ -701,7 +829,7 @@ def udtf_runs(spark: SparkSession, d: str) -> DataFrame:
             before = word
 
     docs = table(spark, d, "documents").select("doc_id", "text")
-    found = infer.expand(docs, runs, ["text"], infer.schema_of(_Word)).select("doc_id", "position", "word")
+    found = infer.expand(docs, runs, ["text"], checked.schema_of(_Word)).select("doc_id", "position", "word")
     return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("runs"), F.max(F.size(F.split("word", " "))).cast("bigint").alias("longest"))
 
 
@@ -733,9 +861,9 @@ QUERIES = {
         history_digest, first_files, deny_list, bot_filter, date_range, like_lower, pipe_member, blank_question,
         two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, index_topk, index_all, index_counts, first_n_children,
         ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, sized_writes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
-        markup_format, plain_text, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
-        truncate_text, prompt_text, data_uri, json_struct, date_functions, identity_components, identity_bot_cut,
+        markup_format, plain_text, plain_constructs, picture_sizes, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
+        truncate_text, prompt_text, data_uri, json_struct, checked_answers, date_functions, identity_components, identity_bot_cut,
         shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, guarded_question, mended_question, query_contract, query_log,
-        infer_scores, infer_top, infer_projects, infer_pictures, ledger_runs, udtf_expand, udtf_runs,
+        infer_scores, infer_top, infer_projects, infer_pictures, ledger_runs, udtf_expand, udtf_lateral, udtf_groups, udtf_runs,
     )
 }
