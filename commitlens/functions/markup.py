@@ -132,8 +132,16 @@ def markdown_to_plain(c: Column) -> Column:
     horizontal rules go. List items and quotes keep their text line by line; a list's marker is ``-`` or its number.
     """
     text = F.concat(_replaced(c, (_PRIVATE, "\ufffd"), (r"\r\n?", "\n")), F.lit("\n"))
-    labels = F.transform(F.regexp_extract_all(text, F.lit(r"(?m)^[ ]{0,3}\[((?!\^)[^\[\]\n]+)\]:[ \t]*\S"), F.lit(1)), F.lower)
 
+    def labels(t: Column) -> Column:
+        return F.transform(F.regexp_extract_all(t, F.lit(r"(?m)^[ ]{0,3}\[((?!\^)[^\[\]\n]+)\]:[ \t]*\S"), F.lit(1)), F.lower)
+
+    # Bound outside of the blocks: the labels are looked for once a text.
+    plain = let(text, lambda t: let(labels(t), lambda found: _markdown_blocks(t, found)))
+    return F.regexp_replace(plain, r"\n\z", "")
+
+
+def _markdown_blocks(text: Column, labels: Column) -> Column:
     def inline(t: Column) -> Column:
         return _markdown_inline(t, labels)
 
@@ -164,8 +172,7 @@ def markdown_to_plain(c: Column) -> Column:
             .otherwise(line(F.when(_starts(block, _TITLE), _replaced(block, (r"\A[ ]+", ""), (r"[ \t]*\n[^\n]*\n\z", "\n"))).otherwise(block)))
         )
 
-    plain = F.array_join(F.transform(_blocks(text, _MARKDOWN), read), "")
-    return F.regexp_replace(plain, r"\n\z", "")
+    return F.array_join(F.transform(_blocks(text, _MARKDOWN), read), "")
 
 
 _BODY = r"(?:[ \t]+\S[^\n]*\n|[ \t]*\n(?=(?:[ \t]*\n)*+[ \t]+\S))*+"
