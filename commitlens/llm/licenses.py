@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commitlens.llm.scans import largest_before, sums_before
+
 # Characters of a word, once A-Z are lower-cased.
 _WORD, _RAW_WORD = r"[0-9a-z\x{80}-\x{10FFFF}]", r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -179,19 +181,16 @@ def _spaces(c: str) -> str:
 def _places(text: str, rule: str) -> str:
     """SQL: all non-overlapping matches of ``rule`` in ``text``, with the words they begin and end at."""
     pattern = f"concat('(?<![^ ])(?:', {rule}.pattern, ')(?![^ ])')"
-    # Pieces between the matches and the matches, in turn, carry the number of words so far.
+    # Before a match stand the spaces of all pieces and matches before it.
+    starts = sums_before(f"zip_with(hits, slice(pieces, 1, size(hits)), (h, p) -> cast({_spaces('p')} + {_spaces('h')} AS bigint))")
     return f"""transform(array(regexp_extract_all({text}, {pattern}, 0)), hits -> IF(size(hits) = 0, cast(array() AS array<{_FOUND}>),
-        aggregate(
-            zip_with(hits, split({text}, {pattern}, -1), (h, p) -> named_struct('hit', h, 'piece', p)),
-            named_struct('at', 0L, 'found', cast(array() AS array<{_FOUND}>)),
-            (s, x) -> IF(x.hit IS NULL, s, named_struct(
-                'at', s.at + {_spaces("x.piece")} + {_spaces("x.hit")},
-                'found', concat(s.found, array(named_struct(
-                    'start', cast(s.at + {_spaces("x.piece")} AS bigint),
-                    'end', cast(s.at + {_spaces("x.piece")} + {_spaces("x.hit")} + 1 AS bigint),
-                    'tier', {rule}.tier, 'number', {rule}.number,
-                    'label', {rule}.label, 'confidence', {rule}.confidence))))),
-            s -> s.found)))[0]"""
+        transform(array(split({text}, {pattern}, -1)), pieces -> zip_with(
+            zip_with(hits, slice(pieces, 1, size(hits)), (h, p) -> named_struct('hit', h, 'piece', p)), {starts},
+            (x, at) -> named_struct(
+                'start', cast(at + {_spaces("x.piece")} AS bigint),
+                'end', cast(at + {_spaces("x.piece")} + {_spaces("x.hit")} + 1 AS bigint),
+                'tier', {rule}.tier, 'number', {rule}.number,
+                'label', {rule}.label, 'confidence', {rule}.confidence)))[0]))[0]"""
 
 
 def _table(made: list[Rule]) -> str:
@@ -218,14 +217,13 @@ def _suppress(found: str) -> str:
 
     Whatever contains a detection stands before it, so the farthest end so far of each tier decides.
     """
-    tiers = range(4)
-    ends = ", ".join(f"'e{t}', -1L" for t in tiers)
-    moved = ", ".join(f"'e{t}', IF(d.tier = {t}, greatest(s.e{t}, d.end), s.e{t})" for t in tiers)
-    inside = " OR ".join(f"(d.tier >= {t} AND s.e{t} >= d.end)" for t in tiers)
-    return f"""aggregate({found},
-        named_struct({ends}, 'kept', cast(array() AS array<{_FOUND}>)),
-        (s, d) -> named_struct({moved}, 'kept', IF({inside}, s.kept, concat(s.kept, array(d)))),
-        s -> s.kept)"""
+    # Ends so far of a tier's and all better ones' detections.
+    reach = [largest_before(f"transform(all, d -> IF(d.tier <= {t}, d.end, -1L))") for t in range(4)]
+    best = reach[0]
+    for t in range(1, 4):
+        best = f"zip_with({best}, {reach[t]}, (x, y) -> {'array(x, y)' if t == 1 else 'concat(x, array(y))'})"
+    kept = f"filter(zip_with(all, {best}, (d, e) -> named_struct('d', d, 'inside', e[d.tier] >= d.end)), x -> NOT x.inside)"
+    return f"transform(array({found}), all -> transform({kept}, x -> x.d))[0]"
 
 
 def words_of(text: Column) -> Column:

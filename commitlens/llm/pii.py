@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.llm.common import fresh
+from commitlens.llm.scans import largest_before, replaced, running, smallest_behind, sums_before
 from commitlens.session import written
 
 # The kinds every text is searched for, and those the method adds, in the order of results.
@@ -146,16 +147,10 @@ def _candidates(kind: str, t: str) -> str:
     wanted = f"length({_DIGITS}) >= {_LEAST_DIGITS}" if kind == "card" else "true"
     base = CHECKS.get(kind, "false")
     alnum = r"r'[\p{L}\p{N}_]'"
-    return f"""IF(coalesce({_GATES[kind].format(t=t)}, false), transform(array(split({t}, {pattern}, -1)), pieces -> aggregate(
-        zip_with(zip_with(regexp_extract_all({t}, {pattern}, 0), pieces, (h, p) -> named_struct('hit', h, 'piece', p)),
-            slice(pieces, 2, size(pieces)), (y, n) -> named_struct('hit', y.hit, 'piece', y.piece, 'next', n)),
-        named_struct('at', 0L, 'found', cast(array() AS array<{_ITEM}>)),
-        (s, x) -> IF(x.hit IS NULL, s, named_struct(
-            'at', s.at + length(x.piece) + length(x.hit),
-            'found', IF(NOT ({wanted}), s.found, concat(s.found, array(named_struct(
+    item = f"""named_struct(
                 'kind', '{kind}',
-                'start', cast(s.at + length(x.piece) AS bigint),
-                'end', cast(s.at + length(x.piece) + length(x.hit) AS bigint),
+                'start', x.at,
+                'end', x.at + length(x.hit),
                 'base', {base},
                 'form', {_forms(kind)},
                 'gazetteer', {_gazetteers(kind)},
@@ -165,8 +160,15 @@ def _candidates(kind: str, t: str) -> str:
                 'length', cast(log2(length(x.hit)) * 2 AS int),
                 'digits', cast(4 * length({_DIGITS}) / length(x.hit) AS int),
                 'before', {_side(before)},
-                'after', {_side(after)})))))),
-        s -> s.found))[0], cast(array() AS array<{_ITEM}>))"""
+                'after', {_side(after)})"""
+    # Every match with the text before it, its place, and the text behind it.
+    starts = sums_before("zip_with(hits, slice(pieces, 1, size(hits)), (h, p) -> cast(length(p) + length(h) AS bigint))")
+    placed = f"""zip_with(zip_with(hits, pieces, (h, p) -> named_struct('hit', h, 'piece', p)),
+            zip_with({starts}, slice(pieces, 2, size(pieces)), (a, n) -> named_struct('a', a, 'next', n)),
+            (y, z) -> named_struct('hit', y.hit, 'piece', y.piece, 'at', z.a + length(y.piece), 'next', z.next))"""
+    wanted_ones = f"filter({placed}, x -> x.hit IS NOT NULL AND {wanted})"
+    return f"""IF(coalesce({_GATES[kind].format(t=t)}, false), transform(array(regexp_extract_all({t}, {pattern}, 0)), hits ->
+        transform(array(split({t}, {pattern}, -1)), pieces -> transform({wanted_ones}, x -> {item}))[0])[0], cast(array() AS array<{_ITEM}>))"""
 
 
 def with_candidates(docs: DataFrame, column: str, text_column: str = "text") -> DataFrame:
@@ -260,10 +262,20 @@ def base_spans(column: str) -> str:
 
 
 def all_spans(column: str, model: Model) -> str:
-    """SQL: base spans and the added candidates the model accepts that touch none of them."""
+    """SQL: base spans and the added candidates the model accepts that touch none of them.
+
+    In order of their starts a span touches a base span before it if one of those ends behind its
+    start, and one behind it if the next of those begins before its end.
+    """
     added = f"c.kind NOT IN ({', '.join(map(_text, BASE))}) AND {model.accepts('c')}"
-    clear = f"NOT exists({column}, b -> b.base AND b.start < c.end AND c.start < b.end)"
-    return _sorted(_bare(f"filter({column}, c -> c.base OR ({added} AND {clear}))"))
+    ordered = f"""array_sort(transform(filter({column}, c -> c.base OR ({added})), c -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, 'base', c.base)),
+        (a, b) -> CASE WHEN a.start <> b.start THEN IF(a.start < b.start, -1, 1) WHEN a.base <> b.base THEN IF(a.base, -1, 1)
+        ELSE cast(array_position({_ORDER}, a.kind) - array_position({_ORDER}, b.kind) AS int) END)"""
+    ends = largest_before("transform(all, c -> IF(c.base, c.end, -1L))")
+    starts = smallest_behind("transform(all, c -> IF(c.base, c.start, 9223372036854775807L))")
+    clear = f"""transform(array({ordered}), all -> filter(zip_with(all, zip_with({ends}, {starts}, (e, s) -> named_struct('e', e, 's', s)),
+        (c, n) -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, 'kept', c.base OR NOT (n.e > c.start OR n.s < c.end))), c -> c.kept))[0]"""
+    return _sorted(_bare(clear))
 
 
 def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -312,13 +324,14 @@ def mask(docs: DataFrame, text_column: str = "text", length_column: str | None =
     model = fit(found, "c")
     marked = with_candidates(docs, column, text_column)
     t = f"`{text_column}`"
-    masked = f"""aggregate({all_spans(f"`{column}`", model)},
-        named_struct('at', 0L, 'parts', cast(array() AS array<string>)),
-        (s, c) -> IF(c.start < s.at, named_struct('at', greatest(s.at, c.end), 'parts', s.parts), named_struct(
-            'at', c.end,
-            'parts', concat(s.parts, array(
-                substring({t}, cast(s.at + 1 AS int), cast(c.start - s.at AS int)), concat('[', upper(c.kind), ']'))))),
-        s -> concat(array_join(s.parts, ''), substring({t}, cast(s.at + 1 AS int))))"""
+    ends = running("transform(all, c -> c.end)", "-1L", "greatest({a}, {b})")
+    # The first span of each run of spans that overlap, and how far the run reaches.
+    heads = """filter(zip_with(all, before, (c, e) -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, 'before', e)), c -> c.start >= c.before)"""
+    reach = "concat(transform(slice(heads, 2, size(heads)), h -> h.before), array(greatest(element_at(all, -1).end, element_at(before, -1))))"
+    joined = f"zip_with(heads, {reach}, (h, e) -> named_struct('start', h.start, 'end', e, 'put', concat('[', upper(h.kind), ']')))"
+    merged = f"""transform(array({all_spans(f"`{column}`", model)}), all -> IF(size(all) = 0, cast(array() AS array<struct<start:bigint,end:bigint,put:string>>),
+        transform(array({ends}), before -> transform(array({heads}), heads -> {joined})[0])[0]))[0]"""
+    masked = f"transform(array({t}), whole -> {replaced('whole', merged)})[0]"
     done = marked.withColumn(text_column, F.expr(f"IF({t} IS NULL OR size(`{column}`) = 0, {t}, {masked})"))
     if length_column:
         kind = docs.schema[length_column].dataType
