@@ -46,11 +46,41 @@ _TAG = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 _WORDS = re.compile(r"[a-z]+")
+# Words that say of a shell what it has or how it stands, not what it is: has-sidebar, comments-open.
+_STATE_FIRST = frozenset("has no with without is show hide hides enable enabled disable disabled".split())
+_STATE_LAST = frozenset("open opened closed enabled disabled on off layout visible active template page".split())
+# Parts whose own articles are other pages' or readers'.
+_OTHERS = frozenset("comment comments reply replies respond responses related recommended recommendations teaser teasers".split())
 _SPACE = re.compile(r"\s+")
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether an element says that it is not shown; what stands in the values of other attributes does not count."""
+    lowered = attributes.lower()
+    if "hidden" not in lowered and "display" not in lowered:
+        return False
+    for name, value in _ATTRIBUTE.findall(lowered):
+        value = value.strip("\"'")
+        if (name == "hidden" and value != "false") or (name == "aria-hidden" and value.strip() == "true"):
+            return True
+        if name == "style" and re.search(r"display\s*:\s*none", value):
+            return True
+    return False
+
+
+def _words_of(attributes: str) -> set[str]:
+    """The words of an element's class, id and role, but those of compounds that state what a shell has."""
+    found: set[str] = set()
+    for pair in _NAMES.findall(attributes):
+        for token in "".join(pair).lower().split():
+            words = _WORDS.findall(token)
+            if len(words) < 2 or not (words[0] in _STATE_FIRST or words[-1] in _STATE_LAST):
+                found.update(words)
+    return found
+
+
 class Line(NamedTuple):
     """A block of text and what the markup says of it."""
 
@@ -65,15 +95,16 @@ def lines(page: str) -> list[Line]:
     out: list[Line] = []
     held: list[str] = []
     # Open elements: name, and whether what stands around them is chrome, in the main part, in an article element.
-    open_: list[tuple[str, bool, bool, bool]] = []
-    chrome = main = article = False
+    # Chrome is 2 by an element or by being hidden or others' text, and 1 by a word alone, which an article or main element outranks.
+    open_: list[tuple[str, int, bool, bool]] = []
+    chrome, main, article = 0, False, False
 
     def end_block() -> None:
         if held:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
             if text:
-                out.append(Line(text, chrome, main, article))
+                out.append(Line(text, chrome > 0, main, article))
 
     at = 0
     size = len(page)
@@ -111,11 +142,15 @@ def lines(page: str) -> list[Line]:
             if not any(o[0] in _BLOCKS for o in open_[depth + 1 :]):
                 _, chrome, main, article = open_[depth]
                 del open_[depth:]
-        names: set[str] = set()
-        for pair in _NAMES.findall(attributes):
-            names.update(_WORDS.findall("".join(pair).lower()))
+        names = _words_of(attributes)
         open_.append((name, chrome, main, article))
-        inner = chrome or name in _CHROME or bool(names & _CHROME_WORDS) or bool(attributes and _HIDDEN.search(attributes))
+        inner = chrome
+        if name in _CHROME or names & _CHROME_WORDS & _OTHERS or _hidden(attributes):
+            inner = 2
+        elif names & _CHROME_WORDS:
+            inner = max(inner, 1)
+        if name in ("article", "main") and inner == 1:
+            inner = 0
         # An article's own header holds its headline.
         if name == "header" and main and not names & _CHROME_WORDS:
             inner = chrome

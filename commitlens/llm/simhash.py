@@ -10,9 +10,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from commitlens.llm.common import fresh, map_columns, worker_tool
+from commitlens.llm.common import fresh, map_columns, with_struct, worker_tool
 from commitlens.operators.identity import connected_components
 from commitlens.session import written
 
@@ -45,6 +44,11 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(bits.view("<u8")[0])
 
 
+def signed(value: int) -> int:
+    """An unsigned 64-bit number as a long has it."""
+    return value - (1 << 64) if value >> 63 else value
+
+
 def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int = 3) -> DataFrame:
     """(id, fp): a signed long with the fingerprint's bits for every row, in one narrow pass."""
 
@@ -53,8 +57,7 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int
 
         def work(ids, texts):
             for i, text in zip(ids, texts, strict=True):
-                value = fingerprint(text, shingle)
-                yield i, value - (1 << 64) if value >> 63 else value
+                yield i, signed(fingerprint(text, shingle))
 
         return work
 
@@ -262,15 +265,25 @@ def simhash_duplicates(
 def keep_one_each(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3, radius: int = 3
 ) -> DataFrame:
-    """The rows of ``docs`` with one document of each group of near-duplicates: the smallest id.
+    """One row of each group of near-duplicates of ``docs``: the smallest id, then the smallest hash of the text.
 
-    Of several rows with that id one stays. Rows without an id cannot be told apart and all stay.
-    All columns are kept as they are.
+    Rows are told apart, not ids: rows without an id take part and stand behind all others, different texts under
+    one id are compared like any others, and of rows that are equal in id and text one stays. A group's first row is a minimum that is
+    aggregated before it is shuffled, so neither a hot id nor a large group meets in one task. All columns are kept as they are; of
+    equal rows with other columns that differ, the one that was read first stays.
     """
-    groups = simhash_duplicates(docs.select(id_column, text_column), id_column, text_column, shingle, radius)
-    keepers = groups.where(F.col("component_id") == F.col(id_column)).select(id_column).distinct()
-    kept = docs.join(keepers, id_column, "left_semi")
-    number = fresh(docs, "copy")
-    once = kept.withColumn(number, F.row_number().over(Window.partitionBy(id_column).orderBy(F.lit(0))))
-    first = once.where(F.col(number) == 1).drop(number)
-    return first.unionByName(docs.where(F.col(id_column).isNull()))
+    number, text = fresh(docs, "row"), F.coalesce(F.col(text_column), F.lit(""))
+    # Written, so that a row keeps its number whatever is computed again.
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    order = F.struct(F.col(id_column).isNull(), F.col(id_column), F.xxhash64(text), F.xxhash64(F.lit(1), text), F.col(number).alias("row"))
+
+    def make():
+        worker_tool(None)
+        return lambda value: (signed(fingerprint(value, shingle)),)
+
+    printed = with_struct(rows.select(id_column, text_column, number), "_print", "fp long", make, text_column)
+    # One row a fingerprint from here on.
+    firsts = written(printed.groupBy(F.col("_print.fp").alias("fp")).agg(F.min(order).alias("first")), "simhash")
+    groups = firsts.join(near_components(firsts.select("fp", F.col("first.row").alias("id")), radius), "fp")
+    kept = groups.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number))
+    return rows.join(kept, number, "left_semi").drop(number)

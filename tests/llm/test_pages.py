@@ -33,6 +33,24 @@ def test_odd_markup(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="has-sidebar"><article><p>text</p></article></div>',
+        '<article class="post comments-open"><p>text</p></article>',
+        '<main class="related-layout"><p>text</p></main>',
+        '<article><div title="the hidden truth"><p>text</p></div></article>',
+        '<div class="no-sidebar social"><main><p>text</p></main></div>',
+        '<article class="notice"><p>text</p><div class="sidebar">menu</div></article>',
+        '<article><p data-hidden="x" alt=\'display: none\'>text</p><p hidden="">no</p><p style="color:red; display : none">no</p><p aria-hidden="true">no</p></article>',
+        '<article><p>text</p><section class="comments"><article><p>reader</p></article></section></article>',
+        '<nav><article>menu</article></nav><article>text</article><div class="related"><article>other page</article></div>',
+    ],
+)
+def test_a_word_does_not_outrank_an_article(page):
+    assert texts(page) == ["text"] and pages.main_text(pages.lines(page), []) == "text"
+
+
 def length(a, b):
     row = [0] * (len(b) + 1)
     for x in a:

@@ -70,13 +70,17 @@ def test_quality(stages):
 def test_dedup(stages):
     columns, before, names, after = stages["dedup"]
     assert names == columns
-    label = components([(r["doc_id"], fingerprint(r["text"])) for r in before])
-    want, seen = [], set()
+    # Components over rows, whatever their ids; of each one row stays, the smallest id first, nulls last.
+    label = components([(k, fingerprint(r["text"])) for k, r in enumerate(before)])
+    groups: dict = {}
     for k, r in enumerate(before):
-        if r["doc_id"] is None or (label[k] == r["doc_id"] and r["doc_id"] not in seen):
-            seen.add(r["doc_id"])
-            want.append(r)
-    assert counted(after) == counted(want) and len(after) < len(before)
+        groups.setdefault(label[k], []).append(r)
+    assert len(after) == len(groups) < len(before)
+    least = Counter(min((r["doc_id"] is None, r["doc_id"] or 0) for r in g) for g in groups.values())
+    assert Counter((r["doc_id"] is None, r["doc_id"] or 0) for r in after) == least
+    assert not counted(after) - counted(before)
+    members = {k: counted(g) for k, g in groups.items()}
+    assert all(sum((counted(after) & m).values()) >= 1 for m in members.values())
 
 
 def test_privacy(stages):

@@ -113,7 +113,19 @@ def test_components_and_kept_rows(spark):
     assert sorted((tuple(r) for r in got), key=repr) == want
     kept = simhash.keep_one_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 3, 20, 30, None, None], key=repr)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 3, 20, 30, None], key=repr)
+
+
+def test_rows_are_kept_not_ids(spark):
+    a, b, c, d, e = ("".join(f"{w}{i} " for i in range(60)) for w in ("ant", "bee", "cow", "dog", "elk"))
+    rows = [(2, a), (7, a), (7, b), (9, c), (9, d), (2, e), (None, b), (None, a + "end"), (None, None), (None, ""), (4, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted([(2, a), (7, b), (9, c), (9, d), (2, e), (4, " ")], key=repr)
+    for _ in range(2):
+        assert sorted((tuple(r) for r in simhash.keep_one_each(docs).collect()), key=repr) == want
+    # A hot id is no window of one task.
+    plan = simhash.keep_one_each(docs)._jdf.queryExecution().toString()
+    assert "Window" not in plan
 
 
 def test_empty(spark):
