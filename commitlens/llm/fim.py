@@ -34,7 +34,7 @@ class Plan:
 
     def __post_init__(self):
         signs = (self.prefix, self.suffix, self.middle)
-        if self.unit not in ("token", "character") or not all(signs):
+        if self.unit not in ("token", "character") or not all(signs) or len(set(signs)) < 3:
             raise ValueError("a unit of token or character and three signs are needed")
         # A sign must be found at its first place behind any text: none may begin as one ends.
         for a in signs:
