@@ -67,26 +67,39 @@ def history_digest(
 ) -> DataFrame:
     """Per key the first lines and words of all its texts put together in ``order``.
 
-    Equal to concatenating everything and truncating, but only rows that can reach into the result
-    are kept, in one pass and cut on the map side: a text with a newline adds at least one line, so
-    ``lines`` of them are enough; one without a newline but with several words adds at least one whole word, so
-    ``words + 1`` of them are enough. One-word texts without a newline run together into a single word,
-    which by definition is one word of the result; of them, as of all, only those before the last line
-    needed are kept. (Commit messages out of a log end in a newline, so all of them are of the first kind.)
-    Truncating a single text to its first lines beforehand changes nothing either.
+    Equal to concatenating everything and truncating, but of a key only the rows are brought together that
+    reach into the result: those with fewer than ``lines`` line ends and fewer than ``words`` ends of words
+    before them. Where these rows end is found from counts alone, first for the parts of a key that lie in
+    one place, spread over many tasks, and then for what is left of them. Every text is cut to as
+    many lines and words itself, so a cell holds about ``lines`` lines or ``words`` words, however texts are
+    made. (One word may be of any size: texts without any white space run together into a single one.)
     """
+    salts = max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    gap, rest = r"[\s\x1c-\x1f]", r"[^\s\x1c-\x1f]"
+    whole_words = rf"(?U)\A{gap}*+(?:{rest}++{gap}++){{0,{words}}}+{rest}*+"
     rows = df.where(F.length(text) > 0).select(*keys, *order, F.substring_index(text, "\n", lines + 1).alias("_text"))
-    kind = F.when(F.col("_text").contains("\n"), 0).when(F.col("_text").rlike(r"(?U)\S\s+\S"), 1).otherwise(2)
-    enough = F.when(F.col("_kind") == 0, lines).when(F.col("_kind") == 1, words + 1).otherwise(2**31 - 1)
-    kept = top_n_per_key(rows.withColumn("_kind", kind), [*keys, "_kind"], [F.col(c) for c in order], enough)
-    # Behind the last line needed nothing counts.
-    whole_key = Window.partitionBy(*keys)
-    at = F.struct(*order)
-    ends = kept.withColumn("_lines", F.count(F.when(F.col("_kind") == 0, 1)).over(whole_key)).withColumn(
-        "_last", F.max(F.when(F.col("_kind") == 0, at)).over(whole_key)
+    counts = rows.select(
+        *keys,
+        *order,
+        (F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit("")))).alias("_lines"),
+        F.regexp_count("_text", F.lit(f"(?U){rest}{gap}")).alias("_words"),
+        (F.spark_partition_id() % salts).alias("_salt"),
     )
-    needed = ends.where((F.col("_lines") < lines) | (at <= F.col("_last")))
-    whole = needed.groupBy(*keys).agg(concat_text("_text", *order).alias("_text"))
+
+    def reaching(part: DataFrame, *by: str) -> DataFrame:
+        before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        summed = [F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("_lines", "_words")]
+        return part.withColumns({"_b": summed[0], "_w": summed[1]}).where((F.col("_b") < lines) & (F.col("_w") < words)).drop("_b", "_w")
+
+    needed = reaching(reaching(counts, "_salt", *keys), *keys)
+    ends = needed.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max(F.struct(*order)).alias("_end"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    kept = rows.join(ends, same & (F.struct(*order) <= F.col("_end"))).select(
+        *keys, *order, F.regexp_extract("_text", whole_words, 0).alias("_text")
+    )
+    whole = kept.groupBy(*keys).agg(concat_text("_text", *order).alias("_text"))
     return whole.select(*keys, truncate_message(F.col("_text"), lines, words).alias(text))
 
 

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,63 +15,24 @@ def limited(df: DataFrame, limit: int | None) -> DataFrame:
     return df if unlimited(limit) else df.limit(int(limit))
 
 
-# Up to this many rows per key Spark itself cuts every map partition before a shuffle.
-_CUT_BY_SPARK = 1_000
-
-
-def _cut_where_read(df: DataFrame, keys: list[str], order: list[Column], limit: str) -> DataFrame:
-    """The rows that are among the first ``limit`` (a column) of their key in their own partition.
-
-    Narrow: rows are sorted where they lie and streamed through, counting.
-    """
-    key = "_key"
-    marked = df.withColumn(key, F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
-    ordered = marked.sortWithinPartitions(key, *order)
-    at, most = ordered.columns.index(key), ordered.columns.index(limit)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, seen = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            values = batch.column(at)
-            new = np.ones(len(values), bool)
-            new[1:] = pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(new)
-            # Rows since the key began, which may be in an earlier batch.
-            rank = np.arange(len(values)) - np.repeat(starts, np.diff(np.append(starts, len(values))))
-            first = values[0].as_py()
-            if first == last:
-                rank[: starts[1] if len(starts) > 1 else len(values)] += seen
-            last, seen = values[len(values) - 1].as_py(), int(rank[-1]) + 1
-            yield batch.filter(pa.array(rank < batch.column(most).to_numpy()))
-
-    return ordered.mapInArrow(cut, ordered.schema).drop(key)
-
-
-def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int | Column, salts: int = 32) -> DataFrame:
-    """The first ``n`` rows of each key, exact; ``n`` may be a column that is the same for a key's rows.
+def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, salts: int = 32) -> DataFrame:
+    """The first ``n`` rows of each key, exact.
 
-    Every map partition is cut to ``n`` rows per key before the shuffle, by Spark or, for a large or
-    varying ``n``, by a pass over the sorted partition. The first of the two rounds further
-    spreads a key over ``salts`` tasks by map partition, so the task that ends up
-    with a hot key sees at most ``salts * n`` rows of it. Any spread gives the same rows, provided
-    ``order`` has no ties.
+    Two rounds of ranking: the first spreads a key over ``salts`` tasks by map partition, so the task that ends
+    up with a hot key sees at most ``salts * n`` rows of it. Spark cuts every map partition to ``n`` rows a key before
+    either shuffle, for an ``n`` up to spark.sql.optimizer.windowGroupLimitThreshold. Any spread
+    gives the same rows, provided ``order`` has no ties.
     """
-    limit = n
-    if isinstance(n, Column) or n > _CUT_BY_SPARK:
-        df = _cut_where_read(df.withColumn("_limit", n if isinstance(n, Column) else F.lit(n)), keys, order, "_limit")
-        limit = F.col("_limit")
     if salts > 1:
         by_salt = Window.partitionBy("_salt", *keys).orderBy(*order)
         df = (
             df.withColumn("_salt", F.spark_partition_id() % salts)
             .withColumn("_rank", F.row_number().over(by_salt))
-            .where(F.col("_rank") <= limit)
+            .where(F.col("_rank") <= n)
             .drop("_rank", "_salt")
         )
     by_key = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(by_key)).where(F.col("_rank") <= limit).drop("_rank", "_limit")
+    return df.withColumn("_rank", F.row_number().over(by_key)).where(F.col("_rank") <= n).drop("_rank")
 
 
 def first_children(df: DataFrame, parent: str, position: str, limit: int | None) -> DataFrame:

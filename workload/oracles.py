@@ -214,6 +214,11 @@ def oracles() -> dict[str, str]:
             WITH whole AS (SELECT source, string_agg(text || chr(10), '' ORDER BY doc_id) AS text FROM documents GROUP BY source),
             digest AS (SELECT source, {_truncated('text')} AS text FROM whole)
             SELECT source, CAST(len(string_split(text, ' ')) AS BIGINT) AS words, md5(text) AS digest FROM digest""",
+        "history_words": f"""
+            WITH flat AS (SELECT source, doc_id, replace(text, chr(10), ' ') AS f FROM documents),
+            whole AS (SELECT source, string_agg(CASE WHEN doc_id % 5 = 0 THEN regexp_extract(f, '[^ ]+') ELSE f END, '' ORDER BY doc_id) AS text FROM flat GROUP BY source),
+            digest AS (SELECT source, {_truncated('text')} AS text FROM whole)
+            SELECT source, CAST(len(string_split(text, ' ')) AS BIGINT) AS words, md5(text) AS digest FROM digest""",
         "first_files": """
             WITH d AS (SELECT DISTINCT l_suppkey, 'p/' || l_partkey AS f FROM lineitem),
             r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY f) AS n FROM d)

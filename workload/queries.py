@@ -137,6 +137,15 @@ def history_digest(spark: SparkSession, d: str) -> DataFrame:
     return digest.select("source", F.size(F.split("text", " ")).cast("bigint").alias("words"), F.md5("text").alias("digest"))
 
 
+def history_words(spark: SparkSession, d: str) -> DataFrame:
+    """The same over texts without line ends, the first of them cut to one word each: words run together across documents."""
+    flat = F.regexp_replace("text", r"\n", " ")
+    short = F.when(F.col("doc_id") % 5 == 0, F.regexp_extract(flat, "[^ ]+", 0)).otherwise(flat)
+    docs = table(spark, d, "documents").select("source", "doc_id", short.alias("text"))
+    digest = aggregates.history_digest(docs, ["source"], "text", ["doc_id"])
+    return digest.select("source", F.size(F.split("text", " ")).cast("bigint").alias("words"), F.md5("text").alias("digest"))
+
+
 def first_files(spark: SparkSession, d: str) -> DataFrame:
     """The first hundred distinct parts of every supplier, as text in sorted order."""
     parts = table(spark, d, "lineitem").select(
@@ -858,7 +867,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         flagship, contributors_rollup, rollup_appends, contributors_odd, contributor_messages, contributor_files, active_contributors, weighted_mean,
-        history_digest, first_files, deny_list, bot_filter, date_range, like_lower, pipe_member, blank_question,
+        history_digest, history_words, first_files, deny_list, bot_filter, date_range, like_lower, pipe_member, blank_question,
         two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, index_topk, index_all, index_counts, first_n_children,
         ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, sized_writes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
         markup_format, plain_text, plain_constructs, picture_sizes, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
