@@ -129,6 +129,72 @@ def resolve_identities(
     return row_side, key_side
 
 
+def _sides(rows: DataFrame, row_keys: list[str], key: str, ignore_keys: list[str] | None) -> DataFrame:
+    """Distinct (r, k): which key stands in which row."""
+    usable = rows.where(F.col(key).isNotNull())
+    if ignore_keys:
+        usable = usable.where(~F.col(key).isin(ignore_keys))
+    return usable.select(exact_key(row_keys).alias("r"), F.col(key).alias("k")).distinct()
+
+
+def first_key_within(
+    rows: DataFrame, row_keys: list[str], key: str, hops: int, ignore_keys: list[str] | None = None
+) -> DataFrame:
+    """(key, first_key): the smallest key that each one reaches in at most ``hops`` hops, itself included.
+
+    A hop leads from a key to its rows and from these to their keys. It goes through the row's node: a row passes on
+    the smallest key that has come to it, so a hop costs the edges twice, whatever the rows' sizes, and
+    two keys of a row with a million never meet as a pair. With enough hops these are the components of
+    ``resolve_identities``.
+    """
+    if hops < 0:
+        raise ValueError(hops)
+    scratch = Scratch(rows.sparkSession)
+    pairs = scratch.write(_sides(rows, row_keys, key, ignore_keys), "sides")
+    ordered = pairs.select("k").distinct().repartitionByRange("k").sortWithinPartitions("k")
+    # Numbers in the order of the keys: a minimum of numbers is aggregated by hashing, before it is shuffled.
+    numbers = scratch.write(ordered.withColumn("n", F.monotonically_increasing_id()), "numbers")
+    edges = scratch.write(pairs.join(numbers, "k").select("r", "n"), "edges")
+    labels = numbers.select("n", F.col("n").alias("least"))
+    for _ in range(hops):
+        arrived = edges.join(labels, "n").groupBy("r").agg(F.min("least").alias("least"))
+        labels = scratch.write(edges.join(arrived, "r").groupBy("n").agg(F.min("least").alias("least")), "labels")
+    names = numbers.select(F.col("n").alias("least"), F.col("k").alias("first_key"))
+    found = written(labels.join(numbers, "n").join(names, "least").select(F.col("k").alias(key), "first_key"), "within")
+    scratch.drop()
+    return found
+
+
+def keys_within(
+    rows: DataFrame, row_keys: list[str], key: str, seeds: DataFrame, hops: int, ignore_keys: list[str] | None = None
+) -> DataFrame:
+    """(seed, key, hops): all keys that each of the ``seeds`` reaches, and in how few hops; at most ``hops``.
+
+    From hop to hop only what is new goes on, and a row is entered once for a seed, so a seed costs
+    the edges of the rows it reaches, once. The result has a row per seed and key: ask for all keys as seeds only where
+    clusters are small.
+    """
+    scratch = Scratch(rows.sparkSession)
+    edges = scratch.write(_sides(rows, row_keys, key, ignore_keys), "sides")
+    start = seeds.select(F.col(key).alias("seed"), F.col(key).alias("k")).distinct()
+    front = scratch.write(start.join(edges.select("k").distinct(), "k", "left_semi").select("seed", "k"), "front")
+    reached, entered = front.withColumn("hops", F.lit(0)), None
+    for hop in range(1, hops + 1):
+        inside = front.join(edges, "k").select("seed", "r").distinct()
+        if entered is not None:
+            inside = inside.join(entered, ["seed", "r"], "left_anti")
+        inside = scratch.write(inside, "inside")
+        entered = inside if entered is None else entered.unionByName(inside)
+        new = inside.join(edges, "r").select("seed", "k").distinct().join(reached.select("seed", "k"), ["seed", "k"], "left_anti")
+        front = scratch.write(new, "front")
+        reached = reached.unionByName(front.withColumn("hops", F.lit(hop)))
+        if front.isEmpty():
+            break
+    found = written(reached.select("seed", F.col("k").alias(key), "hops"), "reached")
+    scratch.drop()
+    return found
+
+
 def canonical_identities(key_side: DataFrame, key: str, max_keys: int) -> DataFrame:
     """(component, identity, key_count) of the components with at most ``max_keys`` keys.
 

@@ -15,7 +15,7 @@ from commitlens.operators import aggregates, identity, ledger
 from commitlens.operators.filters import MAX_EMAILS, NO_COMMITS, NO_README, active, deny
 from commitlens.operators.infer import Calls, answer_check, ask_model, in_tasks
 from commitlens.operators.joins import lookup_join
-from commitlens.operators.ranking import limited
+from commitlens.operators.ranking import unlimited
 from commitlens.session import written
 from commitlens.plans import prompts
 from commitlens.sources import catalogue as catalogue_search
@@ -133,10 +133,13 @@ def contributor_files(commits: DataFrame) -> DataFrame:
 
 
 def contributor_requests(contributors: DataFrame, commits: DataFrame, top: int | None = None) -> DataFrame:
-    """The active contributors with their ``request``: counts, first files and first words of their messages."""
-    chosen = written(
-        limited(active(contributors), top).withColumn("_who", identity.exact_key(CONTRIBUTOR)), "chosen"
-    )
+    """The active contributors with their ``request``: counts, first files and first words of their messages.
+
+    ``top`` takes those with the most commits, then the most modified lines, then by name of repository and address.
+    """
+    order = [F.desc("commit_count"), F.desc("lines_modified"), *[F.asc_nulls_first(c) for c in CONTRIBUTOR]]
+    worth = active(contributors) if unlimited(top) else active(contributors).orderBy(*order).limit(int(top))
+    chosen = written(worth.withColumn("_who", identity.exact_key(CONTRIBUTOR)), "chosen")
     history = commits.select(
         identity.exact_key(CONTRIBUTOR).alias("_who"), *COMMIT_ORDER, "message", "files_changed"
     )

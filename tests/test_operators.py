@@ -244,3 +244,35 @@ def test_first_items_and_distinct_list(spark):
     df = spark.createDataFrame(data, "k string, f array<string>")
     assert dict(aggregates.first_items(df, ["k"], "f", 5).collect()) == {"a": ["f00", "f01", "f02", "f03", "f04"], "b": ["z"]}
     assert dict(aggregates.distinct_list(df, ["k"], "f").collect()) == {"a": [f"f{i:02}" for i in range(30)], "b": ["z"], "c": []}
+
+
+def hops_of(data, hops):
+    """seed -> {key: hops} by breadth-first search."""
+    rows = defaultdict(set)
+    for r, k in data:
+        rows[r].add(k)
+    out = {}
+    for seed in {k for _, k in data}:
+        found, front = {seed: 0}, {seed}
+        for h in range(1, hops + 1):
+            front = {k for ks in rows.values() if ks & front for k in ks} - set(found)
+            found.update(dict.fromkeys(front, h))
+        out[seed] = found
+    return out
+
+
+def test_hop_limited_clusters(spark):
+    rng = random.Random(8)
+    data = [(f"r{rng.randrange(40)}", f"k{rng.randrange(60):02}") for _ in range(70)] + [(f"c{i}", f"z{j:02}") for i in range(8) for j in (i, i + 1)]
+    df = spark.createDataFrame([*data, ("r1", None), ("r2", "shared"), ("r3", "shared")], "row string, key string")
+    for hops in (0, 1, 2, 5):
+        want = hops_of(data, hops)
+        first = identity.first_key_within(df, ["row"], "key", hops, ["shared"])
+        assert dict(map(tuple, first.collect())) == {s: min(f) for s, f in want.items()}
+        seeds = spark.createDataFrame([("z00",), ("k07",), ("z00",), ("nobody",)], "key string")
+        near = identity.keys_within(df, ["row"], "key", seeds, hops, ["shared"])
+        assert sorted(map(tuple, near.collect())) == sorted((s, k, h) for s in ("z00", "k07") if s in want for k, h in want[s].items())
+    # A row with very many keys is walked through its node.
+    hub = spark.range(30_000).selectExpr("'hub' AS row", "concat('k', id) AS key").union(spark.createDataFrame([("x", "k5"), ("x", "a")], "row string, key string"))
+    labels = identity.first_key_within(hub, ["row"], "key", 2)
+    assert labels.groupBy("first_key").count().collect() == [("a", 30_001)]

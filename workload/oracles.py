@@ -148,6 +148,16 @@ picked AS (
   WHERE numbers.n <> 5)
 """
 
+_SCORES = f"""WITH {_CONTRIBUTORS},
+            files AS (SELECT repo_owner, repo_name, author_email, unnest(files_changed) AS f FROM commits),
+            counted AS (SELECT repo_owner, repo_name, author_email, least(count(DISTINCT f), 100) AS n FROM files GROUP BY ALL)
+            SELECT c.repo_owner, c.repo_name, c.author_email,
+                   CASE WHEN commit_count % 11 BETWEEN 1 AND 10 THEN commit_count % 11 END AS impact_to_project,
+                   CASE WHEN commit_count % 11 BETWEEN 1 AND 10 THEN 1 + lines_modified % 10 END AS technical_ability,
+                   CASE WHEN commit_count % 11 BETWEEN 1 AND 10 THEN coalesce(n, 0) || ' files' END AS reason
+            FROM contributors c LEFT JOIN counted f ON c.repo_owner = f.repo_owner AND c.repo_name = f.repo_name AND c.author_email = f.author_email
+            WHERE lines_modified > 100 AND commit_count >= 3"""
+
 _PIECES = """
             WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS l FROM part),
             e AS (SELECT p_partkey, unnest(range(len(l))) AS position, unnest(l) AS word FROM w)
@@ -302,8 +312,15 @@ def oracles() -> dict[str, str]:
             true AS now_is_shaped FROM nation""",
         "kept_table": f"""WITH RECURSIVE {_FINAL} SELECT repo, count(*) AS people FROM contributions
             WHERE NOT contains(author_email, '[bot]') AND NOT contains(author_email, '@github.com') GROUP BY repo""",
-        "infer_top": f"""WITH {_CONTRIBUTORS}
-            SELECT least(count(*), 7) AS scored FROM contributors WHERE lines_modified > 100 AND commit_count >= 3""",
+        "infer_top": _SCORES.replace("c.author_email,", "c.author_email, commit_count,", 1)
+        + " ORDER BY commit_count DESC, lines_modified DESC, c.repo_owner, c.repo_name, c.author_email LIMIT 7",
+        "identity_hops": f"""WITH {_CONTRIBUTORS},
+            e AS MATERIALIZED (SELECT DISTINCT repo_owner || chr(1) || repo_name || chr(1) || author_name AS g, author_email AS k FROM contributors),
+            one AS MATERIALIZED (SELECT DISTINCT a.k AS x, b.k AS y FROM e a JOIN e b USING (g)),
+            two AS MATERIALIZED (SELECT DISTINCT a.x, b.y FROM one a JOIN one b ON a.y = b.x)
+            SELECT x AS author_email, min(y) AS first_key, count(*) AS near,
+                   CAST(max(CASE WHEN x = y THEN 0 WHEN EXISTS (SELECT 1 FROM one WHERE one.x = two.x AND one.y = two.y) THEN 1 ELSE 2 END) AS INTEGER) AS farthest
+            FROM two GROUP BY x""",
         "shared_line_components": """
             WITH RECURSIVE edges AS MATERIALIZED (
               SELECT DISTINCT 'd' || doc_id AS doc, unnest(string_split(text, chr(10))) AS line FROM documents),
@@ -403,15 +420,7 @@ def oracles() -> dict[str, str]:
             SELECT 'rust people' AS query, 'Success' AS status, count(*) AS num_results, 'None' AS error, CAST(0 AS BIGINT) AS num_tries FROM answer
             UNION ALL SELECT 'nobody', 'Failed', 0, 'No results found', 0
             UNION ALL SELECT 'broken', 'Failed', 0, 'Error executing query', 0""",
-        "infer_scores": f"""WITH {_CONTRIBUTORS},
-            files AS (SELECT repo_owner, repo_name, author_email, unnest(files_changed) AS f FROM commits),
-            counted AS (SELECT repo_owner, repo_name, author_email, least(count(DISTINCT f), 100) AS n FROM files GROUP BY ALL)
-            SELECT c.repo_owner, c.repo_name, c.author_email,
-                   CASE WHEN commit_count % 11 BETWEEN 1 AND 10 THEN commit_count % 11 END AS impact_to_project,
-                   CASE WHEN commit_count % 11 BETWEEN 1 AND 10 THEN 1 + lines_modified % 10 END AS technical_ability,
-                   CASE WHEN commit_count % 11 BETWEEN 1 AND 10 THEN coalesce(n, 0) || ' files' END AS reason
-            FROM contributors c LEFT JOIN counted f ON c.repo_owner = f.repo_owner AND c.repo_name = f.repo_name AND c.author_email = f.author_email
-            WHERE lines_modified > 100 AND commit_count >= 3""",
+        "infer_scores": _SCORES,
         "infer_projects": f"""WITH {_README}, judged AS (SELECT *, {_markup('readme')} AS s FROM picked)
             SELECT url, CASE WHEN readme IS NOT NULL THEN 'c|rust' END AS languages,
                    CASE WHEN readme IS NOT NULL THEN CAST(2 AS BIGINT) END AS n,

@@ -553,6 +553,16 @@ def identity_bot_cut(spark: SparkSession, d: str) -> DataFrame:
     return identity.canonical_identities(keys, "author_email", 15).select("identity", F.col("key_count").cast("bigint").alias("key_count"))
 
 
+def identity_hops(spark: SparkSession, d: str) -> DataFrame:
+    """The first address everyone reaches over two hops, and how many addresses lie within these."""
+    rows = written(stages.extract_contributors(roles.commits(spark, d)), "contributors")
+    by = ["repo_owner", "repo_name", "author_name"]
+    first = identity.first_key_within(rows, by, "author_email", 2)
+    near = identity.keys_within(rows, by, "author_email", rows.select("author_email"), 2)
+    counted = near.groupBy(F.col("seed").alias("author_email")).agg(F.count(F.lit(1)).alias("near"), F.max("hops").alias("farthest"))
+    return first.join(counted, "author_email")
+
+
 def shared_line_components(spark: SparkSession, d: str) -> DataFrame:
     """Which documents hang together by the lines they share, over all documents and lines."""
     lines = table(spark, d, "documents").select(
@@ -728,12 +738,11 @@ def infer_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def infer_top(spark: SparkSession, d: str) -> DataFrame:
-    """Only as many contributors as asked for are scored, every one of them an active one."""
+    """The seven active contributors with the most commits are scored, and no others."""
     commits = written(roles.commits(spark, d), "commits")
     contributors = stages.extract_contributors(commits)
-    scored = written(stages.score_contributors(contributors, commits, clients.quality_client, NO_WAIT, top=7), "scored")
-    ours = scored.join(filters.active(contributors).select(*stages.CONTRIBUTOR), stages.CONTRIBUTOR, "left_semi")
-    return ours.agg(F.count(F.lit(1)).alias("scored"))
+    scored = stages.score_contributors(contributors, commits, clients.quality_client, NO_WAIT, top=7)
+    return scored.select(*stages.CONTRIBUTOR, "commit_count", "impact_to_project", "technical_ability", "reason")
 
 
 def infer_projects(spark: SparkSession, d: str) -> DataFrame:
@@ -871,7 +880,7 @@ QUERIES = {
         two_key_join, skewed_lookup, agg_join_back, keyword_topk, default_search, keyword_all, keyword_counts, index_topk, index_all, index_counts, first_n_children,
         ranked_customers, readme_pick, commit_log_roundtrip, log_files, remote_url_parts, write_modes, sized_writes, files_as_bytes, sanitized_text, inline_lookup, kept_table, arrow_round_trip,
         markup_format, plain_text, plain_constructs, picture_sizes, normalize_names, normalize_documents, normalize_lists, keyword_hyphenate,
-        truncate_text, prompt_text, data_uri, json_struct, checked_answers, date_functions, identity_components, identity_bot_cut,
+        truncate_text, prompt_text, data_uri, json_struct, checked_answers, date_functions, identity_components, identity_hops, identity_bot_cut,
         shared_line_components, merge_people, packaged_top100, present, present_large, first_nonempty, guarded_question, mended_question, query_contract, query_log,
         infer_scores, infer_top, infer_projects, infer_pictures, ledger_runs, udtf_expand, udtf_lateral, udtf_groups, udtf_runs,
     )
