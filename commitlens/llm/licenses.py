@@ -223,7 +223,7 @@ def _suppress(found: str) -> str:
     for t in range(1, 4):
         best = f"zip_with({best}, {reach[t]}, (x, y) -> {'array(x, y)' if t == 1 else 'concat(x, array(y))'})"
     kept = f"filter(zip_with(all, {best}, (d, e) -> named_struct('d', d, 'inside', e[d.tier] >= d.end)), x -> NOT x.inside)"
-    return f"transform(array({found}), all -> transform({kept}, x -> x.d))[0]"
+    return f"transform(array({found}), all -> IF(size(all) < 2, all, transform({kept}, x -> x.d)))[0]"
 
 
 def words_of(text: Column) -> Column:

@@ -167,8 +167,10 @@ def _candidates(kind: str, t: str) -> str:
             zip_with({starts}, slice(pieces, 2, size(pieces)), (a, n) -> named_struct('a', a, 'next', n)),
             (y, z) -> named_struct('hit', y.hit, 'piece', y.piece, 'at', z.a + length(y.piece), 'next', z.next))"""
     wanted_ones = f"filter({placed}, x -> x.hit IS NOT NULL AND {wanted})"
-    return f"""IF(coalesce({_GATES[kind].format(t=t)}, false), transform(array(regexp_extract_all({t}, {pattern}, 0)), hits ->
-        transform(array(split({t}, {pattern}, -1)), pieces -> transform({wanted_ones}, x -> {item}))[0])[0], cast(array() AS array<{_ITEM}>))"""
+    none = f"cast(array() AS array<{_ITEM}>)"
+    # Most texts that pass a gate have no match; only those that do are split as well.
+    return f"""IF(coalesce({_GATES[kind].format(t=t)}, false), transform(array(regexp_extract_all({t}, {pattern}, 0)), hits -> IF(size(hits) = 0, {none},
+        transform(array(split({t}, {pattern}, -1)), pieces -> transform({wanted_ones}, x -> {item}))[0]))[0], {none})"""
 
 
 def with_candidates(docs: DataFrame, column: str, text_column: str = "text") -> DataFrame:
@@ -273,8 +275,8 @@ def all_spans(column: str, model: Model) -> str:
         ELSE cast(array_position({_ORDER}, a.kind) - array_position({_ORDER}, b.kind) AS int) END)"""
     ends = largest_before("transform(all, c -> IF(c.base, c.end, -1L))")
     starts = smallest_behind("transform(all, c -> IF(c.base, c.start, 9223372036854775807L))")
-    clear = f"""transform(array({ordered}), all -> filter(zip_with(all, zip_with({ends}, {starts}, (e, s) -> named_struct('e', e, 's', s)),
-        (c, n) -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, 'kept', c.base OR NOT (n.e > c.start OR n.s < c.end))), c -> c.kept))[0]"""
+    clear = f"""transform(array({ordered}), all -> IF(size(all) < 2, transform(all, c -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, 'kept', true)), filter(zip_with(all, zip_with({ends}, {starts}, (e, s) -> named_struct('e', e, 's', s)),
+        (c, n) -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, 'kept', c.base OR NOT (n.e > c.start OR n.s < c.end))), c -> c.kept)))[0]"""
     return _sorted(_bare(clear))
 
 

@@ -7,6 +7,10 @@ the pieces are scanned each by itself from where the pieces before them end, whi
 from __future__ import annotations
 
 
+# Up to this many items appending is cheaper than cutting into pieces.
+_FEW = 48
+
+
 def _step(items: str, first: str, combine: str) -> str:
     """SQL: ``first`` and then what it combines to with one item after the other."""
     joined = combine.format(a="element_at(t, -1)", b="x")
@@ -19,11 +23,11 @@ def running(items: str, first: str, combine: str) -> str:
     ``items`` is an array; ``combine`` has {a} and {b} and does not care how items are grouped; ``first`` changes nothing.
     """
     whole = combine.format(a="y", b="x")
-    return f"""transform(array({items}), a -> transform(array(cast(ceil(sqrt(size(a))) AS int)), w -> IF(size(a) = 0, slice(a, 1, 0),
+    return f"""transform(array({items}), a -> IF(size(a) <= {_FEW}, slice({_step("a", first, combine)}, 1, size(a)), transform(array(cast(ceil(sqrt(size(a))) AS int)), w ->
         transform(array(transform(sequence(0, cast(ceil(size(a) / w) AS int) - 1), k -> slice(a, k * w + 1, w))), parts ->
             flatten(zip_with(parts,
                 slice({_step(f"transform(parts, p -> aggregate(p, {first}, (y, x) -> {whole}))", first, combine)}, 1, size(parts)),
-                (p, s) -> slice({_step("p", "s", combine)}, 1, size(p)))))[0]))[0])[0]"""
+                (p, s) -> slice({_step("p", "s", combine)}, 1, size(p)))))[0])[0]))[0]"""
 
 
 def sums_before(items: str) -> str:
