@@ -1,15 +1,9 @@
-"""Equi-joins with a lookup side, plain and spread out by hand."""
+"""Equi-joins with a lookup side."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
-
-from commitlens.session import written
-
-# A key with more rows than this may be spread over several tasks.
-HOT_ROWS = 2_000_000
 
 
 def _prepared(lookup: DataFrame, on: list[str] | list[tuple[str, str]]) -> tuple[DataFrame, list[str], list[str], Column]:
@@ -29,64 +23,9 @@ def lookup_join(
 
     Spark chooses: it broadcasts a lookup side it knows to be small, and otherwise shuffles both
     sides and splits partitions that turn out large, as a hot or a null key makes them, while the job
-    runs. Key columns of the right side are dropped. Facts that are already partitioned by the key are
-    not shuffled again and so cannot be split; ``spread_join`` is for those.
+    runs. Key columns of the right side are dropped.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
     lookup, _, right_keys, matches = _prepared(lookup, on)
     return facts.join(lookup, matches, how).drop(*right_keys)
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """keys + ``_copies`` of the hot keys: over how many tasks to spread them.
-
-    A key is hot above ``hot_rows`` rows or an even task's share of all rows, whichever is more, so there are
-    no more hot keys than tasks, however long the table, and none is left out.
-    """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.select(*keys).dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = written(counts.where(F.col("_rows") > hot_rows), "large")
-    bound = max(hot_rows, df.count() // tasks)
-    return large.where(F.col("_rows") > bound).select(*keys, F.ceil(F.col("_rows") / bound).cast("int").alias("_copies"))
-
-
-def spread_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str] | list[tuple[str, str]],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``lookup_join`` with hot keys spread over tasks whatever way the facts are partitioned.
-
-    The facts' keys are counted first. Then both sides are shuffled by key and salt: a hot key's
-    facts go, by a hash of the whole row, to as many tasks as its rows call for, and its lookup row
-    is copied to each of them; other keys have the one salt 0. Facts with a null key match
-    nothing and are spread as well.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(how)
-    lookup, left_keys, right_keys, matches = _prepared(lookup, on)
-    hot = hot_keys(facts, left_keys, hot_rows)
-    any_null = F.lit(False)
-    for a in left_keys:
-        any_null = any_null | F.col(a).isNull()
-    # The row itself, and for copies of a row where they were read.
-    hashed = [F.col(f"`{f.name}`") for f in facts.schema.fields if not isinstance(f.dataType, MapType)]
-    spread = F.xxhash64(*hashed, F.spark_partition_id())
-    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # No more hot keys than tasks.
-    salted_facts = facts.join(F.broadcast(hot), left_keys, "left").withColumn(
-        "_salt", F.pmod(spread, F.when(any_null, tasks).otherwise(F.coalesce("_copies", F.lit(1))))
-    ).drop("_copies")
-    hot_right = hot
-    for i, a in enumerate(left_keys):
-        hot_right = hot_right.withColumnRenamed(a, f"_key_{i}")
-    salted_lookup = lookup.join(F.broadcast(hot_right), right_keys, "left").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))
-    ).drop("_copies")
-    joined = salted_facts.join(salted_lookup, matches & (F.col("_salt") == F.col("_copy")), how)
-    return joined.drop(*right_keys, "_salt", "_copy").select(
-        *facts.columns, *[c for c in lookup.columns if c not in right_keys]
-    )

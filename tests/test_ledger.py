@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from commitlens.operators import ledger
 from commitlens.operators.infer import Calls
+from commitlens.plans import stages
 
 NO_WAIT = Calls(first_wait=0.0, longest_wait=0.0, attempts=1)
 
@@ -99,3 +100,20 @@ def test_the_rows_are_not_shuffled_for_the_calls(spark, places):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan and "Repartition" not in plan
     assert len(calls(made)) == 3
+
+
+def test_a_stage_asks_through_the_ledger(spark, places):
+    path, made = places
+    pictures = spark.createDataFrame([(1, bytearray(b"a")), (2, bytearray(b"b")), (3, bytearray(b"a")), (4, None)], "n int, profile_pic binary")
+
+    def make():
+        def complete(request):
+            with open(os.path.join(made, f"call-{uuid.uuid4().hex}"), "w"):
+                return '{"score": 1.5, "reason": "fine"}'
+
+        return complete
+
+    for _ in range(2):
+        scored = stages.score_images(pictures, make, calls=NO_WAIT, kept=path)
+        assert sorted((r.n, r.profile_pic_score) for r in scored.collect()) == [(1, 1.5), (2, 1.5), (3, 1.5), (4, None)]
+        assert len(calls(made)) == 2

@@ -93,33 +93,27 @@ def test_lookup_join_of_hot_and_null_keys(spark, no_broadcast, how):
     facts = [("hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{rng.randrange(200)}", i) for i in range(3000)]
     f = spark.createDataFrame(facts, "k string, i int").repartition(6)
     lookup = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(0, 200, 2)], "kk string, v string")
-    got = joins.spread_join(f, lookup, [("k", "kk")], how, hot_rows=100)
+    got = joins.lookup_join(f, lookup, [("k", "kk")], how)
     values = dict(lookup.collect())
     expected = Counter((k, i, values.get(k)) for k, i in facts if how == "left" or k in values)
     assert got.columns == ["k", "i", "v"]
     assert Counter(map(tuple, got.collect())) == expected
-    plain = joins.lookup_join(f, lookup, [("k", "kk")], how)
-    assert plain.columns == got.columns and Counter(map(tuple, plain.collect())) == expected
-    # The hot key's rows do not meet in one task.
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    # The hot key's rows do not meet in one task: its partition is split while the job runs.
+    changed = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
     try:
-        for facts_side in (f, f.repartition(16, "k")):
-            joined = joins.spread_join(facts_side, lookup, [("k", "kk")], how, hot_rows=100).where("k = 'hot'")
-            assert joined.select(F.spark_partition_id()).distinct().count() > 1
+        placed = joins.lookup_join(f, lookup, [("k", "kk")], how).withColumn("p", F.spark_partition_id())
+        assert len({r.p for r in placed.collect() if r.k == "hot"}) > 1
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 250 + [("b",)] * 99 + [(None,)] * 500, "k string")
-    # Hot above an even share of the rows: 849 over four tasks.
-    assert [tuple(r) for r in joins.hot_keys(df, ["k"], hot_rows=100).collect()] == [("a", 2)]
-    assert joins.hot_keys(df, ["k"], hot_rows=300).count() == 0
-    # As many keys as there are stay bounded by the tasks, and none above the share is left out.
-    many = spark.range(40_000).select((F.col("id") % 3).alias("k"))
-    assert joins.hot_keys(many, ["k"], hot_rows=10).count() == 3
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 @pytest.mark.parametrize("salts", [1, 4])

@@ -200,7 +200,7 @@ def skewed_lookup(spark: SparkSession, d: str) -> DataFrame:
     key = F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_orderkey"))
     lines = table(spark, d, "lineitem").select(key.alias("k"), "l_quantity")
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    joined = joins.spread_join(lines, orders, [("k", "o_orderkey")], "left", hot_rows=1_000)
+    joined = joins.lookup_join(lines, orders, [("k", "o_orderkey")], "left")
     return joined.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
     )
