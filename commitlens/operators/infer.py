@@ -6,7 +6,6 @@ import asyncio
 import dataclasses
 import inspect
 import json
-import typing
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -22,10 +21,13 @@ from pyspark.sql.types import (
     DoubleType,
     LongType,
     StringType,
-    StructField,
     StructType,
 )
 
+from commitlens.functions.checked import schema_of
+
+__all__ = ["Calls", "answer_check", "ask_model", "expand", "in_tasks", "schema_of"]
+
 
 @dataclasses.dataclass(frozen=True)
 class Calls:

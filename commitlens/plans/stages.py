@@ -49,9 +49,14 @@ def _asked(
     df: DataFrame, request: Column, make_client: Callable, calls: Calls, accept: Callable, tasks: int | None, kept: str | None
 ) -> DataFrame:
     """``df`` with the model's ``_text``; answers come from and go to the ledger ``kept``, if there is one."""
+    # A column of its own, which the always true test keeps Spark from moving: it does not take a Python function
+    # out of a projection if the function's argument is an expression with nested lambda functions.
+    apart = F.when(F.monotonically_increasing_id() >= 0, request)
     if kept is not None:
-        return ledger.with_answers(df, request, kept, make_client, calls, accept, tasks=tasks)
-    return in_tasks(df, tasks).withColumn("_text", ask_model(request, make_client, calls, accept))
+        asked = df.withColumn("_request", apart)
+        return ledger.with_answers(asked, F.col("_request"), kept, make_client, calls, accept, tasks=tasks).drop("_request")
+    asked = in_tasks(df, tasks).withColumn("_request", apart)
+    return asked.withColumn("_text", ask_model(F.col("_request"), make_client, calls, accept)).drop("_request")
 
 
 def analyze_repos(
