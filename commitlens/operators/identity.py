@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +18,10 @@ _STEPS = 3
 # How many hops beyond its neighbours a node looks for its pick: a join and a minimum each, without a write,
 # where another round would take several of both.
 _FARTHER = 2
+# Seeds of a block as a power of two, the edges around a block that one task holds at most, and keys in a list.
+_BLOCK_BITS = 12
+_AROUND = 4_000_000
+_LISTED = 8_192
 
 
 def _numbered(pairs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -170,14 +179,60 @@ def keys_within(
 ) -> DataFrame:
     """(seed, key, hops): all keys that each of the ``seeds`` reaches, and in how few hops; at most ``hops``.
 
-    From hop to hop only what is new goes on, and a row is entered once for a seed, so a seed costs
-    the edges of the rows it reaches, once. The result has a row per seed and key: ask for all keys as seeds only where
-    clusters are small.
+    The result has a row per seed and key, which for all keys as seeds is the square of a cluster's size, so these
+    pairs are never shuffled nor written: they are made where they are read. Seeds that lie near one another
+    are put in blocks, the rows and keys around a block are brought together once, and a task walks them from 64 seeds
+    at a time, a bit each. What moves grows with the rows around the blocks. A block that has more than ``_AROUND`` of
+    these is left to joins of seeds and rows instead, which no task has to hold.
     """
-    scratch = Scratch(rows.sparkSession)
-    edges = scratch.write(_sides(rows, row_keys, key, ignore_keys), "sides")
-    start = seeds.select(F.col(key).alias("seed"), F.col(key).alias("k")).distinct()
-    front = scratch.write(start.join(edges.select("k").distinct(), "k", "left_semi").select("seed", "k"), "front")
+    spark = rows.sparkSession
+    scratch = Scratch(spark)
+    pairs = scratch.write(_sides(rows, row_keys, key, ignore_keys), "sides")
+    start = seeds.select(F.col(key).alias("k")).distinct()
+    if hops < 1:
+        found = written(start.join(pairs.select("k").distinct(), "k", "left_semi"), "reached")
+        scratch.drop()
+        return found.select(F.col("k").alias("seed"), F.col("k").alias(key), F.lit(0).alias("hops"))
+    numbers = scratch.write(pairs.select("k").distinct().withColumn("n", F.monotonically_increasing_id()), "numbers")
+    row_numbers = scratch.write(pairs.select("r").distinct().withColumn("m", F.monotonically_increasing_id()), "rows")
+    edges = scratch.write(pairs.join(numbers, "k").join(row_numbers, "r").select("m", "n"), "edges")
+    # The smallest number nearby: what has the same one lies together, mostly.
+    labels = numbers.select("n", F.col("n").alias("least"))
+    for _ in range(min(hops, _FARTHER)):
+        arrived = edges.join(labels, "n").groupBy("m").agg(F.min("least").alias("least"))
+        labels = scratch.write(edges.join(arrived, "m").groupBy("n").agg(F.min("least").alias("least")), "labels")
+    dealt = start.join(numbers, "k").join(labels, "n").repartitionByRange("least", "n").sortWithinPartitions("least", "n")
+    dealt = dealt.select("n", F.monotonically_increasing_id().alias("at"))
+    block = F.shiftright("at", _BLOCK_BITS).alias("block")
+    blocks = scratch.write(dealt.select("n", block), "blocks")
+    near = blocks
+    for hop in range(1, hops + 1):
+        around = near.join(edges, "n").select("block", "m").distinct()
+        if hop < hops:
+            near = scratch.write(around.join(edges, "m").select("block", "n").distinct(), "near")
+    around = scratch.write(around.join(edges, "m").select("block", "m", "n"), "around")
+    large = scratch.write(around.groupBy("block").count().where(F.col("count") > _AROUND).select("block"), "large")
+    rest = None
+    if not large.isEmpty():
+        names = blocks.join(large, "block", "left_semi").join(numbers, "n").select(F.col("k").alias("seed"), "k")
+        rest = _joined_within(scratch, pairs, names, hops)
+        around = around.join(F.broadcast(large), "block", "left_anti")
+    named = numbers.join(blocks.withColumnRenamed("block", "own"), "n", "left")
+    around = written(around.join(named, "n").select("block", "m", "n", "k", F.coalesce(F.col("own") == F.col("block"), F.lit(False)).alias("asks")), "around")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = around.repartition(tasks, "block").sortWithinPartitions("block").mapInArrow(
+        partial(_walked, hops=hops), "seed string, hops int, keys array<string>"
+    )
+    found = found.select("seed", F.explode("keys").alias(key), "hops")
+    if rest is not None:
+        found = found.unionByName(written(rest.select("seed", F.col("k").alias(key), "hops"), "reached"))
+    scratch.drop()
+    return found
+
+
+def _joined_within(scratch: Scratch, edges: DataFrame, front: DataFrame, hops: int) -> DataFrame:
+    """(seed, k, hops) by joins: from hop to hop only what is new goes on, and a row is entered once for a seed."""
+    front = scratch.write(front, "front")
     reached, entered = front.withColumn("hops", F.lit(0)), None
     for hop in range(1, hops + 1):
         inside = front.join(edges, "k").select("seed", "r").distinct()
@@ -190,9 +245,56 @@ def keys_within(
         reached = reached.unionByName(front.withColumn("hops", F.lit(hop)))
         if front.isEmpty():
             break
-    found = written(reached.select("seed", F.col("k").alias(key), "hops"), "reached")
-    scratch.drop()
-    return found
+    return reached
+
+
+def _walked(batches: Iterator[pa.RecordBatch], hops: int) -> Iterator[pa.RecordBatch]:
+    """Per seed and distance the keys; what belongs to one block comes together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        while batch.num_rows:
+            here = batch.column("block")[0].as_py()
+            if held and held[0].column("block")[0].as_py() != here:
+                yield from _block_walked(pa.Table.from_batches(held), hops)
+                held = []
+            n = int(np.searchsorted(batch.column("block").to_numpy(), here, side="right"))
+            held.append(batch.slice(0, n))
+            batch = batch.slice(n)
+    if held:
+        yield from _block_walked(pa.Table.from_batches(held), hops)
+
+
+def _block_walked(edges: pa.Table, hops: int) -> Iterator[pa.RecordBatch]:
+    _, first, keys = np.unique(edges.column("n").to_numpy(), return_index=True, return_inverse=True)
+    _, rows = np.unique(edges.column("m").to_numpy(), return_inverse=True)
+    names = edges.column("k").combine_chunks().take(pa.array(first))
+    by_row, by_key = np.argsort(rows, kind="stable"), np.argsort(keys, kind="stable")
+    row_at, key_at = np.flatnonzero(np.diff(rows[by_row], prepend=-1)), np.flatnonzero(np.diff(keys[by_key], prepend=-1))
+    keys_of, rows_of = keys[by_row], rows[by_key]
+    asking = np.flatnonzero(edges.column("asks").to_numpy()[first])
+    for at in range(0, len(asking), 64):
+        seeds = asking[at : at + 64]
+        reached = np.zeros(len(first), np.uint64)
+        reached[seeds] = np.uint64(1) << np.arange(len(seeds), dtype=np.uint64)
+        new = reached
+        for hop in range(hops + 1):
+            if hop:
+                entered = np.bitwise_or.reduceat(reached[keys_of], row_at)
+                after = np.bitwise_or.reduceat(entered[rows_of], key_at)
+                new, reached = after & ~reached, after
+            some = np.flatnonzero(new)
+            if not len(some):
+                break
+            for piece in range(0, len(some), _LISTED):
+                these = some[piece : piece + _LISTED]
+                bits = np.unpackbits(new[these].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                who, what = np.nonzero(bits[:, : len(seeds)].T)
+                counts = np.bincount(who, minlength=len(seeds))
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(ends), names.take(pa.array(these[what])))
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(seeds)), pa.array(np.full(len(seeds), hop, np.int32)), listed], names=["seed", "hops", "keys"]
+                )
 
 
 def canonical_identities(key_side: DataFrame, key: str, max_keys: int) -> DataFrame:

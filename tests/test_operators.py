@@ -1,10 +1,12 @@
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from commitlens.operators import aggregates, filters, identity, joins, ranking
+from commitlens.session import shared_dir
 
 
 def union_find(edges):
@@ -270,3 +272,25 @@ def test_hop_limited_clusters(spark):
     hub = spark.range(30_000).selectExpr("'hub' AS row", "concat('k', id) AS key").union(spark.createDataFrame([("x", "k5"), ("x", "a")], "row string, key string"))
     labels = identity.first_key_within(hub, ["row"], "key", 2)
     assert labels.groupBy("first_key").count().collect() == [("a", 30_001)]
+
+
+def test_near_keys_in_blocks(spark, monkeypatch):
+    """Blocks of any size, and those that are left to joins, give the same pairs."""
+    rng = random.Random(9)
+    data = [(f"r{rng.randrange(60)}", f"k{rng.randrange(90):02}") for _ in range(150)]
+    df = spark.createDataFrame(data, "row string, key string")
+    want = sorted((s, k, h) for s, found in hops_of(data, 3).items() for k, h in found.items())
+    for bits, around in ((12, 4_000_000), (3, 4_000_000), (3, 60), (3, 0)):
+        monkeypatch.setattr(identity, "_BLOCK_BITS", bits)
+        monkeypatch.setattr(identity, "_AROUND", around)
+        near = identity.keys_within(df, ["row"], "key", df.select("key"), 3)
+        assert sorted(map(tuple, near.collect())) == want
+
+
+def test_pairs_of_near_keys_are_not_written(spark):
+    hub = spark.range(3_000).selectExpr("'hub' AS row", "concat('k', id) AS key")
+    before = {f for f in Path(shared_dir(spark)).rglob("*.parquet")}
+    near = identity.keys_within(hub, ["row"], "key", hub.select("key"), 2)
+    counted = near.groupBy("seed").count().groupBy("count").agg(F.count("seed")).collect()
+    assert counted == [(3_000, 3_000)]
+    assert sum(f.stat().st_size for f in set(Path(shared_dir(spark)).rglob("*.parquet")) - before) < 1_000_000
