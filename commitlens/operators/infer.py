@@ -187,15 +187,19 @@ def in_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
     return df if tasks is None else df.repartition(tasks)
 
 
-def expand(df: DataFrame, function: Callable, arguments: list[str], schema: StructType, rows: int = 10_000, **extra) -> DataFrame:
+def expand(
+    df: DataFrame, function: Callable, arguments: list[str], schema: StructType, rows: int = 10_000, beside: list[str] | None = None, **extra
+) -> DataFrame:
     """Each row becomes as many rows as ``function(*arguments, **extra)`` yields, possibly none.
 
     ``function`` yields tuples of ``schema``. What it yields leaves Python in Arrow batches of at most ``rows``
-    rows as it comes, so one input row may become any number of rows; the input row's own columns are repeated beside them.
+    rows as it comes, so one input row may become any number of rows; the input row's own columns are repeated beside them,
+    or those that ``beside`` names: a long text that only ``function`` reads is best not copied for every row it yields.
     """
     names = list(df.columns)
     at = [names.index(a) for a in arguments]
-    whole = StructType([*df.schema.fields, *schema.fields])
+    kept = names if beside is None else beside
+    whole = StructType([*[df.schema[c] for c in kept], *schema.fields])
 
     def produced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [f.type for f in to_arrow_schema(schema)]
@@ -205,7 +209,7 @@ def expand(df: DataFrame, function: Callable, arguments: list[str], schema: Stru
             values = [batch.column(i).to_pylist() for i in at]
 
             def flush():
-                own = batch.take(pa.array(taken, pa.int64()))  # noqa: B023
+                own = batch.select(kept).take(pa.array(taken, pa.int64()))  # noqa: B023
                 new = [pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)]  # noqa: B023
                 return pa.RecordBatch.from_arrays([*own.columns, *new], names=whole.fieldNames())
 

@@ -7,6 +7,7 @@ import time
 import zlib
 
 import pytest
+from pyspark.sql.types import LongType, StringType, StructType
 from pyspark.sql import functions as F
 
 from commitlens import schemas
@@ -231,6 +232,18 @@ def test_expand(spark):
     assert infer.expand(df.where("false"), pieces, ["a", "b"], infer.schema_of(Piece), times=2).collect() == []
 
 
+def test_expand_beside_named_columns(spark):
+    """A text that only the function reads is not copied for every row it yields."""
+    df = spark.createDataFrame([(1, "a b c"), (2, None), (3, "d")], "id bigint, text string")
+
+    def words(text):
+        yield from enumerate((text or "").split())
+
+    found = infer.expand(df, words, ["text"], StructType().add("at", LongType()).add("word", StringType()), beside=["id"])
+    assert found.columns == ["id", "at", "word"]
+    assert sorted(map(tuple, found.collect())) == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (3, 0, "d")]
+
+
 def test_schema_of():
     @dataclasses.dataclass
     class Inner:
